@@ -57,18 +57,18 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str],
 
 
 def read_colon(spark: SparkSession, path: str, columns: Sequence[str],
-               keep: Sequence[str] | None = None, glob: str | None = None) -> DataFrame:
-    """Colon-separated files without header; the month at the end of a file's name
-    becomes ``period``.  Only the columns in ``keep`` are parsed."""
+               keep: Sequence[str] | None = None) -> DataFrame:
+    """Colon-separated files without header.  ``path`` may be a glob of files, or of
+    folders of part files; the month its name ends with becomes ``period``.  Only the
+    columns in ``keep`` are parsed.
+    """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     reader = (spark.read.schema(schema).option("sep", ":").option("quote", "")
               .option("ignoreLeadingWhiteSpace", True)
               .option("ignoreTrailingWhiteSpace", True))
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
+    month = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{6})(?:/part-[^/]*)?$", 1)
     rows = reader.csv(path).select(
-        *[F.col(f"`{name}`") for name in columns],
-        F.regexp_extract(F.col("_metadata.file_name"), r"(\d{6})$", 1).alias(c.PERIOD))
+        *[F.col(f"`{name}`") for name in columns], month.alias(c.PERIOD))
     return enforce_types(rows, keep or [*columns, c.PERIOD], FRAME_TYPES)
 
 
@@ -82,7 +82,7 @@ def read_frame_window(spark: SparkSession, folder: str, prefix: str, columns: Se
                       keep: Sequence[str] | None = None) -> DataFrame:
     """Frame files of the months in the window.  Other months are not opened."""
     months = ",".join(str(m) for m in window_months(current_period, revision_window))
-    return read_colon(spark, folder, columns, keep, glob=f"{prefix}*{{{months}}}")
+    return read_colon(spark, f"{folder}/{prefix}*{{{months}}}", columns, keep)
 
 
 def read_local_units(spark: SparkSession, folder: str, prefix: str,

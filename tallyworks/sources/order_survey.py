@@ -105,6 +105,51 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(backdata, "r").alias(c.MARKER))
 
 
+def legacy_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers in legacy columns.  Some units report their housing work as zero; routing
+    answers (1 yes, 2 no) come along, 904 not from everybody."""
+    given = responses(spark, sf_dir)
+    month = F.floor(F.col(c.PERIOD) / 100) * 12 + F.col(c.PERIOD) % 100
+    nothing = ((F.col(c.REFERENCE) + month) % 3 == 0) & F.col(c.QUESTION).isin(
+        *c.ROUTES[902])
+    rows = given.select(
+        *c.UNIT, F.col(c.QUESTION).alias("question_no"),
+        F.col(c.TARGET).alias("returned_value"),
+        F.when(nothing, 0.0).otherwise(F.col(c.TARGET)).alias("adjusted_value"))
+    reference = F.col(c.REFERENCE)
+    routes = F.array(
+        F.struct(F.lit(902).alias("q"), ((reference + month) % 2 + 1).alias("v")),
+        F.struct(F.lit(903).alias("q"), ((reference + month) % 5 % 2 + 1).alias("v")),
+        F.struct(F.lit(904).alias("q"),
+                 F.when(month % 4 > 0, (reference + month) % 7 % 2 + 1).alias("v")))
+    units = given.select(*c.UNIT).distinct().select(
+        *c.UNIT, F.explode(routes).alias("_r")).where("_r.v IS NOT NULL")
+    answers_to_routes = units.select(
+        *c.UNIT, F.col("_r.q").alias("question_no"),
+        F.col("_r.v").cast("double").alias("returned_value"),
+        F.col("_r.v").cast("double").alias("adjusted_value"))
+    return rows.unionByName(answers_to_routes).withColumn(
+        "type", F.when(F.col("question_no") == 290, 2).when(
+            F.col("question_no") == 211, 3).otherwise(1))
+
+
+def legacy_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.col("status")
+    return contributors(spark, sf_dir).select(
+        *c.UNIT,
+        F.when(status == "Check needed", "E").when(status == "Clear - overridden", "O")
+        .otherwise("C").alias("error_mkr"),
+        F.when(status == "Dormant (NIL5)", 5).otherwise(1).alias("response_type"))
+
+
+def mixed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legacy answers in panel columns, without routing questions."""
+    return (legacy_questions(spark, sf_dir)
+            .where(~F.col("question_no").isin(*c.ROUTING_QUESTIONS))
+            .select(*c.UNIT, F.col("question_no").alias(c.QUESTION),
+                    F.col("adjusted_value").alias(c.TARGET)))
+
+
 def local_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = _table(spark, sf_dir, "supplier").agg(F.count("*") + 3).scalar()
     return _table(spark, sf_dir, "customer").withColumn("m", _months(FIRST_UNIT_MONTH)).select(

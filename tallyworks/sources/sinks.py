@@ -24,3 +24,16 @@ def write_by_period(df: DataFrame, path: str, header: bool = False) -> None:
     (df.withColumn("_period", F.col(c.PERIOD))
      .write.mode("errorifexists").option("header", header)
      .partitionBy("_period").csv(path))
+
+
+def write_colon_by_month(df: DataFrame, columns, path: str, prefix: str) -> None:
+    """Frame rows in the colon format, one folder per month named by ``prefix`` and month.
+
+    Positions without a column in ``df`` stay blank.
+    """
+    fields = [F.col(f"`{name}`").cast("string") if name in df.columns
+              else F.lit(" ") for name in columns]
+    (df.select(*[field.alias(f"_c{i}") for i, field in enumerate(fields)],
+               F.concat(F.lit(prefix), F.col(c.PERIOD).cast("string")).alias("frame"))
+     .write.mode("errorifexists").partitionBy("frame").option("sep", ":").option("quote", "")
+     .csv(path))
