@@ -17,14 +17,6 @@ TARGET_GROSS = GROSS.format("adjustedresponse")
 THOUSANDS_GROSS = GROSS.format("adjustedresponse_pounds_thousands")
 
 
-def money(expression: str, name: str | None = None) -> str:
-    return f"ROUND({expression}, 4) AS {name or expression}"
-
-
-def rate(expression: str, name: str | None = None) -> str:
-    return f"ROUND({expression}, 9) AS {name or expression}"
-
-
 # ---- legacy views --------------------------------------------------------------------
 CTES["sv_legacy_questions"] = """
 SELECT *, CASE question_no WHEN 290 THEN 2 WHEN 211 THEN 3 ELSE 1 END AS type FROM (
@@ -160,16 +152,16 @@ def qa(source: str, questions) -> str:
     cells = []
     for q in questions:
         for measure, value in (
-                ("adjustedresponse", "ROUND(adjustedresponse_pounds_thousands, 4)"),
+                ("adjustedresponse", "adjustedresponse_pounds_thousands"),
                 ("imputation_flags_adjustedresponse", "imputation_flags_adjustedresponse"),
-                ("outlier_weight", "ROUND(outlier_weight, 4)"),
-                ("weighted_adjusted_value", f"ROUND({THOUSANDS_GROSS}, 4)")):
+                ("outlier_weight", "outlier_weight"),
+                ("weighted_adjusted_value", f"{THOUSANDS_GROSS}")):
             cells.append(f'MAX(CASE WHEN questioncode = {q} THEN {value} END) '
                          f'AS "{q}__{measure}"')
     return f"""
 SELECT period, frosic2007, reference, cell_no, frotover, froempment, runame1,
-       {', '.join(cells)}, ROUND(MAX(design_weight), 4) AS design_weight,
-       ROUND(MAX(calibration_factor), 4) AS calibration_factor, MAX(status) AS status
+       {', '.join(cells)}, MAX(design_weight) AS design_weight,
+       MAX(calibration_factor) AS calibration_factor, MAX(status) AS status
 FROM {source}
 WHERE period IS NOT NULL AND frosic2007 IS NOT NULL AND reference IS NOT NULL
   AND cell_no IS NOT NULL AND frotover IS NOT NULL AND froempment IS NOT NULL
@@ -184,7 +176,7 @@ FROM o_thousands WHERE classification IS NOT NULL AND cell_no IS NOT NULL"""
 
 def growth(source: str, periods) -> str:
     months = ", ".join(
-        f'ROUND(COALESCE({xsum(TARGET_GROSS, f"period = {p}")}, 0), 4) AS "{month_label(p)}"'
+        f'COALESCE({xsum(TARGET_GROSS, f"period = {p}")}, 0) AS "{month_label(p)}"'
         for p in periods)
     names = ", ".join(f'COALESCE(s."{month_label(p)}", 0) AS "{month_label(p)}"'
                       for p in periods)
@@ -219,7 +211,7 @@ SELECT q.quarter, b.sizeband, {', '.join(f'COALESCE(s."{q}", 0) AS "{q}"' for q
 FROM (SELECT DISTINCT quarter FROM o_quarters) q
 CROSS JOIN (SELECT DISTINCT sizeband FROM o_quarters) b
 LEFT JOIN (SELECT quarter, sizeband, {', '.join(
-    f'ROUND({xsum(TARGET_GROSS, f"questioncode = {q}")}, 4) AS "{q}"' for q in c.COMPONENTS)}
+    f'{xsum(TARGET_GROSS, f"questioncode = {q}")} AS "{q}"' for q in c.COMPONENTS)}
   FROM o_quarters GROUP BY quarter, sizeband) s
   ON s.quarter = q.quarter AND s.sizeband = b.sizeband"""
 
@@ -257,7 +249,7 @@ CTES["o_long_turnover"] = " UNION ALL ".join(
 
 def repair(where: str) -> str:
     cells = ", ".join(
-        f'ROUND(COALESCE({xsum("turnover", f"questioncode = {q}")}, 0), 4) AS {name}'
+        f'COALESCE({xsum("turnover", f"questioncode = {q}")}, 0) AS {name}'
         for q, name in c.REPAIR_QUESTIONS.items())
     return f"""SELECT quarter, region, {cells} FROM o_long_turnover
 WHERE {where} GROUP BY quarter, region"""
@@ -305,13 +297,13 @@ SELECT q.reference, q.period, q.question_no AS questioncode,
        q.adjusted_value AS adjustedresponse
 FROM o_routed q JOIN sv_legacy_units u USING (reference, period)
 WHERE q.question_no NOT IN (902, 903, 904) AND u.response_type <> 5""",
-    "sink_csv": SIZEBAND.replace("ROUND(", "(").replace(", 4) AS", ") AS"),
+    "sink_csv": SIZEBAND,
     "sink_by_period": f"""
 SELECT period, COUNT(DISTINCT reference) AS n_units FROM o_results
 WHERE questioncode <> 290 AND questioncode NOT IN ({UNPROCESSED}) GROUP BY period""",
     "sink_stage": "SELECT * FROM sv_answers",
     "src_results": f"""
-SELECT {KEY}, imputation_flags_adjustedresponse, {money('adjustedresponse')}
+SELECT {KEY}, imputation_flags_adjustedresponse, adjustedresponse
 FROM o_results WHERE derived_zeros IS NULL OR NOT derived_zeros""",
     # row rules
     "split_questions": f"""
@@ -341,15 +333,15 @@ SELECT *, CASE WHEN questioncode IN (201, 202, 290) THEN adjustedresponse / 1000
 FROM sv_responses""",
     "derived_zeros": f"""
 SELECT {KEY}, status, cell_no, derived_zeros, skipped_question, "290_flag",
-       {money('adjustedresponse')} FROM o_zeroed""",
+       adjustedresponse FROM o_zeroed""",
     "mark_derived_zeros":
         f"SELECT {KEY}, imputation_flags_adjustedresponse, derived_zeros FROM o_zeroed",
     "refill_auxiliary": f"SELECT {KEY}, converted_frotover FROM o_zeroed",
     "derived_to_fir": f"SELECT {KEY}, imputation_flags_adjustedresponse FROM o_fir",
     "target_in_thousands": f"""
-SELECT {KEY}, {money('adjustedresponse')}, {money('adjustedresponse_actual')}
+SELECT {KEY}, adjustedresponse, adjustedresponse_actual
 FROM o_thousands""",
-    "grossed_value": f"SELECT {KEY}, {money(THOUSANDS_GROSS, 'grossed')} FROM o_results",
+    "grossed_value": f"SELECT {KEY}, {THOUSANDS_GROSS} AS grossed FROM o_results",
     "check_nonresponse_in_responses": f"""
 SELECT DISTINCT u.reference, u.period FROM sv_units u JOIN sv_responses r
 USING (reference, period) WHERE u.status IN ({NON_RESPONSE})""",
@@ -407,17 +399,15 @@ FROM o_matched""",
 SELECT questioncode, imputation_class, period, f_match_adjustedresponse_count,
        b_match_adjustedresponse_count, flag_construction_matches_count FROM o_links""",
     "links": f"""
-SELECT questioncode, imputation_class, period, {rate('f_link_adjustedresponse')},
-       {rate('b_link_adjustedresponse')}, default_link_f_match_adjustedresponse,
+SELECT questioncode, imputation_class, period, f_link_adjustedresponse,
+       b_link_adjustedresponse, default_link_f_match_adjustedresponse,
        default_link_b_match_adjustedresponse FROM o_links""",
     "links_filtered": f"""
 SELECT * RENAME (f_match_adjustedresponse_count AS f_match_filtered_adjustedresponse_count,
                  b_match_adjustedresponse_count AS b_match_filtered_adjustedresponse_count)
-       REPLACE ({rate('f_link_adjustedresponse')}, {rate('b_link_adjustedresponse')},
-                {rate('construction_link')})
 FROM o_filtered_links""",
     "construction_link": f"""
-SELECT questioncode, imputation_class, period, {rate('construction_link')},
+SELECT questioncode, imputation_class, period, construction_link,
        default_link_flag_construction_matches FROM o_links""",
     "mark_backdata": f"""
 SELECT {KEY}, period = {BACK} AS is_backdata, imputation_flags_adjustedresponse
@@ -425,25 +415,25 @@ FROM sv_answers""",
     "manual_construction":
         f"SELECT {KEY}, adjustedresponse, adjustedresponse_man FROM o_chain",
     "forward_impute":
-        f"SELECT {KEY}, {money('forward_value')}, forward_kind FROM o_values",
-    "backward_impute": f"SELECT {KEY}, {money('backward_value')} FROM o_values",
+        f"SELECT {KEY}, forward_value, forward_kind FROM o_values",
+    "backward_impute": f"SELECT {KEY}, backward_value FROM o_values",
     "construct":
-        f"SELECT {KEY}, {money('constructed_value')}, constructed_kind FROM o_values",
+        f"SELECT {KEY}, constructed_value, constructed_kind FROM o_values",
     "ratio_of_means": f"""
-SELECT {KEY}, {money('adjustedresponse')}, imputation_flags_adjustedresponse, is_backdata
+SELECT {KEY}, adjustedresponse, imputation_flags_adjustedresponse, is_backdata
 FROM o_rom""",
     "rescale_total_only": f"""
-SELECT {KEY}, {money('adjustedresponse')}, {money('adjustedresponse_pre_rescale')},
+SELECT {KEY}, adjustedresponse, adjustedresponse_pre_rescale,
        failed_rescale FROM o_rescaled""",
     "check_totals": f"""
-SELECT t.period, t.reference, {money('t.adjustedresponse', 'adjustedresponse')},
-       {money('s.parts', 'components_sum')}, t.failed_rescale
+SELECT t.period, t.reference, t.adjustedresponse AS adjustedresponse,
+       s.parts AS components_sum, t.failed_rescale
 FROM o_imputed t JOIN (SELECT reference, period, COALESCE({xsum('adjustedresponse')}, 0) AS parts
   FROM o_imputed WHERE questioncode <> 290 GROUP BY reference, period) s
 USING (reference, period)
 WHERE t.questioncode = 290 AND ABS(t.adjustedresponse - s.parts) >= 0.001""",
     "impute_panel": f"""
-SELECT {KEY}, {money('adjustedresponse')}, {money('adjustedresponse_pounds_thousands')},
+SELECT {KEY}, adjustedresponse, adjustedresponse_pounds_thousands,
        imputation_flags_adjustedresponse, derived_zeros, failed_rescale, converted_frotover
 FROM o_imputed""",
     # estimation
@@ -451,34 +441,31 @@ FROM o_imputed""",
 SELECT p.*, s.reference IS NOT NULL AS is_sampled FROM sv_population p
 LEFT JOIN sv_sample s USING (reference, period)""",
     "population_counts": "SELECT * FROM o_counts",
-    "design_weight": f"SELECT period, cell_no, {rate('design_weight')} FROM o_cells",
+    "design_weight": f"SELECT period, cell_no, design_weight FROM o_cells",
     "calibration_factor":
-        f"SELECT period, cell_no, is_census, {rate('calibration_factor')} FROM o_cells",
+        f"SELECT period, cell_no, is_census, calibration_factor FROM o_cells",
     "estimate": f"""
-SELECT {KEY}, is_sampled, is_census, {rate('design_weight')}, {rate('calibration_factor')}
+SELECT {KEY}, is_sampled, is_census, design_weight, calibration_factor
 FROM o_weighted""",
     # outliers
     "winsorise": f"""
 SELECT {KEY}, CASE WHEN questioncode <> 290 THEN nw_ag_flag END AS nw_ag_flag,
-       CASE WHEN questioncode <> 290 THEN ROUND(predicted_unit_value, 4) END
+       CASE WHEN questioncode <> 290 THEN predicted_unit_value END
            AS predicted_unit_value,
-       CASE WHEN questioncode <> 290 THEN ROUND(new_target_variable, 4) END
-           AS new_target_variable, {rate('outlier_weight')} FROM o_winsorised""",
+       CASE WHEN questioncode <> 290 THEN new_target_variable END
+           AS new_target_variable, outlier_weight FROM o_winsorised""",
     "total_outlier_weight":
-        f"SELECT {KEY}, {rate('outlier_weight')} FROM o_total_weights WHERE questioncode = 290",
+        f"SELECT {KEY}, outlier_weight FROM o_total_weights WHERE questioncode = 290",
     "manual_outlier_weight": f"""
 SELECT {KEY}, COALESCE(h.outlier_weight, froempment / 100.0::DOUBLE) AS outlier_weight
 FROM o_imputed LEFT JOIN sv_manual_weights h USING ({KEY})""",
-    "winsorised_value": f"SELECT {KEY}, {money('winsorised_value')} FROM o_trimmed",
+    "winsorised_value": f"SELECT {KEY}, winsorised_value FROM o_trimmed",
     "detect_outlier": f"""
-SELECT {KEY}, classification, {rate('outlier_weight')}, {money('winsorised_value')}
+SELECT {KEY}, classification, outlier_weight, winsorised_value
 FROM o_trimmed""",
     # outputs
     "results_table": f"""
-SELECT * REPLACE ({money('adjustedresponse')}, {money('adjustedresponse_pounds_thousands')},
-  {money('winsorised_value')}, {rate('design_weight')}, {rate('calibration_factor')},
-  {rate('outlier_weight')}, {rate('f_link_adjustedresponse')},
-  {rate('b_link_adjustedresponse')}, {rate('construction_link')}) FROM o_results""",
+SELECT * FROM o_results""",
     "routing": "SELECT * FROM o_routed",
     "drop_nil": """
 SELECT q.* FROM sv_legacy_questions q JOIN sv_legacy_units u USING (reference, period)
@@ -489,12 +476,12 @@ SELECT {KEY}, imputation_flags_adjustedresponse, "290_flag" FROM o_suffixed""",
     "qa_output": qa(f"""(SELECT * FROM o_suffixed_fir WHERE questioncode <> 290
         AND questioncode NOT IN ({UNPROCESSED}))""", c.COMPONENTS),
     "constructed": f"""
-SELECT reference, questioncode, {money('adjustedresponse', 'constructedresponse')},
+SELECT reference, questioncode, adjustedresponse AS constructedresponse,
        imputation_flags_adjustedresponse AS imputationmarker FROM o_thousands_fir
 WHERE period = 200111 AND imputation_flags_adjustedresponse IS DISTINCT FROM 'r'""",
     "imputation_contribution": f"""
-SELECT COALESCE(questioncode, 290) AS questioncode, {money('returned')},
-       {money('returned + imputed', 'total')}, {money('imputed')} FROM o_contribution""",
+SELECT COALESCE(questioncode, 290) AS questioncode, returned,
+       returned + imputed AS total, imputed FROM o_contribution""",
     "growth_table": growth("o_bands", PERIODS[-24:]),
     "cord": CORD,
     "sizeband": SIZEBAND,
@@ -503,10 +490,10 @@ SELECT period, questioncode, classification, cell_no, ROUND(v, 3) AS sample_var,
        ROUND(SQRT(v / n), 3) AS std_error,
        ROUND(100 * SQRT(v) / NULLIF(mean, 0), 3) AS cov
 FROM (SELECT period, questioncode, classification, cell_no,
-             VAR_SAMP(adjustedresponse_pounds_thousands) AS v,
-             COUNT(adjustedresponse_pounds_thousands) AS n,
-             AVG(adjustedresponse_pounds_thousands) AS mean
-      FROM o_trimmed WHERE "290_flag" IS NOT NULL
+             VAR_SAMP(whole) AS v,
+             COUNT(whole) AS n,
+             AVG(whole) AS mean
+      FROM (SELECT *, FLOOR(adjustedresponse_pounds_thousands) AS whole FROM o_trimmed) WHERE "290_flag" IS NOT NULL
       GROUP BY period, questioncode, classification, cell_no)""",
     "rm_regional_employment": "SELECT reference, period, " + ", ".join(
         f'CAST(SUM(employment) FILTER (WHERE region IN ({region_list(codes)})) AS BIGINT)'
@@ -516,19 +503,19 @@ FROM (SELECT period, questioncode, classification, cell_no,
 SELECT reference, period, CAST(SUM(employment) AS BIGINT) AS total_employment
 FROM sv_local_units GROUP BY reference, period""",
     "rm_percent": "SELECT reference, period, " + ", ".join(
-        f'ROUND("percentage_{name}", 4) AS "percentage_{name}"' for name in c.REGIONS)
+        f'"percentage_{name}" AS "percentage_{name}"' for name in c.REGIONS)
         + " FROM o_shares",
-    "rm_fill_own_region": f"SELECT {KEY}, region, {money('gross_turnover_uk')}, " + ", ".join(
-        f'ROUND("percentage_{name}", 4) AS "percentage_{name}"' for name in c.REGIONS)
+    "rm_fill_own_region": f"SELECT {KEY}, region, gross_turnover_uk, " + ", ".join(
+        f'"percentage_{name}" AS "percentage_{name}"' for name in c.REGIONS)
         + " FROM o_filled",
-    "rm_turnover": f"SELECT {KEY}, {money('gross_turnover_uk')}, " + ", ".join(
-        f'ROUND("percentage_{name}" * gross_turnover_uk, 4) AS "turnover_{name}"'
+    "rm_turnover": f"SELECT {KEY}, gross_turnover_uk, " + ", ".join(
+        f'"percentage_{name}" * gross_turnover_uk AS "turnover_{name}"'
         for name in c.REGIONS) + " FROM o_filled",
     "rm_output": repair("quarter = '2001Q3'"),
     "rm_output_latest": repair("quarter = (SELECT MAX(quarter) FROM o_long_turnover)"),
     "quarterly_extract": f"""
 SELECT quarter, region_name, {', '.join(
-    f'ROUND({xsum(TARGET_GROSS, f"questioncode = {q}")}, 4) AS "{q}"'
+    f'{xsum(TARGET_GROSS, f"questioncode = {q}")} AS "{q}"'
     for q in c.REPAIR_QUESTIONS)}
 FROM (SELECT t.*, {QUARTER} AS quarter, n.region_name FROM o_thousands t
       JOIN sv_regions n ON n.region_code = t.region
@@ -585,13 +572,13 @@ WHERE EXISTS (SELECT 1 FROM o_zeroed z WHERE z.reference = u.reference AND z.per
                   AND z.period = u.period AND z.questioncode = 290)"""
 _SQL["create_total"] = f"""
 SELECT {KEY}, status, imputation_flags_adjustedresponse, "290_flag",
-       {money('adjustedresponse')} FROM o_plain_total"""
+       adjustedresponse FROM o_plain_total"""
 _SQL["derive_total"] = f"""
 SELECT {KEY},
        CASE WHEN questioncode = 290 AND imputation_flags_adjustedresponse <> 'r' THEN 'd'
             ELSE imputation_flags_adjustedresponse END AS imputation_flags_adjustedresponse,
-       ROUND(CASE WHEN questioncode = 290 AND imputation_flags_adjustedresponse <> 'r'
-             THEN COALESCE(s.parts, adjustedresponse) ELSE adjustedresponse END, 4)
+       CASE WHEN questioncode = 290 AND imputation_flags_adjustedresponse <> 'r'
+             THEN COALESCE(s.parts, adjustedresponse) ELSE adjustedresponse END
            AS adjustedresponse
 FROM o_plain_total LEFT JOIN (
   SELECT reference, period, COALESCE({xsum('adjustedresponse')}, 0) AS parts FROM o_plain_total

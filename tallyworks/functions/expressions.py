@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, WindowSpec, functions as F
+from pyspark.sql import Column, Window, WindowSpec, functions as F
 
 from tallyworks import constants as c
 
@@ -31,6 +31,11 @@ def not_equal(column: Column | str, value) -> Column:
     return ~column.eqNullSafe(F.lit(value))
 
 
+def unit_window() -> WindowSpec:
+    """All rows of a (reference, period): at most one per question on the form."""
+    return Window.partitionBy(*c.UNIT)
+
+
 def exact_total(column: Column) -> Column:
     """Sum of amounts as fixed-point numbers.
 

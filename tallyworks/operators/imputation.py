@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tallyworks import constants as c
 from tallyworks.functions.expressions import exact_sum, month_index
@@ -25,11 +25,23 @@ C_MATCH, C_LINK = "flag_construction_matches", "construction_link"
 C_DEFAULT = f"default_link_{C_MATCH}"
 MANUAL = f"{c.TARGET}_man"
 
-_SERIES = Window.partitionBy(c.REFERENCE, c.QUESTION)
-_MONTHS = _SERIES.orderBy(c.PERIOD)
-_SO_FAR = _MONTHS.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-_LATEST_FIRST = _SERIES.orderBy(F.col(c.PERIOD).desc()).rowsBetween(
-    Window.unboundedPreceding, Window.currentRow)
+
+def _months() -> WindowSpec:
+    return Window.partitionBy(c.REFERENCE, c.QUESTION).orderBy(c.PERIOD)
+
+
+def _so_far(*run: str) -> WindowSpec:
+    """Months up to this one, within the series or within one of its runs."""
+    return (Window.partitionBy(c.REFERENCE, c.QUESTION, *run).orderBy(c.PERIOD)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _latest_first(*run: str) -> WindowSpec:
+    """This month and the later ones, latest first."""
+    return (Window.partitionBy(c.REFERENCE, c.QUESTION, *run)
+            .orderBy(F.col(c.PERIOD).desc())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
 
 # What an imputation chain is called, by the marker of the value it starts from.
 _CHAIN_KIND = {"mc": "fimc", "fimc": "fimc", "c": "fic", "fic": "fic"}
@@ -53,10 +65,10 @@ def match_flags(df: DataFrame) -> DataFrame:
     month, value = month_index(F.col(c.PERIOD)), returned_value(df)
     rows = df.withColumns({"_month": month, "_returned": value})
     rows = rows.withColumns({
-        "_before": F.when(F.lag("_month").over(_MONTHS) == F.col("_month") - 1,
-                          F.lag("_returned").over(_MONTHS)),
-        "_after": F.when(F.lead("_month").over(_MONTHS) == F.col("_month") + 1,
-                         F.lead("_returned").over(_MONTHS)),
+        "_before": F.when(F.lag("_month").over(_months()) == F.col("_month") - 1,
+                          F.lag("_returned").over(_months())),
+        "_after": F.when(F.lead("_month").over(_months()) == F.col("_month") + 1,
+                         F.lead("_returned").over(_months())),
     })
     here = F.col("_returned").isNotNull()
     return rows.withColumns({
@@ -148,14 +160,12 @@ def _anchored(df: DataFrame) -> DataFrame:
 def forward_impute(df: DataFrame) -> DataFrame:
     """Latest anchor times the forward links since: ``forward_value``, ``forward_kind``."""
     rows = _anchored(df).withColumns({
-        "_run": F.count("_anchor").over(_SO_FAR),
-        "forward_kind": F.last("_kind", ignorenulls=True).over(_SO_FAR),
-        "_start": F.last("_anchor", ignorenulls=True).over(_SO_FAR),
+        "_run": F.count("_anchor").over(_so_far()),
+        "forward_kind": F.last("_kind", ignorenulls=True).over(_so_far()),
+        "_start": F.last("_anchor", ignorenulls=True).over(_so_far()),
     })
-    run = Window.partitionBy(c.REFERENCE, c.QUESTION, "_run").orderBy(c.PERIOD).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
     step = F.when(F.col("_anchor").isNotNull(), 1.0).otherwise(F.col(F_LINK))
-    return (rows.withColumn("_chain", F.product(step).over(run))
+    return (rows.withColumn("_chain", F.product(step).over(_so_far("_run")))
             .withColumn("forward_value", F.col("_start") * F.col("_chain"))
             .drop("_run", "_start", "_chain", "_anchor", "_kind", "_returned"))
 
@@ -163,14 +173,11 @@ def forward_impute(df: DataFrame) -> DataFrame:
 def backward_impute(df: DataFrame) -> DataFrame:
     """Next answer times the backward links up to it: ``backward_value``."""
     rows = df.withColumn("_returned", returned_value(df)).withColumns({
-        "_run": F.count("_returned").over(_LATEST_FIRST),
-        "_start": F.last("_returned", ignorenulls=True).over(_LATEST_FIRST),
+        "_run": F.count("_returned").over(_latest_first()),
+        "_start": F.last("_returned", ignorenulls=True).over(_latest_first()),
     })
-    run = (Window.partitionBy(c.REFERENCE, c.QUESTION, "_run")
-           .orderBy(F.col(c.PERIOD).desc())
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     step = F.when(F.col("_returned").isNotNull(), 1.0).otherwise(F.col(B_LINK))
-    return (rows.withColumn("_chain", F.product(step).over(run))
+    return (rows.withColumn("_chain", F.product(step).over(_latest_first("_run")))
             .withColumn("backward_value", F.col("_start") * F.col("_chain"))
             .drop("_run", "_start", "_chain", "_returned"))
 
@@ -183,12 +190,12 @@ def construct(df: DataFrame) -> DataFrame:
     """
     open_rows = ~F.col("is_backdata")
     rows = df.withColumn(
-        "_first", open_rows & (F.count(F.when(open_rows, 1)).over(_SO_FAR) == 1))
+        "_first", open_rows & (F.count(F.when(open_rows, 1)).over(_so_far()) == 1))
     base = F.when(F.col("_first"), F.col(c.MONTHLY_AUXILIARY) * F.col(C_LINK))
     step = F.when(~open_rows | F.col("_first"), 1.0).otherwise(F.col(F_LINK))
     rows = rows.withColumns({
-        "_base": F.last(base, ignorenulls=True).over(_SO_FAR),
-        "_chain": F.product(step).over(_SO_FAR),
+        "_base": F.last(base, ignorenulls=True).over(_so_far()),
+        "_chain": F.product(step).over(_so_far()),
     })
     return rows.withColumns({
         "constructed_value": F.when(open_rows, F.col("_base") * F.col("_chain")),

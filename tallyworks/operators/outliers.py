@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyworks import constants as c
-from tallyworks.functions.expressions import exact_sum, is_in, truthy
+from tallyworks.functions.expressions import exact_sum, is_in, truthy, unit_window
 
 STRATUM = (c.QUESTION, c.PERIOD, c.CELL)
-UNIT_WINDOW = Window.partitionBy(*c.UNIT)
 
 
 def join_l_values(panel: DataFrame, classifications: DataFrame,
@@ -71,10 +70,10 @@ def total_outlier_weight(df: DataFrame, components: Iterable[int] = c.COMPONENTS
     """Outlier weight of a total: 1 if no component was trimmed, else the trimmed share."""
     is_component = is_in(c.QUESTION, components)
     weight, value = F.col("outlier_weight"), F.col(c.TARGET)
-    mean = F.avg(F.when(is_component, weight)).over(UNIT_WINDOW)
-    some = F.count(F.when(is_component, 1)).over(UNIT_WINDOW) > 0
+    mean = F.avg(F.when(is_component, weight)).over(unit_window())
+    some = F.count(F.when(is_component, 1)).over(unit_window()) > 0
     kept = F.coalesce(
-        exact_sum(F.when(is_component, weight * value), UNIT_WINDOW), F.lit(0.0))
+        exact_sum(F.when(is_component, weight * value), unit_window()), F.lit(0.0))
     return (df.withColumns({"_mean": mean, "_kept": F.when(some, kept)})
             .withColumn("outlier_weight",
                         F.when(F.col(c.QUESTION) != total, weight)

@@ -8,9 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyworks import constants as c
-from tallyworks.functions.expressions import exact_sum, not_equal, truthy
+from tallyworks.functions.expressions import exact_sum, not_equal, truthy, unit_window
 
-UNIT_WINDOW = Window.partitionBy(*c.UNIT)
 TOLERANCE = 1e-3
 
 
@@ -23,8 +22,8 @@ def rescale_total_only(df: DataFrame, total: int = c.TOTAL_QUESTION) -> DataFram
     value = F.col(c.TARGET)
 
     def over_unit(rows):
-        some = F.count(F.when(rows, 1)).over(UNIT_WINDOW) > 0
-        amount = exact_sum(F.when(rows, value), UNIT_WINDOW)
+        some = F.count(F.when(rows, 1)).over(unit_window()) > 0
+        amount = exact_sum(F.when(rows, value), unit_window())
         return F.when(some, F.coalesce(amount, F.lit(0.0)))
 
     sums = df.withColumns({
@@ -46,9 +45,9 @@ def derive_total(df: DataFrame, total: int = c.TOTAL_QUESTION) -> DataFrame:
     is_total = F.col(c.QUESTION) == total
     not_returned = not_equal(c.MARKER, "r")
     imputed = ~is_total & not_returned & (F.col(c.TOTAL_ONLY) == False)  # noqa: E712
-    some = F.count(F.when(imputed, 1)).over(UNIT_WINDOW) > 0
+    some = F.count(F.when(imputed, 1)).over(unit_window()) > 0
     amount = F.coalesce(
-        exact_sum(F.when(imputed, F.col(c.TARGET)), UNIT_WINDOW), F.lit(0.0))
+        exact_sum(F.when(imputed, F.col(c.TARGET)), unit_window()), F.lit(0.0))
     derive = is_total & not_returned
     return (df.withColumn("_derived", F.when(some, amount))
             .withColumns({
@@ -61,9 +60,9 @@ def derive_total(df: DataFrame, total: int = c.TOTAL_QUESTION) -> DataFrame:
 def check_totals(df: DataFrame, total: int = c.TOTAL_QUESTION) -> DataFrame:
     """Totals that differ from the sum of the other questions."""
     is_total = F.col(c.QUESTION) == total
-    some = F.count(F.when(~is_total, 1)).over(UNIT_WINDOW) > 0
+    some = F.count(F.when(~is_total, 1)).over(unit_window()) > 0
     amount = F.coalesce(
-        exact_sum(F.when(~is_total, F.col(c.TARGET)), UNIT_WINDOW), F.lit(0.0))
+        exact_sum(F.when(~is_total, F.col(c.TARGET)), unit_window()), F.lit(0.0))
     return (df.withColumn("components_sum", F.when(some, amount))
             .where(is_total
                    & (F.abs(F.col(c.TARGET) - F.col("components_sum")) >= TOLERANCE))

@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyworks import constants as c
 from tallyworks.functions.expressions import (
-    annual_to_monthly, exact_sum, is_in, not_equal, truthy,
+    annual_to_monthly, exact_sum, is_in, not_equal, truthy, unit_window,
 )
 from tallyworks.settings import SurveySettings
 
-# A (reference, period) holds one row per question on the form, so these windows stay
-# small whatever the number of units.
-UNIT_WINDOW = Window.partitionBy(*c.UNIT)
-
 
 def split_questions(responses: DataFrame, removed: Iterable[int]) -> tuple[DataFrame, DataFrame]:
     """Rows to process, and rows of the questions kept aside."""
@@ -142,19 +138,19 @@ def total_only_condition(total: int, statuses: Iterable[str]) -> Column:
     """A clear unit whose total is given while its components are zero or absent."""
     is_total, value = F.col(c.QUESTION) == total, F.col(c.TARGET)
     clear = _clear(statuses)
-    has_total = F.count(F.when(is_total, 1)).over(UNIT_WINDOW) > 0
-    has_other = F.count(F.when(~is_total, 1)).over(UNIT_WINDOW) > 0
-    total_sum = F.coalesce(exact_sum(F.when(is_total, value), UNIT_WINDOW), F.lit(0.0))
-    other_sum = F.coalesce(exact_sum(F.when(~is_total, value), UNIT_WINDOW), F.lit(0.0))
+    has_total = F.count(F.when(is_total, 1)).over(unit_window()) > 0
+    has_other = F.count(F.when(~is_total, 1)).over(unit_window()) > 0
+    total_sum = F.coalesce(exact_sum(F.when(is_total, value), unit_window()), F.lit(0.0))
+    other_sum = F.coalesce(exact_sum(F.when(~is_total, value), unit_window()), F.lit(0.0))
     return clear & has_total & (~has_other | ((other_sum == 0) & (total_sum != 0)))
 
 
 def total_zero_condition(total: int, statuses: Iterable[str]) -> Column:
     """A clear unit that answered nothing but a zero total."""
     value = F.col(c.TARGET)
-    only_total = F.count(F.when(not_equal(c.QUESTION, total), 1)).over(UNIT_WINDOW) == 0
-    no_missing = F.count(F.when(value.isNull(), 1)).over(UNIT_WINDOW) == 0
-    zero = F.coalesce(exact_sum(value, UNIT_WINDOW) == 0, F.lit(False))
+    only_total = F.count(F.when(not_equal(c.QUESTION, total), 1)).over(unit_window()) == 0
+    no_missing = F.count(F.when(value.isNull(), 1)).over(unit_window()) == 0
+    zero = F.coalesce(exact_sum(value, unit_window()) == 0, F.lit(False))
     return _clear(statuses) & only_total & no_missing & zero
 
 

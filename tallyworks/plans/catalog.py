@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyworks import constants as c
-from tallyworks.functions.expressions import annual_to_monthly, grossed, pounds_thousands
+from tallyworks.functions.expressions import (
+    annual_to_monthly, grossed, pounds_thousands, truthy,
+)
 from tallyworks.operators import (
     estimation, gates, imputation, legacy, outliers, outputs, panel, reconcile, regions, staging,
 )
@@ -156,18 +158,11 @@ def sink_stage(spark, sf):
 @query
 def src_results(spark, sf):
     """The outputs job reads what the main job saved."""
-    run = saved_run(spark, sf)
-    return _money(run.results.where(F.col("derived_zeros").isNull()
-                                    | ~F.col("derived_zeros"))
-                  .select(*KEY, c.MARKER, c.TARGET), c.TARGET)
+    results = saved_run(spark, sf).results
+    return results.where(~truthy("derived_zeros")).select(*KEY, c.MARKER, c.TARGET)
 
 
 # ---- row rules -----------------------------------------------------------------------
-def _money(df: DataFrame, *columns: str) -> DataFrame:
-    """Amounts to a hundredth of a penny, ahead of a comparison across engines."""
-    return df.withColumns({name: F.round(name, 4) for name in columns})
-
-
 def _thousands(spark, sf) -> DataFrame:
     return outputs.target_in_thousands(saved_run(spark, sf).results)
 
@@ -241,7 +236,7 @@ def _zeroed(spark, sf) -> DataFrame:
 def derived_zeros(spark, sf):
     return _zeroed(spark, sf).select(
         *KEY, "status", c.CELL, "derived_zeros", "skipped_question", "290_flag",
-        F.round(c.TARGET, 4).alias(c.TARGET))
+        c.TARGET)
 
 
 @query
@@ -262,14 +257,13 @@ def derived_to_fir(spark, sf):
 
 @query
 def target_in_thousands(spark, sf):
-    return _money(_thousands(spark, sf).select(*KEY, c.TARGET, f"{c.TARGET}_actual"),
-                  c.TARGET, f"{c.TARGET}_actual")
+    return _thousands(spark, sf).select(*KEY, c.TARGET, f"{c.TARGET}_actual")
 
 
 @query
 def grossed_value(spark, sf):
     return saved_run(spark, sf).results.select(
-        *KEY, F.round(grossed(F.col(c.THOUSANDS)), 4).alias("grossed"))
+        *KEY, grossed(F.col(c.THOUSANDS)).alias("grossed"))
 
 
 @query
@@ -395,23 +389,20 @@ def match_counts(spark, sf):
 @query
 def links(spark, sf):
     return imputation.link_table(saved_run(spark, sf).staged).select(
-        *imputation.LINK_KEY, *[F.round(name, 9).alias(name) for name in
-                                (imputation.F_LINK, imputation.B_LINK)],
+        *imputation.LINK_KEY, imputation.F_LINK, imputation.B_LINK,
         imputation.F_DEFAULT, imputation.B_DEFAULT)
 
 
 @query
 def links_filtered(spark, sf):
-    table = imputation.filtered_link_counts(imputation.link_table(
+    return imputation.filtered_link_counts(imputation.link_table(
         saved_run(spark, sf).staged, survey.link_filter(spark, sf)))
-    return table.withColumns({name: F.round(name, 9) for name in (
-        imputation.F_LINK, imputation.B_LINK, imputation.C_LINK)})
 
 
 @query
 def construction_link(spark, sf):
     return imputation.link_table(saved_run(spark, sf).staged).select(
-        *imputation.LINK_KEY, F.round(imputation.C_LINK, 9).alias(imputation.C_LINK),
+        *imputation.LINK_KEY, imputation.C_LINK,
         imputation.C_DEFAULT)
 
 
@@ -436,20 +427,20 @@ def manual_construction(spark, sf):
 
 @query
 def forward_impute(spark, sf):
-    return _money(imputation.forward_impute(_linked(spark, sf)).select(
-        *KEY, "forward_value", "forward_kind"), "forward_value")
+    return imputation.forward_impute(_linked(spark, sf)).select(
+        *KEY, "forward_value", "forward_kind")
 
 
 @query
 def backward_impute(spark, sf):
-    return _money(imputation.backward_impute(_linked(spark, sf)).select(
-        *KEY, "backward_value"), "backward_value")
+    return imputation.backward_impute(_linked(spark, sf)).select(
+        *KEY, "backward_value")
 
 
 @query
 def construct(spark, sf):
-    return _money(imputation.construct(_linked(spark, sf)).select(
-        *KEY, "constructed_value", "constructed_kind"), "constructed_value")
+    return imputation.construct(_linked(spark, sf)).select(
+        *KEY, "constructed_value", "constructed_kind")
 
 
 @query
@@ -457,32 +448,30 @@ def ratio_of_means(spark, sf):
     run = saved_run(spark, sf)
     rows = imputation.ratio_of_means(
         stages.by_reference(run.staged), S, run.inputs.manual, keep=RunStore(spark).keep)
-    return _money(rows.select(*KEY, c.TARGET, c.MARKER, "is_backdata"), c.TARGET)
+    return rows.select(*KEY, c.TARGET, c.MARKER, "is_backdata")
 
 
 @query
 def rescale_total_only(spark, sf):
-    return _money(reconcile.rescale_total_only(_zeroed(spark, sf)).select(
-        *KEY, c.TARGET, f"{c.TARGET}_pre_rescale", "failed_rescale"),
-        c.TARGET, f"{c.TARGET}_pre_rescale")
+    return reconcile.rescale_total_only(_zeroed(spark, sf)).select(
+        *KEY, c.TARGET, f"{c.TARGET}_pre_rescale", "failed_rescale")
 
 
 @query
 def create_total(spark, sf):
-    return _money(panel.create_total(imputation.mark_derived_zeros(_zeroed(spark, sf))).select(
-        *KEY, "status", c.MARKER, "290_flag", c.TARGET), c.TARGET)
+    return panel.create_total(imputation.mark_derived_zeros(_zeroed(spark, sf))).select(
+        *KEY, "status", c.MARKER, "290_flag", c.TARGET)
 
 
 @query
 def derive_total(spark, sf):
     rows = panel.create_total(imputation.mark_derived_zeros(_zeroed(spark, sf)))
-    return _money(reconcile.derive_total(rows).select(*KEY, c.MARKER, c.TARGET), c.TARGET)
+    return reconcile.derive_total(rows).select(*KEY, c.MARKER, c.TARGET)
 
 
 @query
 def check_totals(spark, sf):
-    return _money(reconcile.check_totals(saved_run(spark, sf).imputed),
-                  c.TARGET, "components_sum")
+    return reconcile.check_totals(saved_run(spark, sf).imputed)
 
 
 @query
@@ -499,9 +488,9 @@ def check_r_before_d_top5(spark, sf):
 def impute_panel(spark, sf):
     run = saved_run(spark, sf)
     rows = stages.impute_panel(run.staged, S, run.inputs.manual, keep=RunStore(spark).keep)
-    return _money(rows.select(
+    return rows.select(
         *KEY, c.TARGET, c.THOUSANDS, c.MARKER, "derived_zeros", "failed_rescale",
-        c.MONTHLY_AUXILIARY), c.TARGET, c.THOUSANDS)
+        c.MONTHLY_AUXILIARY)
 
 
 # ---- estimation ----------------------------------------------------------------------
@@ -518,14 +507,14 @@ def population_counts(spark, sf):
 @query
 def design_weight(spark, sf):
     return estimation.design_weight(population_counts(spark, sf), S).select(
-        c.PERIOD, c.CELL, F.round("design_weight", 9).alias("design_weight"))
+        c.PERIOD, c.CELL, "design_weight")
 
 
 @query
 def calibration_factor(spark, sf):
     weights = estimation.cell_weights(survey.population(spark, sf), survey.sample(spark, sf), S)
     return weights.select(c.PERIOD, c.CELL, "is_census",
-                          F.round("calibration_factor", 9).alias("calibration_factor"))
+                          "calibration_factor")
 
 
 @query
@@ -533,8 +522,8 @@ def estimate(spark, sf):
     run = saved_run(spark, sf)
     rows = stages.weighted_panel(run.imputed, run.inputs, S, RunStore(spark).keep)
     return rows.select(
-        *KEY, "is_sampled", "is_census", F.round("design_weight", 9).alias("design_weight"),
-        F.round("calibration_factor", 9).alias("calibration_factor"))
+        *KEY, "is_sampled", "is_census", "design_weight",
+        "calibration_factor")
 
 
 # ---- outliers ------------------------------------------------------------------------
@@ -548,16 +537,16 @@ def _valued(spark, sf) -> DataFrame:
 def winsorise(spark, sf):
     rows = outliers.winsorise(_valued(spark, sf), keep=RunStore(spark).keep)
     return rows.select(
-        *KEY, "nw_ag_flag", F.round("predicted_unit_value", 4).alias("predicted_unit_value"),
-        F.round("new_target_variable", 4).alias("new_target_variable"),
-        F.round("outlier_weight", 9).alias("outlier_weight"))
+        *KEY, "nw_ag_flag", "predicted_unit_value",
+        "new_target_variable",
+        "outlier_weight")
 
 
 @query
 def total_outlier_weight(spark, sf):
     rows = outliers.winsorise(_valued(spark, sf), keep=RunStore(spark).keep)
     return outliers.total_outlier_weight(rows).where(F.col(c.QUESTION) == S.total).select(
-        *KEY, F.round("outlier_weight", 9).alias("outlier_weight"))
+        *KEY, "outlier_weight")
 
 
 @query
@@ -570,7 +559,7 @@ def manual_outlier_weight(spark, sf):
 @query
 def winsorised_value(spark, sf):
     rows = outliers.winsorised_value(saved_run(spark, sf).trimmed.drop("winsorised_value"))
-    return _money(rows.select(*KEY, "winsorised_value"), "winsorised_value")
+    return rows.select(*KEY, "winsorised_value")
 
 
 @query
@@ -578,19 +567,14 @@ def detect_outlier(spark, sf):
     run = saved_run(spark, sf)
     rows = stages.trimmed_panel(run.weighted, run.inputs, S, RunStore(spark).keep)
     return rows.select(
-        *KEY, "classification", F.round("outlier_weight", 9).alias("outlier_weight"),
-        F.round("winsorised_value", 4).alias("winsorised_value"))
+        *KEY, "classification", "outlier_weight",
+        "winsorised_value")
 
 
 # ---- outputs -------------------------------------------------------------------------
 @query
 def results_table(spark, sf):
-    rows = stages.survey_results(survey.inputs(spark, sf), S, RunStore(spark).keep)
-    return rows.withColumns({
-        **{name: F.round(name, 4) for name in (c.TARGET, c.THOUSANDS, "winsorised_value")},
-        **{name: F.round(name, 9) for name in (
-            "design_weight", "calibration_factor", "outlier_weight", imputation.F_LINK,
-            imputation.B_LINK, imputation.C_LINK)}})
+    return stages.survey_results(survey.inputs(spark, sf), S, RunStore(spark).keep)
 
 
 @query
@@ -609,52 +593,47 @@ def qa_suffix(spark, sf):
     return outputs.qa_suffix(saved_run(spark, sf).results).select(*KEY, c.MARKER, "290_flag")
 
 
-def _rounded(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    kinds = dict(df.dtypes)
-    return df.withColumns({name: F.round(F.col(f"`{name}`"), 4) for name in df.columns
-                           if kinds[name] == "double" and name not in keep})
-
-
 @query
 def qa_pivot(spark, sf):
-    return _rounded(outputs.qa_pivot(
-        saved_run(spark, sf).results.where(F.col(c.QUESTION) != S.total), (201, 202, 211)), ())
+    return outputs.qa_pivot(
+        saved_run(spark, sf).results.where(F.col(c.QUESTION) != S.total), (201, 202, 211))
 
 
 @query
 def qa_output(spark, sf):
-    return _rounded(outputs.qa_output(saved_run(spark, sf).results, S), ())
+    return outputs.qa_output(saved_run(spark, sf).results, S)
 
 
 @query
 def constructed(spark, sf):
-    return _money(outputs.constructed(_thousands(spark, sf), S), "constructedresponse")
+    return outputs.constructed(_thousands(spark, sf), S)
 
 
 @query
 def imputation_contribution(spark, sf):
-    return _rounded(outputs.imputation_contribution(_thousands(spark, sf)), ())
+    return outputs.imputation_contribution(_thousands(spark, sf))
 
 
 @query
 def growth_table(spark, sf):
-    return _rounded(outputs.growth_table(_thousands(spark, sf), S.periods[-24:]), ())
+    return outputs.growth_table(_thousands(spark, sf), S.periods[-24:])
 
 
 @query
 def cord(spark, sf):
-    return _rounded(outputs.cord(_thousands(spark, sf), S.periods, S), ())
+    return outputs.cord(_thousands(spark, sf), S.periods, S)
 
 
 @query
 def sizeband(spark, sf):
-    return _rounded(outputs.sizeband(_thousands(spark, sf)), ())
+    return outputs.sizeband(_thousands(spark, sf))
 
 
 @query
 def standard_errors(spark, sf):
-    rows = saved_run(spark, sf).trimmed
-    return outputs.standard_errors(rows.where(F.col("290_flag").isNotNull()), c.THOUSANDS)
+    """Of whole thousands."""
+    rows = saved_run(spark, sf).trimmed.where(F.col("290_flag").isNotNull())
+    return outputs.standard_errors(rows.withColumn("whole", F.floor(c.THOUSANDS)), "whole")
 
 
 @query
@@ -669,7 +648,7 @@ def rm_total_employment(spark, sf):
 
 @query
 def rm_percent(spark, sf):
-    return _rounded(regions.rm_percent(survey.local_units(spark, sf)), ())
+    return regions.rm_percent(survey.local_units(spark, sf))
 
 
 def _shared(spark, sf) -> DataFrame:
@@ -679,7 +658,7 @@ def _shared(spark, sf) -> DataFrame:
 
 @query
 def rm_fill_own_region(spark, sf):
-    return _rounded(regions.rm_fill_own_region(_shared(spark, sf)), ())
+    return regions.rm_fill_own_region(_shared(spark, sf))
 
 
 def _turnover(spark, sf) -> DataFrame:
@@ -691,25 +670,25 @@ def _turnover(spark, sf) -> DataFrame:
 @query
 def rm_turnover(spark, sf):
     rows = _turnover(spark, sf)
-    return _rounded(rows.select(
+    return rows.select(
         *KEY, "gross_turnover_uk",
-        *[name for name in rows.columns if name.startswith("turnover_")]), ())
+        *[name for name in rows.columns if name.startswith("turnover_")])
 
 
 @query
 def rm_output(spark, sf):
-    return _rounded(regions.rm_output(_turnover(spark, sf), PRINTED_QUARTER), ())
+    return regions.rm_output(_turnover(spark, sf), PRINTED_QUARTER)
 
 
 @query
 def rm_output_latest(spark, sf):
-    return _rounded(regions.rm_output(_turnover(spark, sf)), ())
+    return regions.rm_output(_turnover(spark, sf))
 
 
 @query
 def quarterly_extract(spark, sf):
-    return _rounded(regions.quarterly_extract(
-        _thousands(spark, sf), survey.region_names(spark), PRINTED_QUARTER), ())
+    return regions.quarterly_extract(
+        _thousands(spark, sf), survey.region_names(spark), PRINTED_QUARTER)
 
 
 @query

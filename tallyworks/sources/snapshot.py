@@ -70,6 +70,10 @@ def read_snapshot_columnar(
     return part("contributors", contributor_fields), part("responses", response_fields)
 
 
+def _field(name: str):
+    return lambda row: row[name]
+
+
 def _objects(df: DataFrame, part: str, snapshot_id: str, columnar: bool,
              rows_per_object: int) -> DataFrame:
     """JSON text of ``df`` in objects of at most ``rows_per_object`` rows."""
@@ -79,7 +83,7 @@ def _objects(df: DataFrame, part: str, snapshot_id: str, columnar: bool,
     body = F.col("rows")
     if columnar:
         body = F.struct(*[
-            F.transform("rows", lambda row, f=name: row[f]).alias(name) for name in df.columns])
+            F.transform("rows", _field(name)).alias(name) for name in df.columns])
     return chunks.select(F.to_json(
         F.struct(F.lit(snapshot_id).alias("snapshot_id"), body.alias(part)),
         {"ignoreNullFields": "false"}).alias("value"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import duckdb
+import pandas as pd
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -29,7 +30,7 @@ def _cell(value):
 
 def _rows(pdf) -> list[tuple]:
     names = sorted(pdf.columns)
-    table = [tuple(_cell(None if v != v else v) for v in row)
+    table = [tuple(_cell(None if pd.isna(v) else v) for v in row)
              for row in pdf[names].astype(object).itertuples(index=False)]
     return sorted(table, key=lambda row: tuple((v is None, str(type(v)), v) if v is not None
                                                else (True, "", 0) for v in row))
