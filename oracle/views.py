@@ -15,9 +15,11 @@ NON_RESPONSE = ", ".join(f"'{s}'" for s in c.NON_RESPONSE_STATUSES)
 
 
 def xsum(expression: str, where: str | None = None) -> str:
-    """Exact sum of amounts."""
+    """Sum of amounts, exact to a millionth."""
     tail = f" FILTER (WHERE {where})" if where else ""
-    return f"CAST(SUM(CAST({expression} AS DECIMAL(28,6))){tail} AS DOUBLE)"
+    return (f"(CAST(SUM(CAST(FLOOR({expression}) AS BIGINT)){tail} AS DOUBLE) + CAST(SUM(CAST("
+            f"FLOOR(({expression} - FLOOR({expression})) * 1e6 + 0.5) AS BIGINT)){tail}"
+            f" AS DOUBLE) / 1e6)")
 
 
 def nation_pick(values, column: str, base: int) -> str:

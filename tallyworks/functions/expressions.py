@@ -8,8 +8,6 @@ from pyspark.sql import Column, Window, WindowSpec, functions as F
 
 from tallyworks import constants as c
 
-MONEY = "decimal(28,6)"
-
 
 def is_in(column: Column | str, values: Iterable) -> Column:
     """Membership that is false, not NULL, for a missing value."""
@@ -36,18 +34,20 @@ def unit_window() -> WindowSpec:
     return Window.partitionBy(*c.UNIT)
 
 
-def exact_total(column: Column) -> Column:
-    """Sum of amounts as fixed-point numbers.
+def exact_sum(column: Column, over: WindowSpec | None = None) -> Column:
+    """Sum of amounts, exact to a millionth, added as whole numbers.
 
-    Partial sums arrive in any order, and in another order again when an executor is
-    lost.  Fixed-point addition gives the same published figure each time.
+    Partial sums arrive in any order, and in another order again when an executor is lost.
+    Integer addition gives the same published figure each time, which floating-point
+    addition does not.  Wholes and millionths are two long sums, so nothing leaves
+    primitive code and a total may be as large as a long.
     """
-    return F.sum(column.cast(MONEY))
-
-
-def exact_sum(column: Column, over: WindowSpec | None = None) -> Column:
-    total = exact_total(column)
-    return (total if over is None else total.over(over)).cast("double")
+    whole = F.floor(column)
+    millionths = F.floor((column - whole) * 1e6 + 0.5)
+    wholes, parts = F.sum(whole), F.sum(millionths)
+    if over is not None:
+        wholes, parts = wholes.over(over), parts.over(over)
+    return wholes.cast("double") + parts.cast("double") / 1e6
 
 
 def month_index(period: Column) -> Column:

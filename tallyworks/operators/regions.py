@@ -103,13 +103,11 @@ def quarterly_extract(results: DataFrame, regions: DataFrame, quarter: str,
     rows = (results.where(is_in(c.QUESTION, questions))
             .withColumn("quarter", quarter_label(F.col(c.PERIOD)))
             .where(F.col("quarter") == quarter))
-    # Reduce to region codes before names are attached.
-    value = grossed(F.col(c.TARGET)).cast("decimal(28,6)")
-    by_code = rows.groupBy("quarter", "region", c.QUESTION).agg(F.sum(value).alias("_value"))
-    named = by_code.join(
+    named = rows.join(
         regions.select(F.col("region_code").alias("region"), "region_name"), "region")
+    value = grossed(F.col(c.TARGET))
     wide = named.groupBy("quarter", "region_name").agg(*[
-        F.sum(F.when(F.col(c.QUESTION) == question, F.col("_value"))).cast("double")
-        .alias(str(question)) for question in questions])
+        exact_sum(F.when(F.col(c.QUESTION) == question, value)).alias(str(question))
+        for question in questions])
     rank = F.array_position(F.array(*[F.lit(r) for r in REGION_NAMES]), F.col("region_name"))
     return wide.orderBy("quarter", rank)

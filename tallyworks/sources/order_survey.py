@@ -37,19 +37,36 @@ def _region(nation: Column) -> Column:
     return F.element_at(codes, (nation % 13 + 1).cast("int"))
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _question_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per unit and month with the pence of each question as columns.
+
+    One shuffle, after map-side partial sums, whatever share of lines a supplier holds.
+    """
     line = F.col("l_linenumber")
-    question = F.lit(232)
-    for number, code in _QUESTIONS.items():
-        question = F.when(line == number, code).otherwise(question)
     month = F.year("l_shipdate") * 12 + F.month("l_shipdate")
+    pence = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+    picks = {code: line == number for number, code in _QUESTIONS.items()}
+    picks[232] = line > max(_QUESTIONS)
     return (_table(spark, sf_dir, "lineitem")
-            .select(F.col("l_suppkey").cast("bigint").alias(c.REFERENCE),
-                    month.cast("int").alias("m"), question.alias(c.QUESTION),
-                    F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
-            .groupBy(c.REFERENCE, "m", c.QUESTION).agg(F.sum("price").alias("amount"))
-            .select(c.REFERENCE, period_of(F.col("m")).alias(c.PERIOD), "m", c.QUESTION,
-                    "amount"))
+            .groupBy(F.col("l_suppkey").cast("bigint").alias(c.REFERENCE),
+                     month.cast("int").alias("m"))
+            .agg(*[F.sum(F.when(pick, pence)).alias(str(code))
+                   for code, pick in picks.items()]))
+
+
+def _given(codes=(*_QUESTIONS.values(), 232)) -> Column:
+    """The questions with lines, as an array of (questioncode, pence)."""
+    pairs = F.array(*[F.struct(F.lit(code).alias(c.QUESTION), F.col(str(code)).alias("pence"))
+                      for code in codes])
+    return F.filter(pairs, lambda pair: pair["pence"].isNotNull())
+
+
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _question_sums(spark, sf_dir).select(
+        c.REFERENCE, "m", F.explode(_given()).alias("_g"))
+    return rows.select(c.REFERENCE, period_of(F.col("m")).alias(c.PERIOD), "m",
+                       F.col("_g").getField(c.QUESTION).alias(c.QUESTION),
+                       (F.col("_g.pence") / 100.0).alias("amount"))
 
 
 def _unit_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,19 +99,19 @@ def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers: some units give the total alone, some a zero total, some no total."""
     kind = (F.col(c.REFERENCE) * 5 + F.col("m")) % 17
-    answered = raw(spark, sf_dir).where((F.col(c.REFERENCE) * 7 + F.col("m") * 3) % 20 != 0)
-    grouped = answered.groupBy(c.REFERENCE, c.PERIOD, "m").agg(
-        F.collect_list(F.struct(c.QUESTION, "amount")).alias("_parts"),
-        F.sum("amount").alias("_sum"))
-    parts = F.when(kind > 1, F.transform("_parts", lambda p: F.struct(
-        p[c.QUESTION].alias(c.QUESTION), p["amount"].cast("double").alias(c.TARGET)))).otherwise(
-        F.array().cast("array<struct<questioncode:int,adjustedresponse:double>>"))
-    total = F.when(kind != 2, F.array(F.struct(
-        F.lit(c.TOTAL_QUESTION).alias(c.QUESTION),
-        F.when(kind == 1, 0.0).otherwise(F.col("_sum").cast("double")).alias(c.TARGET))))
-    lines = F.concat(parts, F.coalesce(
-        total, F.array().cast("array<struct<questioncode:int,adjustedresponse:double>>")))
-    return grouped.select(*c.UNIT, F.explode(lines).alias("_l")).select(*c.UNIT, "_l.*")
+    units = _question_sums(spark, sf_dir).where(
+        (F.col(c.REFERENCE) * 7 + F.col("m") * 3) % 20 != 0)
+    given = _given()
+    nothing = F.filter(given, lambda pair: F.lit(False))
+    total = F.aggregate(given, F.lit(0).cast("bigint"), lambda so_far, pair: so_far + pair["pence"])
+    total = F.array(F.struct(F.lit(c.TOTAL_QUESTION).alias(c.QUESTION),
+                             F.when(kind == 1, F.lit(0)).otherwise(total).alias("pence")))
+    lines = F.concat(F.when(kind > 1, given).otherwise(nothing),
+                     F.when(kind != 2, total).otherwise(nothing))
+    return units.select(
+        c.REFERENCE, period_of(F.col("m")).alias(c.PERIOD), F.explode(lines).alias("_l"),
+    ).select(*c.UNIT, F.col("_l").getField(c.QUESTION).alias(c.QUESTION),
+             (F.col("_l.pence") / 100.0).alias(c.TARGET))
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,35 @@
+"""Small tables written as text, one row per line, and comparison of rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+
+def _value(text: str, kind: T.DataType):
+    if text in ("", "-"):
+        return None
+    if isinstance(kind, T.BooleanType):
+        return text.lower() in ("true", "t")
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        return int(text)
+    return float(text) if isinstance(kind, T.DoubleType) else text
+
+
+def table(spark: SparkSession, schema: str, text: str) -> DataFrame:
+    """Comma-separated lines; an empty field is missing."""
+    struct = T._parse_datatype_string(schema)
+    data = [tuple(_value(cell.strip(), f.dataType) for cell, f in zip(line.split(","), struct))
+            for line in text.strip().splitlines()]
+    return spark.createDataFrame(data, struct)
+
+
+def same(left: DataFrame, right: DataFrame, digits: int = 6) -> None:
+    assert sorted(left.columns) == sorted(right.columns)
+    names = sorted(left.columns)
+
+    def rows(df):
+        out = [tuple(round(float(v), digits) if isinstance(v, (int, float))
+                     and not isinstance(v, bool) else v for v in row)
+               for row in df.select(*[f"`{n}`" for n in names]).collect()]
+        return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert rows(left) == rows(right)
