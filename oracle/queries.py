@@ -280,8 +280,8 @@ SELECT {KEY}, adjustedresponse, NULL AS imputation_flags_adjustedresponse
 FROM sv_responses WHERE period <> {BACK}
 UNION ALL
 SELECT reference, period, question_no, adjusted_value,
-       CASE type WHEN 1 THEN 'r' WHEN 2 THEN 'derived' WHEN 3 THEN 'fir' END
-FROM sv_legacy_questions WHERE period = {BACK}""",
+       CASE type WHEN 1 THEN 'r' WHEN 3 THEN 'fir' END
+FROM sv_legacy_questions WHERE period = {BACK} AND type <> 2""",
     "legacy_to_panel": """
 SELECT reference, period,
        CASE error_mkr WHEN 'E' THEN 'Check needed' WHEN 'O' THEN 'Clear - overridden'

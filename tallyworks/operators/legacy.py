@@ -10,6 +10,7 @@ from tallyworks import constants as c
 from tallyworks.functions.expressions import is_in
 
 LEGACY_UNIT = ("reference", "period")
+NO_ANSWER = ("derived", "selected, no return")
 
 
 def _says_no(answer, no_values: Iterable):
@@ -79,8 +80,12 @@ def legacy_contributors(contributors: DataFrame) -> DataFrame:
 def append_back_data(responses: DataFrame, contributors: DataFrame,
                      back_questions: DataFrame, back_contributors: DataFrame,
                      ) -> tuple[DataFrame, DataFrame]:
-    """The month before the revision window, added to both tables."""
-    answers = legacy_responses(back_questions).select(
+    """The month before the revision window, added to both tables.
+
+    Derived values and units without a return are no answers and are left out.
+    """
+    answered = ~is_in(c.MARKER, NO_ANSWER)
+    answers = legacy_responses(back_questions).where(answered).select(
         c.REFERENCE, c.PERIOD, c.QUESTION, F.col("response").cast("string").alias("response"),
         F.col(c.TARGET).cast("double").alias(c.TARGET), c.MARKER)
     units = legacy_contributors(back_contributors).select(*c.UNIT, "status", "statusencoded")

@@ -1,0 +1,169 @@
+"""One small run from returns to results, checked row by row."""
+
+import pytest
+from rows import table
+
+from tallyworks import constants as c
+from tallyworks.operators import legacy, outputs
+from tallyworks.plans import additional, stages
+from tallyworks.settings import SurveySettings
+from tallyworks.sources.store import RunStore
+
+A, B, C = 10000000000, 10000000001, 10000000002
+BASE = (201, 202, 221, 222, 231, 232, 241, 242, 243)
+ANSWER, SHORT = 99999.0, 999.0
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    settings = SurveySettings(202303, 3)
+    statuses = {(C, 202302): ("Clear - overridden", 211), (C, 202303): ("Form sent out", 100)}
+    months = (202301, 202302, 202303)
+    contributors = spark.createDataFrame(
+        [(ref, p, *statuses.get((ref, p), ("Clear", 210))) for ref in (A, B, C) for p in months],
+        "reference long, period int, status string, statusencoded int")
+    given = {(A, 202301): {211: ANSWER, 210: ANSWER, 290: ANSWER, 11: ANSWER, 12: ANSWER},
+             (B, 202301): {211: 0.0, 210: 0.0, 290: ANSWER, 11: ANSWER, 12: ANSWER},
+             (C, 202301): {211: ANSWER, 290: ANSWER}, (C, 202302): {290: 77777.0}}
+    responses = spark.createDataFrame(
+        [(*key, q, "99999", v) for key, qs in given.items() for q, v in qs.items()],
+        "reference long, period int, questioncode int, response string, "
+        "adjustedresponse double")
+    back = [(202212, ref, q, SHORT if q in (own, 290) else 0.0, SHORT if q in (own, 290) else 0.0,
+             999, 1) for ref, own in ((A, 211), (B, 212)) for q in (211, 212, 290, *BASE)]
+    back.append((202212, B, -999, -999.0, -999.0, -999, 2))
+    questions = spark.createDataFrame(
+        back, "period int, reference long, question_no int, returned_value double, "
+              "adjusted_value double, instance int, type int")
+    back_units = spark.createDataFrame(
+        [(202212, ref, "O", 1) for ref in (A, B)],
+        "period int, reference long, error_mkr string, response_type int")
+    responses, contributors = legacy.append_back_data(
+        responses, contributors, questions, back_units)
+    frame = spark.createDataFrame(
+        [(ref, p, sic, "9999", 6, 999, 999.0, "ZZZ", "ZZZ ZZ", "ZZZ ZZ")
+         for ref, sic in ((A, "40000"), (B, "50000"), (C, "50000"))
+         for p in (202212, *months) if not (ref == C and p == 202212)],
+        "reference long, period int, frosic2007 string, formtype string, cell_no int, "
+        "froempment int, frotover double, region string, runame1 string, entname1 string")
+    population = spark.createDataFrame(
+        [(ref, p, 999, 999.0) for ref in (A, B, C, 10000000003) for p in months],
+        "reference long, period int, cell_no int, frotover double")
+    inputs = stages.SurveyInputs(
+        responses=responses, contributors=contributors, frame=frame, population=population,
+        sample=frame.where("period > 202212").select(*c.UNIT),
+        classifications=table(spark, "sic_5_digit string, classification int", """
+40000,200
+50000,400
+60000,600"""),
+        l_values=table(spark, "classification int, questioncode int, l_value double", """
+200,210,200210
+200,211,200210
+400,210,400211
+400,211,400210
+400,202,54400"""),
+        manual=table(spark, "reference long, period int, questioncode int, "
+                            "adjustedresponse double", f"{A},202302,210,8657443"))
+    return stages.survey_results(inputs, settings, RunStore(spark).keep).cache()
+
+
+def by_key(results):
+    return {(r.reference, r.period, r.questioncode): r for r in results.collect()}
+
+
+def test_every_row_is_there(results):
+    rows = by_key(results)
+    assert results.count() == len(rows) == 115
+    assert results.columns == outputs.results_columns()
+    want = {(ref, p, q) for ref in (A, B, C) for p in (202301, 202302, 202303)
+            for q in (211, 212, 290, *BASE)}
+    want |= {(A, p, 210) for p in (202301, 202302, 202303)}
+    want |= {(ref, 202301, q) for ref in (A, B) for q in (11, 12)}
+    assert set(rows) == want
+
+
+def test_values_and_markers(results):
+    rows = by_key(results)
+    known = {
+        (A, 202301, 210): (ANSWER, "r"), (A, 202302, 210): (8657443.0, "mc"),
+        (A, 202303, 210): (8657443.0, "fimc"), (A, 202301, 211): (ANSWER, "r"),
+        (A, 202302, 211): (ANSWER, "fir"), (A, 202303, 211): (ANSWER, "fir"),
+        (B, 202301, 211): (0.0, "fir"), (B, 202301, 212): (ANSWER, "fir"),
+        (B, 202302, 212): (SHORT, "fir"), (B, 202303, 212): (SHORT, "fir"),
+        (C, 202301, 211): (ANSWER, "r"), (C, 202302, 211): (77777.0, "fir"),
+        (C, 202303, 211): (ANSWER, "fir"), (A, 202301, 290): (ANSWER, "r"),
+        (B, 202301, 290): (ANSWER, "r"), (C, 202301, 290): (ANSWER, "r"),
+        (C, 202302, 290): (77777.0, "r"), (C, 202303, 290): (ANSWER, "d"),
+        (A, 202302, 290): (8757442.0, "d"), (A, 202303, 290): (8757442.0, "d"),
+        (B, 202302, 290): (SHORT, "d"), (B, 202303, 290): (SHORT, "d"),
+    }
+    for key, row in rows.items():
+        if key[2] in (11, 12):
+            assert row.adjustedresponse == ANSWER and row.classification is None
+            assert row.imputation_flags_adjustedresponse is None
+            continue
+        if key in known:
+            amount, marker = known[key]
+        elif key[2] == 211 or key[0] == B:
+            amount, marker = 0.0, "fir"
+        else:
+            amount = 0.0
+            marker = "fir" if key[0] == C and key[1] > 202301 else "r"
+        assert row.adjustedresponse == pytest.approx(amount), key
+        assert row.imputation_flags_adjustedresponse == marker, key
+        per = 1 if key[2] == 210 else 1000
+        assert row.adjustedresponse_pounds_thousands == pytest.approx(amount / per), key
+        assert row["290_flag"] == (key[:2] in ((B, 202301), (C, 202302))), key
+
+
+def test_links(results):
+    rows = by_key(results)
+    row = rows[(B, 202301, 211)]
+    assert row.f_link_adjustedresponse == pytest.approx(99999 / 999)
+    assert (row.f_match_adjustedresponse_count, row.b_match_adjustedresponse_count) == (1, 0)
+    assert row.construction_link == pytest.approx(99999 / 83250)
+    assert row.flag_construction_matches_count == 2
+    row = rows[(A, 202301, 290)]
+    assert row.b_link_adjustedresponse == pytest.approx(99999 / 77777)
+    assert (row.f_match_adjustedresponse_count, row.flag_construction_matches_count) == (2, 3)
+    row = rows[(C, 202302, 290)]
+    assert row.f_link_adjustedresponse == pytest.approx(77777 / 99999)
+    assert row.construction_link == pytest.approx(77777 / 83250)
+    row = rows[(A, 202301, 201)]
+    assert (row.f_link_adjustedresponse, row.default_link_f_match_adjustedresponse) == (1, True)
+    assert (row.construction_link, row.default_link_flag_construction_matches) == (0.0, False)
+    assert (row.f_match_adjustedresponse_count, row.flag_construction_matches_count) == (1, 2)
+    row = rows[(A, 202302, 211)]
+    assert (row.construction_link, row.default_link_flag_construction_matches) == (1.0, True)
+    assert rows[(B, 202303, 290)].f_link_adjustedresponse is None
+
+
+def test_weights(results):
+    for key, row in by_key(results).items():
+        if key[2] in (11, 12):
+            assert row.design_weight is None
+            continue
+        assert row.design_weight == pytest.approx(4 / 3)
+        assert row.calibration_factor == pytest.approx(1.0)
+        if key[0] == B and key[2] == 212:
+            assert row.outlier_weight is None and row.winsorised_value is None
+        else:
+            assert row.outlier_weight == 1.0, key
+            assert row.winsorised_value == pytest.approx(row.adjustedresponse)
+
+
+def test_outputs_are_written_from_results(spark, results):
+    settings = SurveySettings(202303, 3)
+    entries = additional.registry(settings)
+    store = RunStore(spark, "written")
+    written = additional.write_outputs(
+        results, entries, store.path("main"), store.path("copy"), additional.MANDATORY)
+    assert set(written) == set(additional.MANDATORY)
+    assert written["imputes_and_constructed_output"].startswith(store.path("copy"))
+    months = spark.read.csv(written["produce_qa_output"]).select("_period").distinct()
+    assert {r[0] for r in months.collect()} == {202301, 202302, 202303}
+    cord = spark.read.option("header", True).csv(written["cord_output"])
+    assert cord.columns[3:] == ["2023JAN", "2023FEB", "2023MAR"]
+    live = additional.registry(SurveySettings(202303, 3, state="live"))
+    assert "imputes_and_constructed_output" not in additional.compute_outputs(results, live)
+    assert "r_m_output" not in additional.compute_outputs(results, live)
