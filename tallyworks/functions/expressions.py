@@ -10,17 +10,21 @@ from tallyworks import constants as c
 
 
 def is_in(column: Column | str, values: Iterable) -> Column:
-    """Membership that is false, not NULL, for a missing value."""
+    """Membership that is false, not NULL, for a missing value.
+
+    Written so that it, and its negation, reach the scan as a filter.
+    """
     column = F.col(column) if isinstance(column, str) else column
     values = list(values)
     if not values:
         return F.lit(False)
-    return F.coalesce(column.isin(values), F.lit(False))
+    return column.isNotNull() & column.isin(values)
 
 
 def truthy(column: Column | str) -> Column:
     """A nullable flag read as false where it is missing."""
-    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(False))
+    column = F.col(column) if isinstance(column, str) else column
+    return column.eqNullSafe(F.lit(True))
 
 
 def not_equal(column: Column | str, value) -> Column:
@@ -67,8 +71,10 @@ def quarter_label(period: Column) -> Column:
     return F.concat(year, F.lit("Q"), quarter)
 
 
-def quarter_of(period: int) -> str:
-    return f"{period // 100}Q{(period % 100 + 2) // 3}"
+def quarter_periods(quarter: str) -> list[int]:
+    """Months of a yyyyQn, to filter on the stored period."""
+    year, number = int(quarter[:4]), int(quarter[5])
+    return [year * 100 + 3 * number - back for back in (2, 1, 0)]
 
 
 def month_label(period: int) -> str:

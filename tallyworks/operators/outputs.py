@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyworks import constants as c
 from tallyworks.functions.expressions import (
     exact_sum, grossed, int_array, is_in, month_label, not_equal, quarter_label,
-    size_band, truthy,
+    quarter_periods, size_band, truthy,
 )
 from tallyworks.settings import SurveySettings
 
@@ -192,12 +192,14 @@ def sizeband(results: DataFrame, components: Sequence[int] = c.COMPONENTS,
     for quarter in quarters:
         if not _QUARTER.fullmatch(str(quarter)):
             raise ValueError(f"Invalid quarter format: {quarter}, expected e.g. 2023Q1")
-    rows = results.where(is_in(c.QUESTION, components)).withColumns({
+    rows = results.where(is_in(c.QUESTION, components))
+    if quarters:
+        rows = rows.where(is_in(
+            c.PERIOD, [period for quarter in quarters for period in quarter_periods(quarter)]))
+    rows = rows.withColumns({
         "quarter": quarter_label(F.col(c.PERIOD)),
         "sizeband": size_band(F.col(c.CELL)),
     })
-    if quarters:
-        rows = rows.where(is_in("quarter", quarters))
     value = grossed(F.col(c.TARGET))
     keys = ["quarter", "sizeband"]
     sums = rows.groupBy(*keys).agg(*[

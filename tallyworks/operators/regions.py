@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyworks import constants as c
 from tallyworks.functions.expressions import (
-    exact_sum, grossed, is_in, quarter_label,
+    exact_sum, grossed, is_in, quarter_label, quarter_periods,
 )
 
 REGION_NAMES = tuple(c.REGIONS)
@@ -75,9 +75,10 @@ def rm_turnover(rows: DataFrame, shares: DataFrame) -> DataFrame:
 def rm_output(turnover: DataFrame, quarter: str | None = None,
               questions: Mapping[int, str] = c.REPAIR_QUESTIONS) -> DataFrame:
     """One quarter, the latest unless named: a row per region, a column per question."""
-    rows = turnover.withColumn("quarter", quarter_label(F.col(c.PERIOD)))
+    rows = turnover
     if quarter is not None:
-        rows = rows.where(F.col("quarter") == quarter)
+        rows = rows.where(is_in(c.PERIOD, quarter_periods(quarter)))
+    rows = rows.withColumn("quarter", quarter_label(F.col(c.PERIOD)))
     sums = rows.groupBy("quarter", c.QUESTION).agg(*[
         exact_sum(F.col(column_name("turnover", region))).alias(region)
         for region in REGION_NAMES])
@@ -100,9 +101,9 @@ def quarterly_extract(results: DataFrame, regions: DataFrame, quarter: str,
 
     ``regions`` maps ``region_code`` to ``region_name``, at most one row per code.
     """
-    rows = (results.where(is_in(c.QUESTION, questions))
-            .withColumn("quarter", quarter_label(F.col(c.PERIOD)))
-            .where(F.col("quarter") == quarter))
+    rows = results.where(
+        is_in(c.QUESTION, questions) & is_in(c.PERIOD, quarter_periods(quarter)),
+    ).withColumn("quarter", quarter_label(F.col(c.PERIOD)))
     named = rows.join(
         regions.select(F.col("region_code").alias("region"), "region_name"), "region")
     value = grossed(F.col(c.TARGET))

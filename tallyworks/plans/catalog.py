@@ -447,7 +447,7 @@ def construct(spark, sf):
 def ratio_of_means(spark, sf):
     run = saved_run(spark, sf)
     rows = imputation.ratio_of_means(
-        stages.by_reference(run.staged), S, run.inputs.manual, keep=RunStore(spark).keep)
+        run.staged, S, run.inputs.manual, keep=RunStore(spark).keep)
     return rows.select(*KEY, c.TARGET, c.MARKER, "is_backdata")
 
 

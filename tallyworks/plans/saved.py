@@ -9,6 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks import constants as c
 from tallyworks.operators import imputation
 from tallyworks.operators.outputs import results_table
 from tallyworks.plans import stages
@@ -29,7 +30,7 @@ class SavedRun:
 
     @cached_property
     def staged(self) -> DataFrame:
-        return self.store.keep(self._staged.panel, "staged")
+        return self.store.keep(self._staged.panel, "staged", by=c.REFERENCE)
 
     @cached_property
     def links(self) -> DataFrame:
@@ -39,25 +40,27 @@ class SavedRun:
     def chained(self) -> DataFrame:
         """Ratio-of-means result, back data included."""
         rows = imputation.ratio_of_means(
-            stages.by_reference(self.staged), self.settings, self.inputs.manual,
+            self.staged, self.settings, self.inputs.manual,
             keep=lambda df, name: self.links)
-        return self.store.keep(rows, "chained")
+        return self.store.keep(rows, "chained", by=c.REFERENCE)
 
     @cached_property
     def imputed(self) -> DataFrame:
         rows = stages.impute_panel(
             self.staged, self.settings, self.inputs.manual, keep=lambda df, name: self.links)
-        return self.store.keep(rows, "imputed")
+        return self.store.keep(rows, "imputed", by=c.REFERENCE)
 
     @cached_property
     def weighted(self) -> DataFrame:
         return self.store.keep(stages.weighted_panel(
-            self.imputed, self.inputs, self.settings, self.store.keep), "weighted")
+            self.imputed, self.inputs, self.settings, self.store.keep), "weighted",
+            by=c.REFERENCE)
 
     @cached_property
     def trimmed(self) -> DataFrame:
         return self.store.keep(stages.trimmed_panel(
-            self.weighted, self.inputs, self.settings, self.store.keep), "trimmed")
+            self.weighted, self.inputs, self.settings, self.store.keep), "trimmed",
+            by=c.REFERENCE)
 
     @cached_property
     def results(self) -> DataFrame:

@@ -13,7 +13,7 @@ from tallyworks.operators import estimation, imputation, outliers, outputs, pane
 from tallyworks.operators import staging
 from tallyworks.settings import SurveySettings
 
-Keep = Callable[[DataFrame, str], DataFrame]
+Keep = Callable[..., DataFrame]
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ class Staged:
 
 
 def by_reference(df: DataFrame) -> DataFrame:
-    """The one shuffle of a stage: later windows and joins reuse this partitioning."""
+    """The one shuffle of a run: later windows, joins and stage tables keep to it."""
     return df.repartition(c.REFERENCE)
 
 
@@ -85,9 +85,11 @@ def stage_panel(responses: DataFrame, contributors: DataFrame, frame: DataFrame,
 def impute_panel(staged: DataFrame, settings: SurveySettings,
                  manual: DataFrame | None = None, link_filter: DataFrame | None = None,
                  keep: Keep | None = None) -> DataFrame:
-    """Staged panel to a complete one: imputed, reconciled, totals derived."""
-    rows = imputation.ratio_of_means(
-        by_reference(staged), settings, manual, link_filter, keep)
+    """Staged panel to a complete one: imputed, reconciled, totals derived.
+
+    Reads the panel without a shuffle if it was kept by reference.
+    """
+    rows = imputation.ratio_of_means(staged, settings, manual, link_filter, keep)
     rows = rows.where(~F.col("is_backdata")).drop("is_backdata")
     rows = panel.add_zero_questions(
         rows, (c.CHECK_NEEDED, *settings.non_response_statuses), "derived_zeros",
@@ -115,13 +117,15 @@ def survey_results(inputs: SurveyInputs, settings: SurveySettings, keep: Keep) -
     """The results table.
 
     Stages that are read more than once are written first: the panel feeds links and
-    chains, the weighted panel feeds stratum sums and outlier weights.
+    chains, the weighted panel feeds stratum sums and outlier weights.  Both are kept by
+    reference, which spares every later stage the shuffle of the whole panel.
     """
     staged = stage_panel(inputs.responses, inputs.contributors, inputs.frame, settings,
                          inputs.manual)
-    full = keep(staged.panel, "staged")
+    full = keep(staged.panel, "staged", by=c.REFERENCE)
     imputed = impute_panel(full, settings, inputs.manual, inputs.link_filter, keep)
-    weighted = keep(weighted_panel(imputed, inputs, settings, keep), "weighted")
+    weighted = keep(weighted_panel(imputed, inputs, settings, keep), "weighted",
+                    by=c.REFERENCE)
     trimmed = trimmed_panel(weighted, inputs, settings, keep)
     if inputs.link_filter is not None:
         trimmed = imputation.filtered_link_counts(trimmed)

@@ -34,15 +34,24 @@ class RunStore:
 
     def __init__(self, spark: SparkSession, name: str = "run"):
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self.run = uuid.uuid4().hex
+        self.folder = f"{shared_folder(spark)}/{name}-{self.run}"
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("errorifexists").parquet(self.path(name))
-        return self.read(name, df)
-
-    def read(self, name: str, like: DataFrame | None = None) -> DataFrame:
-        reader = self.spark.read if like is None else self.spark.read.schema(like.schema)
-        return reader.parquet(self.path(name))
+    def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write ``df`` and read it back.
+
+        With ``by`` the table is bucketed, so that later windows and joins on that column,
+        alone or with others, read it without a shuffle.  ``df`` should be hashed by the
+        column already: each task then writes the buckets it holds and no others.
+        """
+        if by is None:
+            df.write.mode("errorifexists").parquet(self.path(name))
+            return self.spark.read.schema(df.schema).parquet(self.path(name))
+        table = f"stage_{self.run}_{name}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, by)
+         .option("path", self.path(name)).saveAsTable(table))
+        return self.spark.table(table)
