@@ -113,8 +113,18 @@ def trimmed_panel(weighted: DataFrame, inputs: SurveyInputs, settings: SurveySet
         settings.components, settings.total, keep)
 
 
-def survey_results(inputs: SurveyInputs, settings: SurveySettings, keep: Keep) -> DataFrame:
-    """The results table.
+@dataclass(frozen=True)
+class SurveyTables:
+    """What a run leaves behind: the results and the tables its reports come from."""
+
+    results: DataFrame
+    staged: DataFrame
+    weighted: DataFrame
+    trimmed: DataFrame
+
+
+def survey_tables(inputs: SurveyInputs, settings: SurveySettings, keep: Keep) -> SurveyTables:
+    """From returns to the results table.
 
     Stages that are read more than once are written first: the panel feeds links and
     chains, the weighted panel feeds stratum sums and outlier weights.  Both are kept by
@@ -127,7 +137,11 @@ def survey_results(inputs: SurveyInputs, settings: SurveySettings, keep: Keep) -
     weighted = keep(weighted_panel(imputed, inputs, settings, keep), "weighted",
                     by=c.REFERENCE)
     trimmed = trimmed_panel(weighted, inputs, settings, keep)
-    if inputs.link_filter is not None:
-        trimmed = imputation.filtered_link_counts(trimmed)
-    return outputs.results_table(
-        trimmed, staged.unprocessed, inputs.link_filter is not None)
+    filtered = inputs.link_filter is not None
+    named = imputation.filtered_link_counts(trimmed) if filtered else trimmed
+    results = outputs.results_table(named, staged.unprocessed, filtered)
+    return SurveyTables(results, full, weighted, trimmed)
+
+
+def survey_results(inputs: SurveyInputs, settings: SurveySettings, keep: Keep) -> DataFrame:
+    return survey_tables(inputs, settings, keep).results

@@ -17,11 +17,12 @@ def folder_name(name: str) -> str:
 
 
 def write_by_period(df: DataFrame, path: str, header: bool = False) -> None:
-    """One folder per month, each written by the tasks that hold its rows.
+    """One folder per month, in files of even size.
 
-    Rows are not gathered per month, so a large month is no burden on one task.
+    Rows of a month are gathered to keep files few, but a month that is too large for one
+    task is split over several.
     """
-    (df.withColumn("_period", F.col(c.PERIOD))
+    (df.withColumn("_period", F.col(c.PERIOD)).hint("rebalance", F.col("_period"))
      .write.mode("errorifexists").option("header", header)
      .partitionBy("_period").csv(path))
 
