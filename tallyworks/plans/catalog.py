@@ -366,7 +366,7 @@ def skipped_questions(spark, sf):
 def stage_panel(spark, sf):
     i = survey.inputs(spark, sf)
     return stages.stage_panel(
-        i.responses, i.contributors, i.frame, S, i.manual).panel.select(
+        i.responses, i.contributors, i.frame, S, i.manual, RunStore(spark).keep).panel.select(
         *KEY, "290_flag", "is_total_only_and_zero", "status", c.CELL, c.TARGET, c.MARKER,
         "response", "skipped_question", f"live_{c.TARGET}", c.MONTHLY_AUXILIARY, c.CLASS,
         "q290_component_set_null")

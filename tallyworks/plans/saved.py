@@ -26,7 +26,8 @@ class SavedRun:
     @cached_property
     def _staged(self) -> stages.Staged:
         i = self.inputs
-        return stages.stage_panel(i.responses, i.contributors, i.frame, self.settings, i.manual)
+        return stages.stage_panel(
+            i.responses, i.contributors, i.frame, self.settings, i.manual, self.store.keep)
 
     @cached_property
     def staged(self) -> DataFrame:

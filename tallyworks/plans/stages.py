@@ -44,15 +44,22 @@ def by_reference(df: DataFrame) -> DataFrame:
 
 
 def stage_panel(responses: DataFrame, contributors: DataFrame, frame: DataFrame,
-                settings: SurveySettings, manual: DataFrame | None = None) -> Staged:
+                settings: SurveySettings, manual: DataFrame | None = None,
+                keep: Keep | None = None) -> Staged:
     """Expected questions of every unit with status, frame columns, flags and class.
 
     Status is attached once and decides exclusion, freezing and both total flags, in place
-    of one join for each of them.
+    of one join for each of them.  With ``keep`` the units and the answers with their status
+    are stored by reference: the spine, the live values and the unprocessed questions then
+    read them without a shuffle and without joining again.
     """
     units = staging.panel_full_outer(by_reference(contributors), by_reference(frame))
+    if keep is not None:
+        units = keep(by_reference(units), "units", by=c.REFERENCE)
     rows = by_reference(responses).join(
         units.select(*c.UNIT, "status", "statusencoded"), list(c.UNIT), "left")
+    if keep is not None:
+        rows = keep(rows, "answers", by=c.REFERENCE)
     in_window = not_equal(c.PERIOD, settings.backdata_period)
     rows = rows.where(~(in_window & is_in("status", settings.non_response_statuses)))
     answers, aside = staging.split_questions(rows, settings.unprocessed)
@@ -131,7 +138,7 @@ def survey_tables(inputs: SurveyInputs, settings: SurveySettings, keep: Keep) ->
     reference, which spares every later stage the shuffle of the whole panel.
     """
     staged = stage_panel(inputs.responses, inputs.contributors, inputs.frame, settings,
-                         inputs.manual)
+                         inputs.manual, keep)
     full = keep(staged.panel, "staged", by=c.REFERENCE)
     imputed = impute_panel(full, settings, inputs.manual, inputs.link_filter, keep)
     weighted = keep(weighted_panel(imputed, inputs, settings, keep), "weighted",
