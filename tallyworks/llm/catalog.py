@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks.llm.bpe import encode_documents
+from tallyworks.llm.language import identify
 from tallyworks.llm.mixing import mix_sources
 from tallyworks.llm.statements import ORACLES as ORACLES
+from tallyworks.llm.topk_search import search
 from tallyworks.llm.url_rules import judge_urls
+from tallyworks.llm.warc import archive_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +27,29 @@ def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
+
+
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(spark, table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("word_bpe_49k.json"))
+
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": mixing,
+    "op4_topk_search": topk_search,
+    "op5_warc": warc,
+    "op7_bpe": bpe,
+    "op9_language": language,
     "op10_url_rules": url_rules,
 }

@@ -118,4 +118,32 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
 FROM baskets LEFT JOIN learned l USING (row)
 """
 
-ORACLES = {"op1_mixing": MIXING, "op10_url_rules": URL_RULES}
+TOPK_SEARCH = r"""
+WITH vectors AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(
+    list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+  GROUP BY vec_id)
+SELECT q.vec_id AS query_id, row_number() OVER (
+         PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id)::INT AS rank,
+       c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+QUALIFY rank <= 5
+"""
+
+WARC = r"""
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest FROM pages),
+last AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM original
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM original
+            THEN original END AS refers_to
+FROM last
+"""
+
+ORACLES = {"op1_mixing": MIXING, "op4_topk_search": TOPK_SEARCH, "op5_warc": WARC,
+           "op10_url_rules": URL_RULES}
