@@ -10,6 +10,7 @@ from tallyworks.llm.language import identify
 from tallyworks.llm.mixing import mix_sources
 from tallyworks.llm.statements import ORACLES as ORACLES
 from tallyworks.llm.topk_search import search
+from tallyworks.llm.toxicity import score_documents
 from tallyworks.llm.url_rules import judge_urls
 from tallyworks.llm.warc import archive_pages
 
@@ -45,8 +46,13 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mixing": mixing,
+    "op2_toxicity": toxicity,
     "op4_topk_search": topk_search,
     "op5_warc": warc,
     "op7_bpe": bpe,
