@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.llm.bpe import encode_documents
+from tallyworks.llm.jaccard import near_duplicates as near_texts
 from tallyworks.llm.language import identify
 from tallyworks.llm.mixing import mix_sources
 from tallyworks.llm.statements import ORACLES as ORACLES
 from tallyworks.llm.topk_search import search
 from tallyworks.llm.toxicity import score_documents
 from tallyworks.llm.url_rules import judge_urls
+from tallyworks.llm.vector_dedup import near_duplicates as near_vectors
 from tallyworks.llm.warc import archive_pages
 
 
@@ -50,12 +52,22 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_texts(table(spark, sf_dir, "documents"))
+
+
+def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": mixing,
     "op2_toxicity": toxicity,
+    "op3_jaccard": jaccard,
     "op4_topk_search": topk_search,
     "op5_warc": warc,
     "op7_bpe": bpe,
+    "op8_vector_dedup": vector_dedup,
     "op9_language": language,
     "op10_url_rules": url_rules,
 }
