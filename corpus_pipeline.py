@@ -1,23 +1,56 @@
-"""The corpus pipeline: documents through the operators, each stage written and read again."""
+"""The corpus pipeline: documents through the operators, each stage written and read again.
+
+Documents whose language cannot be told go, then toxic ones, then all but one of each group
+of near copies; the rest are repeated as the mix of sources asks and encoded.  Every stage
+works on all that the one before kept.  All but the last return the columns they got.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks.llm import language, toxicity
+from tallyworks.llm.bpe import encode_documents
+from tallyworks.llm.jaccard import keep_one
 from tallyworks.llm.mixing import repeat_documents
 from tallyworks.sources.shared import settle
 
 
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter to tell the language by."""
+    return language.keep_known(docs)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under the threshold."""
+    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return repeat_documents(docs)
 
 
-STAGES = [("mixing", mixing)]
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted and digested."""
+    return encode_documents(spark, docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language", known_language), ("toxicity", not_toxic), ("near_copies", near_copies),
+          ("mixing", mixed), ("bpe", encoded)]
+# The networks, the kernels and the transducer cannot be stated in SQL; tests hold the stages
+# against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
