@@ -291,12 +291,13 @@ def _untrained(texts: list[list[str]], labels: np.ndarray, weight: np.ndarray, b
                    float(np.log(base / (1 - base))), seed)
 
 
-def train(sample: list[tuple[str, int]], shares: dict[int, float], rounds: int = 10,
-          batch: int = 64, rate: float = 0.01, least_texts: int = 3, doubt: float = 20,
-          seed: int = 11) -> Network | None:
+def train(sample: list[tuple[str, int]], shares: dict[int, float], steps: int = 560,
+          batch: int = 32, rate: float = 0.01, least_texts: int = 3, doubt: float = 20,
+          back: float = 0.2, seed: int = 11) -> Network | None:
     """A network from (text, label); ``shares`` are the labels' shares of all labelled rows.
 
-    A fifth of the sample is kept back: the parameters that predict it best are returned.
+    At least about ``steps`` batches are learned from.  A fifth of the sample is kept back: the
+    parameters that predict it best are returned.
     """
     texts = [text.split() for text, _ in sample]
     labels = np.array([label for _, label in sample], np.float32)
@@ -306,11 +307,15 @@ def train(sample: list[tuple[str, int]], shares: dict[int, float], rounds: int =
     present = {label: max((labels == label).mean(), 1e-9) for label in (0, 1)}
     weight = np.array([shares[label] / present[label] for label in labels.astype(int)], np.float32)
     base = float(np.clip(shares.get(1, 0.0), 0.001, 0.999))
-    checked = draw.random(len(labels)) < 0.2
+    checked = np.zeros(len(labels), bool)
+    for label in (0, 1):
+        own = draw.permutation(np.nonzero(labels == label)[0])
+        checked[own[:int(len(own) * back)]] = True
     network = _untrained([t for t, c in zip(texts, checked) if not c], labels[~checked],
                          weight[~checked], base, least_texts, doubt, seed)
     moments = {name: [np.zeros_like(v), np.zeros_like(v)] for name, v in network.p.items()}
     least, kept, step = np.inf, network.p, 0
+    rounds = max(8, steps * batch // len(texts))
     for turn in range(rounds + 1):
         of, start, out = Scorer(network).windows(texts)
         order = np.lexsort((out, of))
@@ -319,7 +324,7 @@ def train(sample: list[tuple[str, int]], shares: dict[int, float], rounds: int =
         known = labels[of[best]]
         loss = -(weight[of[best]] * (known * np.log(guess) + (1 - known) * np.log(1 - guess)))
         loss = float(loss[checked[of[best]]].sum())
-        if loss < least:
+        if loss < least or not back:
             least, kept = loss, {name: value.copy() for name, value in network.p.items()}
         if turn == rounds:
             break
