@@ -49,9 +49,10 @@ def whole_vectors(table: DataFrame, scale: int) -> DataFrame:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row holding the vectors of a partition as a matrix."""
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
         return
+    table = pa.Table.from_batches(held)
     vectors = table["vector"].combine_chunks()
     lengths = vectors.value_lengths().to_numpy()
     dims = int(lengths.max())
