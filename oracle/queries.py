@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from oracle import values as c
+from oracle.values import month_label
 from oracle.views import (
     BACK, CLEAR, COMPONENTS, CTES, NIL, NON_RESPONSE, UNPROCESSED, statement, xsum,
 )
-from tallyworks import constants as c
-from tallyworks.functions.expressions import month_label
-from tallyworks.settings import shift_period
 
 KEY = "reference, period, questioncode"
-PERIODS = [shift_period(BACK, k) for k in range(1, 83)]
+PERIODS = c.periods(BACK, 83)[1:]
 QUARTER = "period // 100 || 'Q' || (period % 100 + 2) // 3"
 GROSS = "{} * design_weight * outlier_weight * calibration_factor"
 TARGET_GROSS = GROSS.format("adjustedresponse")
@@ -304,7 +303,7 @@ WHERE questioncode <> 290 AND questioncode NOT IN ({UNPROCESSED}) GROUP BY perio
     "sink_stage": "SELECT * FROM sv_answers",
     "src_results": f"""
 SELECT {KEY}, imputation_flags_adjustedresponse, adjustedresponse
-FROM o_results WHERE derived_zeros IS NULL OR NOT derived_zeros""",
+FROM o_results""",
     # row rules
     "split_questions": f"""
 SELECT reference, period, question_no AS questioncode, adjusted_value AS adjustedresponse,
@@ -327,8 +326,8 @@ SELECT {KEY}, status, CASE WHEN status IN ({NIL}) THEN 0 ELSE adjustedresponse E
        AS adjustedresponse FROM sv_responses JOIN sv_units USING (reference, period)""",
     "annual_to_monthly":
         "SELECT reference, period, frotover * 1000 / 12 AS converted_frotover FROM sv_units",
-    "pounds_thousands": """
-SELECT *, CASE WHEN questioncode IN (201, 202, 290) THEN adjustedresponse / 1000
+    "pounds_thousands": f"""
+SELECT *, CASE WHEN questioncode IN ({COMPONENTS}, 290) THEN adjustedresponse / 1000
                ELSE adjustedresponse END AS adjustedresponse_pounds_thousands
 FROM sv_responses""",
     "derived_zeros": f"""
@@ -472,7 +471,7 @@ SELECT q.* FROM sv_legacy_questions q JOIN sv_legacy_units u USING (reference, p
 WHERE u.response_type <> 5""",
     "qa_suffix": f"""
 SELECT {KEY}, imputation_flags_adjustedresponse, "290_flag" FROM o_suffixed""",
-    "qa_pivot": qa("(SELECT * FROM o_results WHERE questioncode <> 290)", (201, 202, 211)),
+    "qa_pivot": qa("(SELECT * FROM o_results WHERE questioncode <> 290)", c.COMPONENTS),
     "qa_output": qa(f"""(SELECT * FROM o_suffixed_fir WHERE questioncode <> 290
         AND questioncode NOT IN ({UNPROCESSED}))""", c.COMPONENTS),
     "constructed": f"""
@@ -482,7 +481,7 @@ WHERE period = 200111 AND imputation_flags_adjustedresponse IS DISTINCT FROM 'r'
     "imputation_contribution": f"""
 SELECT COALESCE(questioncode, 290) AS questioncode, returned,
        returned + imputed AS total, imputed FROM o_contribution""",
-    "growth_table": growth("o_bands", PERIODS[-24:]),
+    "growth_table": growth("o_bands", PERIODS),
     "cord": CORD,
     "sizeband": SIZEBAND,
     "standard_errors": """
@@ -490,10 +489,10 @@ SELECT period, questioncode, classification, cell_no, ROUND(v, 3) AS sample_var,
        ROUND(SQRT(v / n), 3) AS std_error,
        ROUND(100 * SQRT(v) / NULLIF(mean, 0), 3) AS cov
 FROM (SELECT period, questioncode, classification, cell_no,
-             VAR_SAMP(whole) AS v,
-             COUNT(whole) AS n,
-             AVG(whole) AS mean
-      FROM (SELECT *, FLOOR(adjustedresponse_pounds_thousands) AS whole FROM o_trimmed) WHERE "290_flag" IS NOT NULL
+             VAR_SAMP(adjustedresponse_pounds_thousands) AS v,
+             COUNT(adjustedresponse_pounds_thousands) AS n,
+             AVG(adjustedresponse_pounds_thousands) AS mean
+      FROM o_trimmed
       GROUP BY period, questioncode, classification, cell_no)""",
     "rm_regional_employment": "SELECT reference, period, " + ", ".join(
         f'CAST(SUM(employment) FILTER (WHERE region IN ({region_list(codes)})) AS BIGINT)'

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tallyworks import constants as c
+from oracle import values as c
 
 FIRST, LAST, BACK = 199502, 200111, 199501
 COMPONENTS = ", ".join(str(q) for q in c.COMPONENTS)
@@ -15,11 +15,12 @@ NON_RESPONSE = ", ".join(f"'{s}'" for s in c.NON_RESPONSE_STATUSES)
 
 
 def xsum(expression: str, where: str | None = None) -> str:
-    """Sum of amounts, exact to a millionth."""
+    """Sum of amounts as whole numbers and billionths, added apart without loss."""
     tail = f" FILTER (WHERE {where})" if where else ""
-    return (f"(CAST(SUM(CAST(FLOOR({expression}) AS BIGINT)){tail} AS DOUBLE) + CAST(SUM(CAST("
-            f"FLOOR(({expression} - FLOOR({expression})) * 1e6 + 0.5) AS BIGINT)){tail}"
-            f" AS DOUBLE) / 1e6)")
+    whole = f"TRUNC({expression})"
+    return (f"(CAST(SUM(CAST({whole} AS BIGINT)){tail} AS DOUBLE) + CAST(SUM(CAST("
+            f"FLOOR(({expression} - {whole}) * 1e9 + 0.5) AS BIGINT)){tail}"
+            f" AS DOUBLE) / 1e9)")
 
 
 def nation_pick(values, column: str, base: int) -> str:

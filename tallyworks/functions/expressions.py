@@ -38,20 +38,33 @@ def unit_window() -> WindowSpec:
     return Window.partitionBy(*c.UNIT)
 
 
+def amount_parts(column: Column) -> tuple[Column, Column]:
+    """Wholes and billionths of an amount, as long numbers to be added apart.
+
+    NaN, and amounts of 9e18 or more, raise.
+    """
+    amount = F.when(F.isnan(column) | (F.abs(column) >= 9e18), F.raise_error(
+        F.concat(F.lit("amount that cannot be added: "), column.cast("string"))).cast("double")
+    ).otherwise(column.cast("double"))
+    whole = amount.cast("long")
+    return whole, F.floor((amount - whole) * 1e9 + 0.5)
+
+
+def joined_parts(wholes: Column, billionths: Column) -> Column:
+    return wholes.cast("double") + billionths.cast("double") / 1e9
+
+
 def exact_sum(column: Column, over: WindowSpec | None = None) -> Column:
-    """Sum of amounts, exact to a millionth, added as whole numbers.
+    """Sum of amounts, the same in whatever order its parts arrive.
 
     Partial sums arrive in any order, and in another order again when an executor is lost.
-    Integer addition gives the same published figure each time, which floating-point
-    addition does not.  Wholes and millionths are two long sums, so nothing leaves
-    primitive code and a total may be as large as a long.
+    Wholes and billionths of the amounts are added apart as long numbers, so a published figure
+    stays the same, which floating-point addition does not give.  An amount is off by half a
+    billionth at most, and one over four million by nothing, as its own last digit is larger.
+    NaN, amounts of 9e18 or more and sums beyond a long raise.
     """
-    whole = F.floor(column)
-    millionths = F.floor((column - whole) * 1e6 + 0.5)
-    wholes, parts = F.sum(whole), F.sum(millionths)
-    if over is not None:
-        wholes, parts = wholes.over(over), parts.over(over)
-    return wholes.cast("double") + parts.cast("double") / 1e6
+    sums = [F.sum(part) for part in amount_parts(column)]
+    return joined_parts(*(sums if over is None else [part.over(over) for part in sums]))
 
 
 def month_index(period: Column) -> Column:

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyworks import constants as c
 from tallyworks.functions.expressions import (
-    exact_sum, grossed, int_array, is_in, month_label, not_equal, quarter_label,
+    amount_parts, exact_sum, grossed, int_array, is_in, joined_parts, month_label,
+    not_equal, quarter_label,
     quarter_periods, size_band, truthy,
 )
 from tallyworks.settings import SurveySettings
+from tallyworks.sources.shared import settle
 
 IMPUTED_MARKERS = ("fir", "bir", "mc", "fimc", "fic", "c")
 
@@ -123,10 +125,14 @@ def imputation_contribution(results: DataFrame, components: Sequence[int] = c.CO
     if periods:
         rows = rows.where(is_in(c.PERIOD, periods))
     marker, value = F.col(c.MARKER), grossed(F.col(c.TARGET) / 1000)
-    sums = rows.rollup(c.QUESTION).agg(
-        exact_sum(F.when(marker == "r", value)).alias("returned"),
-        exact_sum(F.when(marker.isin(*IMPUTED_MARKERS), value)).alias("imputed"),
-        F.grouping(c.QUESTION).alias("_total"))
+    parts = {f"{name}_{part}": amount for name, condition in (
+        ("returned", marker == "r"), ("imputed", marker.isin(*IMPUTED_MARKERS)))
+        for part, amount in zip(("wholes", "parts"), amount_parts(F.when(condition, value)))}
+    # Summed per question first: the roll-up then doubles a few rows, not the panel.
+    sums = rows.groupBy(c.QUESTION).agg(*[F.sum(a).alias(n) for n, a in parts.items()])
+    sums = sums.rollup(c.QUESTION).agg(
+        *[joined_parts(F.sum(f"{name}_wholes"), F.sum(f"{name}_parts")).alias(name)
+          for name in ("returned", "imputed")], F.grouping(c.QUESTION).alias("_total"))
     order = F.array_position(
         int_array([*c.CONTRIBUTION_ORDER,
                    *[q for q in components if q not in c.CONTRIBUTION_ORDER]]),
@@ -153,16 +159,26 @@ def _complete(groups: DataFrame, dimensions: Sequence[str]) -> DataFrame:
 
 
 def growth_table(results: DataFrame, periods: Sequence[int]) -> DataFrame:
-    """Grossed target per classification, question and size band, one column per month."""
-    value = grossed(F.col(c.TARGET))
-    months = [exact_sum(F.when(F.col(c.PERIOD) == period, value)).alias(month_label(period))
-              for period in periods]
+    """Grossed target per classification, question and size band, one column per month.
+
+    One sum per cell and month in one pass over the results; columns are made of that small
+    table.  A month of the results that ``periods`` does not list raises.
+    """
     keys = ["classification", c.QUESTION, "sizeband"]
+    months = [month_label(period) for period in periods]
     sums = (results.where(F.col("classification").isNotNull() & F.col(c.CELL).isNotNull())
             .withColumn("classification", F.col("classification").cast("int"))
             .withColumn("sizeband", size_band(F.col(c.CELL)))
-            .groupBy(*keys).agg(*months))
-    return _complete(sums, keys).join(sums, keys, "left").fillna(0.0)
+            .groupBy(*keys, c.PERIOD).agg(exact_sum(grossed(F.col(c.TARGET))).alias("_sum")))
+    listed = F.when(is_in(c.PERIOD, periods), F.col("_sum")).otherwise(F.raise_error(
+        F.concat(F.lit("month without a column: "), F.coalesce(
+            F.col(c.PERIOD).cast("string"), F.lit("none")))).cast("double"))
+    cells = sums.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
+        F.struct(F.col(c.PERIOD), listed))).alias("_months"))
+    cells = settle(cells, "growth")  # read twice below, the results once
+    return _complete(cells, keys).join(cells, keys, "left").select(*keys, *[
+        F.coalesce(F.try_element_at("_months", F.lit(period)), F.lit(0.0)).alias(label)
+        for period, label in zip(periods, months)])
 
 
 def cord(results: DataFrame, periods: Sequence[int], settings: SurveySettings) -> DataFrame:
@@ -205,6 +221,7 @@ def sizeband(results: DataFrame, components: Sequence[int] = c.COMPONENTS,
     sums = rows.groupBy(*keys).agg(*[
         exact_sum(F.when(F.col(c.QUESTION) == question, value)).alias(str(question))
         for question in components])
+    sums = settle(sums, "sizeband")
     return (_complete(sums, keys).join(sums, keys, "left").fillna(0.0)
             .orderBy(*keys))
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from tallyworks import constants as c
 from tallyworks.operators import outputs, regions
 from tallyworks.settings import SurveySettings
 from tallyworks.sources import sinks
@@ -34,6 +35,12 @@ class Output:
     replicated: bool = False
 
 
+def months_of(results: DataFrame) -> list[int]:
+    """The months results hold, whatever window the settings name."""
+    return [row[0] for row in results.select(c.PERIOD).where(
+        F.col(c.PERIOD).isNotNull()).distinct().orderBy(c.PERIOD).collect()]
+
+
 def registry(settings: SurveySettings, options: OutputOptions = OutputOptions(),
              local_units: DataFrame | None = None) -> dict[str, Output]:
     def repair(results: DataFrame) -> DataFrame | None:
@@ -54,7 +61,7 @@ def registry(settings: SurveySettings, options: OutputOptions = OutputOptions(),
         "imputation_contribution_output": Output(
             lambda df: outputs.imputation_contribution(
                 df, settings.components, options.contribution_periods)),
-        "cord_output": Output(lambda df: outputs.cord(df, settings.periods, settings)),
+        "cord_output": Output(lambda df: outputs.cord(df, months_of(df), settings)),
         "r_m_output": Output(repair, header=False),
     }
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyworks import constants as c
 from tallyworks.functions.expressions import (
-    annual_to_monthly, grossed, pounds_thousands, truthy,
+    annual_to_monthly, grossed, pounds_thousands,
 )
 from tallyworks.operators import (
     estimation, gates, imputation, legacy, outliers, outputs, panel, reconcile, regions, staging,
@@ -158,8 +158,7 @@ def sink_stage(spark, sf):
 @query
 def src_results(spark, sf):
     """The outputs job reads what the main job saved."""
-    results = saved_run(spark, sf).results
-    return results.where(~truthy("derived_zeros")).select(*KEY, c.MARKER, c.TARGET)
+    return saved_run(spark, sf).results.select(*KEY, c.MARKER, c.TARGET)
 
 
 # ---- row rules -----------------------------------------------------------------------
@@ -219,7 +218,7 @@ QUERIES["annual_to_monthly"] = QUERIES.pop("annual_to_monthly_auxiliary")
 @query
 def pounds_thousands_column(spark, sf):
     return survey.responses(spark, sf).withColumn(c.THOUSANDS, pounds_thousands(
-        F.col(c.QUESTION), F.col(c.TARGET), (201, 202, 290)))
+        F.col(c.QUESTION), F.col(c.TARGET), (*c.COMPONENTS, S.total)))
 
 
 QUERIES["pounds_thousands"] = QUERIES.pop("pounds_thousands_column")
@@ -596,7 +595,7 @@ def qa_suffix(spark, sf):
 @query
 def qa_pivot(spark, sf):
     return outputs.qa_pivot(
-        saved_run(spark, sf).results.where(F.col(c.QUESTION) != S.total), (201, 202, 211))
+        saved_run(spark, sf).results.where(F.col(c.QUESTION) != S.total), c.COMPONENTS)
 
 
 @query
@@ -616,7 +615,7 @@ def imputation_contribution(spark, sf):
 
 @query
 def growth_table(spark, sf):
-    return outputs.growth_table(_thousands(spark, sf), S.periods[-24:])
+    return outputs.growth_table(_thousands(spark, sf), S.periods)
 
 
 @query
@@ -631,9 +630,7 @@ def sizeband(spark, sf):
 
 @query
 def standard_errors(spark, sf):
-    """Of whole thousands."""
-    rows = saved_run(spark, sf).trimmed.where(F.col("290_flag").isNotNull())
-    return outputs.standard_errors(rows.withColumn("whole", F.floor(c.THOUSANDS)), "whole")
+    return outputs.standard_errors(saved_run(spark, sf).trimmed, c.THOUSANDS)
 
 
 @query
