@@ -47,6 +47,13 @@ def routing(responses: DataFrame, no_values: Iterable,
     return responses.withColumns(helpers).where(~skipped).drop(*helpers)
 
 
+def repeated_routes(responses: DataFrame, routes: Iterable[int] = tuple(c.ROUTES),
+                    question: str = c.QUESTION) -> DataFrame:
+    """Route questions a unit answers more than once, with how often."""
+    return (responses.where(is_in(question, routes)).groupBy(*LEGACY_UNIT, question)
+            .agg(F.count(F.lit(1)).alias("n_answers")).where("n_answers > 1"))
+
+
 def drop_nil(responses: DataFrame, contributors: DataFrame,
              response_types: Iterable[int] = c.NIL_RESPONSE_TYPES) -> DataFrame:
     nil = contributors.where(is_in("response_type", response_types))
@@ -82,7 +89,8 @@ def append_back_data(responses: DataFrame, contributors: DataFrame,
                      ) -> tuple[DataFrame, DataFrame]:
     """The month before the revision window, added to both tables.
 
-    Derived values and units without a return are no answers and are left out.
+    Derived values and units without a return are no answers and are left out.  Contributors
+    that repeat are kept once, wherever they come from.
     """
     answered = ~is_in(c.MARKER, NO_ANSWER)
     answers = legacy_responses(back_questions).where(answered).select(
@@ -90,7 +98,7 @@ def append_back_data(responses: DataFrame, contributors: DataFrame,
         F.col(c.TARGET).cast("double").alias(c.TARGET), c.MARKER)
     units = legacy_contributors(back_contributors).select(*c.UNIT, "status", "statusencoded")
     return (responses.unionByName(answers, allowMissingColumns=True),
-            contributors.unionByName(units.distinct(), allowMissingColumns=True))
+            contributors.unionByName(units, allowMissingColumns=True).distinct())
 
 
 def join_sample(contributors: DataFrame, frame: DataFrame) -> DataFrame:

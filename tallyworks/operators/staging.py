@@ -171,7 +171,7 @@ def flag_total_zero(responses: DataFrame, contributors: DataFrame,
 
 
 def enforce_types(df: DataFrame, keep: Iterable[str], types: Mapping[str, str]) -> DataFrame:
-    """Prune to ``keep`` and cast; text that is no number becomes missing.
+    """Prune to ``keep`` and cast; text that is no number becomes missing, infinity raises.
 
     ``types`` maps a column to int, float, str or date; a date is kept as integer yyyymm.
     """
@@ -185,5 +185,9 @@ def enforce_types(df: DataFrame, keep: Iterable[str], types: Mapping[str, str])
             column = F.date_format(column, "yyyyMM")
         if kind is not None:
             column = column.try_cast(spark_types[kind])
+        if kind == "float":
+            column = F.when(F.abs(column) == float("inf"), F.raise_error(
+                F.lit(f"infinity in column {name}")).cast("double")).when(
+                ~F.isnan(column), column)
         out.append(column.alias(name))
     return df.select(*out)

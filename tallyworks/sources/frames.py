@@ -11,20 +11,22 @@ from tallyworks.operators.staging import enforce_types
 from tallyworks.settings import shift_period
 
 # Columns of the frame files by position.
-SAMPLE_COLUMNS = tuple("""
-reference checkletter frosic2003 rusic2003 frosic2007 rusic2007 froempees employees
-froempment employment froFTEempt FTEempt frotover turnover entref wowentref vatref payeref
-crn live_lu live_vat live_paye legalstatus entrepmkr region birthdate entname1 entname2
-entname3 runame1 runame2 runame3 ruaddr1 ruaddr2 ruaddr3 ruaddr4 ruaddr5 rupostcode
-tradstyle1 tradstyle2 tradstyle3 contact telephone fax seltype inclexcl cell_no formtype
-cso_tel currency
-""".split())
-POPULATION_COLUMNS = tuple("""
-reference checkletter inqcode entref wowentref frosic2003 rusic2003 frosic2007 rusic2007
-froempees employees froempment employment froFTEempt FTEempt frotover turnover entrepmkr
-legalstatus inqstop entzonemkr region live_lu live_vat live_paye immfoc ultfoc cell_no
-selmkr inclexcl
-""".split())
+SAMPLE_COLUMNS = (
+    "reference", "checkletter", "frosic2003", "rusic2003", "frosic2007", "rusic2007", "froempees",
+    "employees", "froempment", "employment", "froFTEempt", "FTEempt", "frotover", "turnover",
+    "entref", "wowentref", "vatref", "payeref", "crn", "live_lu", "live_vat", "live_paye",
+    "legalstatus", "entrepmkr", "region", "birthdate", "entname1", "entname2", "entname3",
+    "runame1", "runame2", "runame3", "ruaddr1", "ruaddr2", "ruaddr3", "ruaddr4", "ruaddr5",
+    "rupostcode", "tradstyle1", "tradstyle2", "tradstyle3", "contact", "telephone", "fax",
+    "seltype", "inclexcl", "cell_no", "formtype", "cso_tel", "currency",
+)
+POPULATION_COLUMNS = (
+    "reference", "checkletter", "inqcode", "entref", "wowentref", "frosic2003", "rusic2003",
+    "frosic2007", "rusic2007", "froempees", "employees", "froempment", "employment", "froFTEempt",
+    "FTEempt", "frotover", "turnover", "entrepmkr", "legalstatus", "inqstop", "entzonemkr",
+    "region", "live_lu", "live_vat", "live_paye", "immfoc", "ultfoc", "cell_no", "selmkr",
+    "inclexcl",
+)
 LOCAL_UNIT_COLUMNS = (
     "ruref", "entref", "lu ref", "check letter", "sic03", "sic07", "employees", "employment",
     "fte", "Name1", "Name2", "Name3", "Address1", "Address2", "Address3", "Address4",
@@ -45,15 +47,19 @@ FRAME_TYPES = {
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str],
              types: Mapping[str, str] = FRAME_TYPES) -> DataFrame:
-    """CSV with a header; names may be padded with spaces and are trimmed.
+    """CSV with a header: ``columns`` by their trimmed names, in whatever order files have them.
 
-    Fields are matched by position to ``columns``, the trimmed header.
+    All files of one read share a header; a column that is absent raises.
     """
-    schema = T.StructType([T.StructField(name.strip(), T.StringType()) for name in columns])
-    raw = (spark.read.option("header", True).option("enforceSchema", True).schema(schema)
+    raw = (spark.read.option("header", True).option("enforceSchema", False)
            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
            .csv(path))
-    return enforce_types(raw, raw.columns, types)
+    raw = raw.toDF(*[name.strip() for name in raw.columns])
+    wanted = [name.strip() for name in columns]
+    absent = [name for name in wanted if name not in raw.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    return enforce_types(raw, wanted, types)
 
 
 def read_colon(spark: SparkSession, path: str, columns: Sequence[str],
@@ -80,8 +86,15 @@ def window_months(current_period: int, revision_window: int) -> list[int]:
 def read_frame_window(spark: SparkSession, folder: str, prefix: str, columns: Sequence[str],
                       current_period: int, revision_window: int,
                       keep: Sequence[str] | None = None) -> DataFrame:
-    """Frame files of the months in the window.  Other months are not opened."""
-    months = ",".join(str(m) for m in window_months(current_period, revision_window))
+    """Frame files of the months in the window.  Other months are not opened; a month of the
+    window without a file raises."""
+    window = window_months(current_period, revision_window)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    absent = [m for m in window if not files.globStatus(place(f"{folder}/{prefix}*{m}"))]
+    if absent:
+        raise FileNotFoundError(f"{folder}/{prefix}: no file for {absent}")
+    months = ",".join(str(m) for m in window)
     return read_colon(spark, f"{folder}/{prefix}*{{{months}}}", columns, keep)
 
 

@@ -7,6 +7,7 @@ reading and writing split over tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -41,7 +42,9 @@ def _columns(fields: Sequence[str]) -> T.StructType:
 
 def _read(spark: SparkSession, path: str, parts: dict[str, T.DataType], lines: bool) -> DataFrame:
     schema = T.StructType([T.StructField(name, kind) for name, kind in parts.items()])
-    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+    # A broken object fails the read; its rows are not left out.
+    return (spark.read.schema(schema).option("multiLine", not lines)
+            .option("mode", "FAILFAST").json(path))
 
 
 def read_snapshot_records(
@@ -76,10 +79,11 @@ def _field(name: str):
 
 def _objects(df: DataFrame, part: str, snapshot_id: str, columnar: bool,
              rows_per_object: int) -> DataFrame:
-    """JSON text of ``df`` in objects of at most ``rows_per_object`` rows."""
-    chunk = F.floor(F.monotonically_increasing_id() / rows_per_object)
-    chunks = df.withColumn("_chunk", chunk).groupBy("_chunk").agg(
-        F.collect_list(F.struct(*df.columns)).alias("rows"))
+    """JSON text of ``df`` in objects of about ``rows_per_object`` rows."""
+    # Dealt by what a row holds, so a task that runs again deals its rows alike.
+    count = max(1, math.ceil(df.count() / rows_per_object))
+    chunks = df.withColumn("_chunk", F.pmod(F.xxhash64(*df.columns), F.lit(count))).groupBy(
+        "_chunk").agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
     body = F.col("rows")
     if columnar:
         body = F.struct(*[

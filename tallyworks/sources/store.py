@@ -2,40 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor sees, as the session names it.
-
-    Only a local session may go without: it gets a temporary folder of its own.
-    """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_DIR} names no shared folder for stage tables")
-    folder = tempfile.mkdtemp(prefix="tallyworks-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+from tallyworks.sources.shared import new_folder
 
 
 class RunStore:
     """Writes the stages of one run and reads them back.
 
     A written stage cuts the lineage, survives lost executors and has a known size, by
-    which Spark picks its joins.
+    which Spark picks its joins.  ``buckets`` is the number of buckets of a stage kept by a
+    column, each read by one task: as many shuffle partitions as the session has by
+    default, more for a large run (input bytes over bytes a task may hold).  ``save_to`` names
+    a folder that gets a copy of every stage under its name.  ``close`` drops the run's tables
+    and files; what is left goes when the application ends.
     """
 
-    def __init__(self, spark: SparkSession, name: str = "run"):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, name: str = "run", buckets: int | None = None,
+                 save_to: str | None = None):
+        self.spark, self.save_to = spark, save_to
         self.run = uuid.uuid4().hex
-        self.folder = f"{shared_folder(spark)}/{name}-{self.run}"
+        self.folder = new_folder(spark, name)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.tables: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -49,9 +40,20 @@ class RunStore:
         """
         if by is None:
             df.write.mode("errorifexists").parquet(self.path(name))
-            return self.spark.read.schema(df.schema).parquet(self.path(name))
-        table = f"stage_{self.run}_{name}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (df.write.mode("errorifexists").format("parquet").bucketBy(buckets, by)
-         .option("path", self.path(name)).saveAsTable(table))
-        return self.spark.table(table)
+            kept = self.spark.read.schema(df.schema).parquet(self.path(name))
+        else:
+            table = f"stage_{self.run}_{name}"
+            (df.write.mode("errorifexists").format("parquet").bucketBy(self.buckets, by)
+             .option("path", self.path(name)).saveAsTable(table))
+            self.tables.append(table)
+            kept = self.spark.table(table)
+        if self.save_to is not None:
+            kept.write.mode("errorifexists").parquet(f"{self.save_to}/{name}")
+        return kept
+
+    def close(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables.clear()
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -3,7 +3,9 @@ import json
 import pytest
 from rows import same, table
 
+from tallyworks.functions.expressions import exact_sum
 from tallyworks.operators import estimation, legacy
+from tallyworks.operators.staging import enforce_types
 from tallyworks.settings import SurveySettings, shift_period
 from tallyworks.sources import frames, sinks, snapshot
 from tallyworks.sources.store import RunStore
@@ -95,6 +97,7 @@ def test_local_units(spark, tmp_path):
     line = colon_line({"ruref": "77", "employment": "5", "region": "XX"},
                       frames.LOCAL_UNIT_COLUMNS)
     (tmp_path / "ludets_202304").write_text(line + "\n")
+    (tmp_path / "ludets_202303").write_text("")
     out = frames.read_local_units(spark, str(tmp_path), "ludets", 202304, 2)
     assert [tuple(r) for r in out.select(
         "reference", "period", "employment", "region").collect()] == [(77, 202304, 5, "XX")]
@@ -108,6 +111,96 @@ def test_csv_with_padded_header(spark, tmp_path):
     assert tuple(out.first()) == (202212, 5, "E", 1)
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("questioncode,reference,period,adjustedresponse\n201,7,202301,5\n")
+    names = ["reference", "period", "questioncode", "adjustedresponse"]
+    assert tuple(frames.read_csv(spark, str(tmp_path / "m.csv"), names).first()) == (
+        7, 202301, 201, 5.0)
+    with pytest.raises(ValueError, match="no column missing"):
+        frames.read_csv(spark, str(tmp_path / "m.csv"), [*names, "missing"])
+
+
+def test_a_month_without_a_file_raises(spark, tmp_path):
+    for month in (202301, 202303):
+        (tmp_path / f"f_{month}").write_text("")
+    with pytest.raises(FileNotFoundError, match="202302"):
+        frames.read_frame_window(spark, str(tmp_path), "f", ("reference",), 202303, 3)
+
+
+def test_nan_is_missing_and_infinity_raises(spark):
+    rows = spark.createDataFrame([("NaN",), ("1.5",), ("x",), (None,)], "v string")
+    assert [r.v for r in enforce_types(rows, ["v"], {"v": "float"}).collect()] == [
+        None, 1.5, None, None]
+    with pytest.raises(Exception, match="infinity in column v"):
+        enforce_types(spark.createDataFrame([("inf",)], "v string"), ["v"],
+                      {"v": "float"}).collect()
+
+
+def test_a_broken_object_fails_the_read(spark, tmp_path):
+    good = '{"contributors": [{"reference": "1", "period": "202301"}], "responses": []}'
+    (tmp_path / "s.json").write_text(good + "\n" + good[:-9] + "\n")
+    with pytest.raises(Exception):
+        snapshot.read_snapshot_records(spark, str(tmp_path / "s.json"), lines=True)[0].collect()
+
+
+def test_snapshot_keeps_all_rows_in_any_layout(spark, tmp_path):
+    rows = spark.range(500).selectExpr(
+        "id % 97 reference", "cast(202301 as int) period", "'Clear' status",
+        "cast(210 as int) statusencoded")
+    for parts in (1, 7):
+        path = str(tmp_path / str(parts))
+        snapshot.write_snapshot(rows.repartition(parts), rows.select(
+            "reference", "period", rows.statusencoded.alias("questioncode"),
+            rows.status.alias("response")).limit(0), path, "s", rows_per_object=20)
+        back = snapshot.read_snapshot_columnar(spark, path, lines=True)[0]
+        assert back.exceptAll(rows).count() == 0 and back.count() == 500
+
+
+def test_sums_are_exact_or_raise(spark):
+    def total(*values):
+        rows = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3)
+        return rows.agg(exact_sum(rows.v)).first()[0]
+    assert total(1e-7, 2e-7) == 3e-7
+    assert total(-1e-7) == -1e-7 and total(-2.5, 1.25) == -1.25
+    assert total(0.1, 0.2, 0.3) == 0.6 and total(1e15, 1e15, 0.5) == 2e15 + 0.5
+    for broken in (float("nan"), float("inf"), 1e19):
+        with pytest.raises(Exception, match="cannot be added"):
+            total(5.0, broken)
+    with pytest.raises(Exception, match="(?i)overflow"):
+        total(8e18, 8e18)
+
+
+def test_contributors_are_kept_once(spark):
+    contributors = spark.createDataFrame(
+        [(1, 202301, "Clear", 210)] * 2, "reference long, period int, status string, statusencoded int")
+    responses = spark.createDataFrame([], "reference long, period int, questioncode long, "
+                                      "response string, adjustedresponse double")
+    back = spark.createDataFrame([], "reference long, period int, question_no long, "
+                                 "returned_value double, adjusted_value double, type long")
+    units = spark.createDataFrame([(1, 202301, "C")] * 2, "reference long, period int, error_mkr string")
+    assert legacy.append_back_data(responses, contributors, back, units)[1].count() == 1
+
+
+def test_repeated_route_answers_are_reported(spark):
+    rows = spark.createDataFrame([(1, 202301, 902), (1, 202301, 902), (1, 202301, 201),
+                                  (2, 202301, 903)], "reference long, period int, questioncode int")
+    assert [tuple(r) for r in legacy.repeated_routes(rows).collect()] == [(1, 202301, 902, 2)]
+
+
+def test_store_leaves_nothing_and_saves_on_request(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id % 50 reference", "id v")
+    found = []
+    for buckets in (2, 9):
+        store = RunStore(spark, "c", buckets, str(tmp_path / str(buckets)))
+        kept = store.keep(rows.repartition("reference"), "rows", by="reference")
+        found.append(sorted(map(tuple, kept.groupBy("reference").sum("v").collect())))
+        table = store.tables[0]
+        store.close()
+        assert not spark.catalog.tableExists(table)
+        assert spark.read.parquet(str(tmp_path / str(buckets) / "rows")).count() == 1000
+    assert found[0] == found[1]
+
+
 def test_by_period_sink(spark):
     rows = spark.range(100).selectExpr("cast(202300 + id % 2 + 1 as int) period", "id v")
     path = RunStore(spark, "sink").path("x")
