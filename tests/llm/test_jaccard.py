@@ -1,0 +1,134 @@
+"""The parity-sketch join against all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from tallyworks.llm.components import components
+from tallyworks.llm.jaccard import Bands, cell_keys, keep_one, near_duplicates
+from tallyworks.llm.shingles import shingle_sets
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_set(text: str | None) -> frozenset:
+    words = WORD.findall((text or "").translate(LOWER))
+    if len(words) < 5:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+
+
+def brute_force(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
+    sets = {doc_id: plain_set(text) for doc_id, text in rows}
+    root = {doc_id: doc_id for doc_id in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for at, a in enumerate(ids):
+        for b in ids[at + 1:]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {doc_id: (len(found), find(doc_id)) for doc_id, found in sets.items()}
+
+
+def corpus(seed: int, vocabulary: int = 300) -> list[tuple[int, str]]:
+    """Originals of all sizes with copies at every distance around the threshold, and a
+    passage that most share."""
+    draw = random.Random(seed)
+    words = [f"w{i}" for i in range(vocabulary)]
+    passage = [draw.choice(words) for _ in range(40)]
+    texts = []
+    for size in [5, 6, 7, 8, 9, 10, 12, 15, 20, 30, 60, 90, 150, 300, 500] * 2:
+        base = [draw.choice(words) for _ in range(size)]
+        if size >= 60:
+            base += passage
+        texts.append(base)
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(draw.randint(0, max(1, size // 35))):
+                copy[draw.randrange(len(copy))] = draw.choice(words)
+            if draw.random() < 0.4:
+                copy = copy[:len(copy) - draw.randint(0, len(copy) // 5)]
+            if draw.random() < 0.4:
+                copy += [draw.choice(words) for _ in range(draw.randint(0, len(copy) // 5))]
+            texts.append(copy)
+    draw.shuffle(texts)
+    return list(enumerate(" ".join(t) for t in texts))
+
+
+def test_every_linked_pair_meets():
+    draw = np.random.default_rng(1)
+    for trial in range(300):
+        size = int(draw.integers(2, 400))
+        base = draw.integers(0, 1 << 62, size).astype(np.uint64)
+        more = int(draw.integers(0, size // 4 + 1))
+        less = int(draw.integers(0, size // 5 + 1))
+        other = np.concatenate([base[less:], draw.integers(0, 1 << 62, more).astype(np.uint64)])
+        a, b = np.unique(base), np.unique(other)
+        both = len(np.intersect1d(a, b))
+        if 100 * both < 80 * (len(a) + len(b) - both) or np.array_equal(a, b):
+            continue
+        common = np.sort(draw.permutation(np.union1d(a, b))[:int(draw.integers(0, size + 1))])
+        for shared in (np.zeros(0, np.uint64), common):
+            keys = [cell_keys(x, Bands(80), shared) for x in (a, b)]
+            assert len(np.intersect1d(*keys)), (size, less, more, len(shared))
+
+
+def test_shingles_are_those_of_the_words():
+    texts = ["A b c d e f", "a B\tc d\x0be f", "a b c", "A  b c", "", None, " ", "é É x y z Z",
+             "a\x1cb c d e f", "x " * 70_000, "a b c d e f a b c d e f"]
+    sets = list(shingle_sets(texts))
+    plain = [plain_set(t) for t in texts]
+    assert [len(s) for s in sets] == [len(p) for p in plain]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert len(np.intersect1d(a, b)) == len(plain[i] & plain[j])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_of_a_corpus(spark, seed):
+    rows = corpus(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()}
+    assert found == brute_force(rows)
+
+
+def test_whole_table(documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(documents).collect()}
+    assert found == brute_force(rows)
+
+
+def test_odd_rows(odd_documents, no_documents):
+    rows = near_duplicates(odd_documents).collect()
+    assert len(rows) == odd_documents.count()
+    found = {r.doc_id: r for r in rows}
+    assert [found[i].n_shingles for i in (1, 2, 3)] == [0, 0, 0]
+    assert all(found[i].component_id == i for i in (1, 2, 3, 4))
+    assert found[8].component_id == 7 and found[10].component_id == 9
+    assert found[6].component_id == 5
+    assert found[None].component_id is None and found[None].n_shingles == 2
+    assert near_duplicates(no_documents).count() == 0
+    kept = keep_one(odd_documents)
+    assert kept.columns == odd_documents.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x)) == [
+        1, 2, 3, 4, 5, 7, 9, 11, None]
+    assert keep_one(no_documents).count() == 0
+
+
+def test_components_of_a_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 60)] + [(7, 7)]
+    found = {r.id: r.component for r in components(
+        spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {i: 100 for i in range(101, 161)} | {i: 1 for i in range(2, 60)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
