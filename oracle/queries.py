@@ -276,7 +276,7 @@ _SQL: dict[str, str] = {
     "enforce_types": f"SELECT {KEY}, adjustedresponse FROM sv_responses",
     "append_back_data": f"""
 SELECT {KEY}, adjustedresponse, NULL AS imputation_flags_adjustedresponse
-FROM sv_responses WHERE period <> {BACK}
+FROM sv_answers WHERE period <> {BACK}
 UNION ALL
 SELECT reference, period, question_no, adjusted_value,
        CASE type WHEN 1 THEN 'r' WHEN 3 THEN 'fir' END

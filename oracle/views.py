@@ -73,18 +73,28 @@ GROUP BY reference, period, m"""
 CTES["sv_answers"] = f"""
 SELECT *, CAST(CAST(TRUNC(adjustedresponse) AS BIGINT) AS VARCHAR) AS response,
        CASE WHEN period = {BACK} THEN 'r' END AS imputation_flags_adjustedresponse
-FROM sv_responses"""
+FROM (
+  SELECT * FROM sv_responses
+  UNION ALL
+  SELECT reference, period, q.questioncode,
+         CASE q.questioncode
+              WHEN 11 THEN CAST((reference + period // 100 * 12 + period % 100) % 28 + 1 AS DOUBLE)
+              WHEN 146 THEN CASE WHEN (period // 100 * 12 + period % 100) % 2 = 0 THEN 1.0 END
+              WHEN 902 THEN 1.0 END
+  FROM (SELECT DISTINCT reference, period FROM sv_responses)
+  CROSS JOIN (VALUES (11), (12), (146), (902)) q(questioncode))"""
 
 CTES["sv_local_units"] = f"""
 SELECT CAST(c.c_custkey % n.k AS BIGINT) AS reference, p.period AS period,
        CAST(FLOOR(ABS(c.c_acctbal)) AS BIGINT) % 100 AS employment,
        {nation_pick(REGION_CODES, 'c.c_nationkey', 13)} AS region
 FROM customer c CROSS JOIN (SELECT COUNT(*) + 3 AS k FROM supplier) n
-CROSS JOIN (SELECT DISTINCT period FROM sv_raw WHERE period >= 200101) p"""
+CROSS JOIN (SELECT DISTINCT period FROM sv_raw) p"""
 
 CTES["sv_population"] = f"""
 SELECT CAST(p_partkey AS BIGINT) AS reference, q.period AS period,
-       CAST((p_partkey % 14) * 10 + 1 + p_partkey % 7 AS INT) AS cell_no,
+       CAST(CASE WHEN p_partkey % 11 = 0 THEN 5141
+                 ELSE (p_partkey % 14) * 10 + 1 + p_partkey % 7 END AS INT) AS cell_no,
        CAST(FLOOR(p_retailprice) AS DOUBLE) AS frotover
 FROM part CROSS JOIN (SELECT DISTINCT period FROM sv_raw WHERE period >= {FIRST}) q"""
 
@@ -369,7 +379,8 @@ CTES["o_cells"] = """
 SELECT *, population_turnover_sum / NULLIF(design_weight * sample_turnover_sum, 0)
           AS calibration_factor,
        COALESCE(design_weight = 1, FALSE) AS is_census
-FROM (SELECT *, CAST(population_count AS DOUBLE) / NULLIF(sample_count, 0) AS design_weight
+FROM (SELECT *, CASE WHEN cell_no = 5141 THEN 1.0 ELSE
+                CAST(population_count AS DOUBLE) / NULLIF(sample_count, 0) END AS design_weight
       FROM o_counts)"""
 CTES["o_weighted"] = """
 SELECT i.*, w.design_weight, w.calibration_factor, w.is_census,

@@ -14,7 +14,6 @@ from tallyworks.plans.stages import SurveyInputs
 from tallyworks.settings import SurveySettings
 
 FIRST_MONTH, LAST_MONTH = 199501, 200111
-FIRST_UNIT_MONTH = 200101
 SETTINGS = SurveySettings(current_period=LAST_MONTH, revision_window=82)
 
 _QUESTIONS = {1: 201, 2: 202, 3: 211, 4: 212, 5: 221, 6: 222}
@@ -96,7 +95,17 @@ def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unit_months(spark, sf_dir).drop("m", "status", "statusencoded")
 
 
-def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _unprocessed() -> Column:
+    """Questions that are passed on as they come: a day, a word without a number, a mark that
+    only some months have, and a routing answer."""
+    m = F.col("m")
+    answers = {11: ((F.col(c.REFERENCE) + m) % 28 + 1) * 100, 12: F.lit(None),
+               146: F.when(m % 2 == 0, 100), 902: F.lit(100)}
+    return F.array(*[F.struct(F.lit(code).alias(c.QUESTION), pence.cast("bigint").alias("pence"))
+                     for code, pence in answers.items()])
+
+
+def responses(spark: SparkSession, sf_dir: str, unprocessed: bool = False) -> DataFrame:
     """Answers: some units give the total alone, some a zero total, some no total."""
     kind = (F.col(c.REFERENCE) * 5 + F.col("m")) % 17
     units = _question_sums(spark, sf_dir).where(
@@ -108,6 +117,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.when(kind == 1, F.lit(0)).otherwise(total).alias("pence")))
     lines = F.concat(F.when(kind > 1, given).otherwise(nothing),
                      F.when(kind != 2, total).otherwise(nothing))
+    if unprocessed:
+        lines = F.concat(lines, _unprocessed())
     return units.select(
         c.REFERENCE, period_of(F.col("m")).alias(c.PERIOD), F.explode(lines).alias("_l"),
     ).select(*c.UNIT, F.col("_l").getField(c.QUESTION).alias(c.QUESTION),
@@ -117,7 +128,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses as a run reads them: text of the answer, marker in the back-data month."""
     backdata = F.col(c.PERIOD) == SETTINGS.backdata_period
-    return responses(spark, sf_dir).select(
+    return responses(spark, sf_dir, unprocessed=True).select(
         "*", F.col(c.TARGET).cast("bigint").cast("string").alias("response"),
         F.when(backdata, "r").alias(c.MARKER))
 
@@ -169,7 +180,7 @@ def mixed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def local_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = _table(spark, sf_dir, "supplier").agg(F.count("*") + 3).scalar()
-    return _table(spark, sf_dir, "customer").withColumn("m", _months(FIRST_UNIT_MONTH)).select(
+    return _table(spark, sf_dir, "customer").withColumn("m", _months(FIRST_MONTH)).select(
         (F.col("c_custkey") % suppliers).cast("bigint").alias(c.REFERENCE),
         period_of(F.col("m")).alias(c.PERIOD),
         (F.floor(F.abs("c_acctbal")).cast("bigint") % 100).alias("employment"),
@@ -177,12 +188,14 @@ def local_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population frame of every published month."""
+    """Population frame of every published month.  A part in eleven is of a stratum that is not
+    sampled by design."""
     key = F.col("p_partkey")
+    cell = F.when(key % 11 == 0, c.NON_SAMPLED_STRATA[0]).otherwise(key % 14 * 10 + 1 + key % 7)
     return (_table(spark, sf_dir, "part")
             .withColumn("m", _months(SETTINGS.periods[0]))
             .select(key.cast("bigint").alias(c.REFERENCE), period_of(F.col("m")).alias(c.PERIOD),
-                    (key % 14 * 10 + 1 + key % 7).cast("int").alias(c.CELL),
+                    cell.cast("int").alias(c.CELL),
                     F.floor("p_retailprice").cast("double").alias(c.AUXILIARY)))
 
 
