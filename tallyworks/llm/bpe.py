@@ -21,7 +21,7 @@ import json
 import unicodedata
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import pyarrow as pa
@@ -31,14 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.lexicon import Lexicon, compile_lexicon
+from tallyworks.llm.shingles import slices
 from tallyworks.llm.warc import file_system
-from tallyworks.sources.shared import new_folder
+from tallyworks.sources.shared import new_folder, settle
 
 # The pattern of the tokenizer file and its mark for the end of a word.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # white space to Python, not to the pattern
-MEMORY = 400_000
+MEMORY, LONG = 300_000, 100
 ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                      ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
@@ -94,28 +95,29 @@ class Tokenizer:
                 pairs[at] = rank((parts[at], parts[at + 1]), none)
         return [self.vocabulary[part] for part in parts]
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        return [i for piece in PIECES.findall(chunk) for i in self.merge(piece)]
-
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
 class Memory(dict):
-    """Ids by chunk: from the lexicon, else merged; forgets all when it is full."""
+    """Ids by text, as ``find`` gives them.
 
-    def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
+    When it is full it starts anew, and takes over from the last filling what is asked again.
+    """
+
+    def __init__(self, find: Callable[[str], list[int]]):
         super().__init__()
-        self.tokenizer, self.lexicon = tokenizer, lexicon
+        self.find, self.old = find, {}
 
-    def __missing__(self, chunk: str) -> list[int]:
-        ids = self.lexicon.get(chunk.encode())
+    def __missing__(self, text: str) -> list[int]:
+        ids = self.old.get(text)
         if ids is None:
-            ids = self.tokenizer.encode_chunk(chunk)
-        if len(self) >= MEMORY:
-            self.clear()
-        if len(chunk) < 100:
-            self[chunk] = ids
+            ids = self.find(text)
+        if len(text) < LONG:
+            if len(self) >= MEMORY:
+                self.old = dict(self)
+                self.clear()
+            self[text] = ids
         return ids
 
 
@@ -123,7 +125,15 @@ class Encoder:
     """Encodes whole texts."""
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
-        self.tokenizer, self.memory = tokenizer, Memory(tokenizer, lexicon)
+        self.tokenizer, self.lexicon = tokenizer, lexicon
+        self.pieces, self.chunks = Memory(self._piece), Memory(self._chunk)
+
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.lexicon.get(piece.encode())
+        return self.tokenizer.merge(piece) if ids is None else ids
+
+    def _chunk(self, chunk: str) -> list[int]:
+        return list(chain.from_iterable(map(self.pieces.__getitem__, PIECES.findall(chunk))))
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
@@ -131,42 +141,56 @@ class Encoder:
             if part in self.tokenizer.special:
                 ids.append(self.tokenizer.special[part])
             else:
-                ids += chain.from_iterable(map(self.memory.__getitem__, chunks(part)))
+                ids += chain.from_iterable(map(self.chunks.__getitem__, chunks(part)))
         return ids
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of chunks, added up within the task as far as memory allows."""
+    """Counts of words, added up within the task as far as memory allows."""
     counts: Counter[str] = Counter()
 
     def flush() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_pydict({
-            "word": pa.array(counts.keys(), pa.string()),
-            "n": pa.array(counts.values(), pa.int64())})
+        words: Counter[str] = Counter()
+        for chunk, n in counts.items():
+            for piece in PIECES.findall(chunk):
+                words[piece] += n
         counts.clear()
-        return batch
+        return pa.RecordBatch.from_pydict({
+            "word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
 
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch["text"]:
-            counts.update(word for word in chunks(text.as_py() or "") if len(word) < 100)
+            counts.update(chunk for chunk in chunks(text.as_py() or "") if len(chunk) < LONG)
             if len(counts) > MEMORY:
                 yield flush()
     yield flush()
 
 
 def frequent_words(docs: DataFrame, words: int) -> list[str]:
-    """The ``words`` most frequent chunks of all texts."""
-    counted = docs.select("text").mapInArrow(_counts, "word string, n long")
-    best = (counted.groupBy("word").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "word").limit(words))
-    return [row.word for row in best.collect()]
+    """At most ``words`` of the most frequent words of all texts.
+
+    A histogram of the counts, in eighths of powers of two, tells from where on they fit, so
+    that no more than that many words come to the driver.
+    """
+    counted = settle(docs.select("text").mapInArrow(_counts, "word string, n long")
+                     .groupBy("word").agg(F.sum("n").alias("n")), "words")
+    step = F.floor(F.log2("n") * 8)
+    left, least = words, None
+    for row in sorted(counted.groupBy(step.alias("step")).count().collect(), reverse=True):
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row.step
+    if least is None:
+        return []
+    return [row.word for row in counted.filter(step >= least).collect()]
 
 
 def _encoder(tokenizer_path: str, lexicon_name: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Tokenizer(tokenizer_path), Lexicon(SparkFiles.get(lexicon_name)))
         decimal = [str(i) for i in range(len(encoder.tokenizer.tokens))]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids = encoder.encode(text.as_py() or "")
@@ -181,7 +205,7 @@ def _encoder(tokenizer_path: str, lexicon_name: str):
 
 def ship_lexicon(spark: SparkSession, tokenizer: Tokenizer, words: list[str]) -> str:
     """Compile the words, write the file to the shared folder, hand it to every task."""
-    compiled = compile_lexicon((word.encode(), tokenizer.encode_chunk(word)) for word in words)
+    compiled = compile_lexicon((word.encode(), tokenizer.merge(word)) for word in words)
     name = f"{uuid.uuid4().hex}.lexicon"
     path = f"{new_folder(spark, 'lexicon')}/{name}"
     store, place = file_system(path)
@@ -192,7 +216,7 @@ def ship_lexicon(spark: SparkSession, tokenizer: Tokenizer, words: list[str]) ->
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
-                     words: int = 50_000) -> DataFrame:
+                     words: int = 200_000) -> DataFrame:
     """doc_id, n_tokens and digests of ids and decoded text of every document."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     name = ship_lexicon(spark, Tokenizer(tokenizer_path), frequent_words(docs, words))

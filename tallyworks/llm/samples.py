@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tallyworks.llm.shingles import slices
+
 HELD_OUT = 2
 
 
@@ -51,7 +53,7 @@ def classify(docs: DataFrame, score: Callable[[], Callable[[list[str | None]], d
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_texts = score()
-        for batch in batches:
+        for batch in slices(batches):
             found = of_texts(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], *[pa.array(found[name]) for name in names]], ["row", *names])

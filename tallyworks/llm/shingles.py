@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -18,6 +20,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def slices(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text at a time, one row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(sizes, dtype=np.int64), 0
+        while at < len(ends):
+            start = ends[at] - sizes[at]
+            upto = max(at + 1, int(np.searchsorted(ends, start + most)))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
 class Powers:
     """Powers of an odd base modulo 2^64, and of its inverse, as far as needed."""
 
