@@ -262,11 +262,16 @@ JOIN o_mixed_flags f USING (reference, period)"""
 FRAME = """reference, period, frosic2007, formtype, cell_no, froempment, frotover, region,
  runame1, entname1"""
 
+SNAPSHOT = """
+SELECT reference, period, status, statusencoded, NULL AS questioncode, NULL AS response,
+       NULL AS adjustedresponse FROM sv_contributors
+UNION ALL
+SELECT reference, period, NULL, NULL, questioncode, response, adjustedresponse FROM sv_answers"""
+
 _SQL: dict[str, str] = {
     # sources and sinks
-    "src_snapshot_records":
-        f"SELECT {KEY}, adjustedresponse, response FROM sv_answers",
-    "src_snapshot_columnar": "SELECT * FROM sv_contributors",
+    "src_snapshot_records": SNAPSHOT,
+    "src_snapshot_columnar": SNAPSHOT,
     "src_csv": "SELECT * FROM sv_manual",
     "src_colon": f"SELECT {FRAME} FROM sv_frame",
     "src_frame_window":
@@ -297,9 +302,6 @@ SELECT q.reference, q.period, q.question_no AS questioncode,
 FROM o_routed q JOIN sv_legacy_units u USING (reference, period)
 WHERE q.question_no NOT IN (902, 903, 904) AND u.response_type <> 5""",
     "sink_csv": SIZEBAND,
-    "sink_by_period": f"""
-SELECT period, COUNT(DISTINCT reference) AS n_units FROM o_results
-WHERE questioncode <> 290 AND questioncode NOT IN ({UNPROCESSED}) GROUP BY period""",
     "sink_stage": "SELECT * FROM sv_answers",
     "src_results": f"""
 SELECT {KEY}, imputation_flags_adjustedresponse, adjustedresponse
@@ -584,4 +586,6 @@ FROM o_plain_total LEFT JOIN (
   WHERE questioncode <> 290 AND imputation_flags_adjustedresponse IS DISTINCT FROM 'r'
     AND NOT "290_flag" GROUP BY reference, period) s USING (reference, period)"""
 
+_SQL["sink_by_period"] = _SQL["qa_output"]
+
 ORACLES = {name: statement(sql) for name, sql in _SQL.items()}

@@ -35,13 +35,17 @@ def query(function: Query) -> Query:
 
 
 # ---- sources and sinks ---------------------------------------------------------------
+def _both_parts(contributors: DataFrame, responses: DataFrame) -> DataFrame:
+    return contributors.unionByName(responses, allowMissingColumns=True)
+
+
 @query
 def src_snapshot_records(spark, sf):
     path = RunStore(spark, "snapshot").path("records")
     snapshot.write_snapshot(survey.contributors(spark, sf),
                             survey.answers(spark, sf).drop(c.MARKER), path, "records",
                             columnar=False)
-    return snapshot.read_snapshot_records(spark, path, lines=True)[1]
+    return _both_parts(*snapshot.read_snapshot_records(spark, path, lines=True))
 
 
 @query
@@ -49,7 +53,7 @@ def src_snapshot_columnar(spark, sf):
     path = RunStore(spark, "snapshot").path("columns")
     snapshot.write_snapshot(survey.contributors(spark, sf),
                             survey.answers(spark, sf).drop(c.MARKER), path, "columns")
-    return snapshot.read_snapshot_columnar(spark, path, lines=True)[0]
+    return _both_parts(*snapshot.read_snapshot_columnar(spark, path, lines=True))
 
 
 @query
@@ -145,8 +149,7 @@ def sink_by_period(spark, sf):
     path = RunStore(spark, "out").path("qa")
     table = outputs.qa_output(saved_run(spark, sf).results, S)
     sinks.write_by_period(table, path)
-    rows = spark.read.schema(table.schema).csv(path)
-    return rows.groupBy(F.col("_period").alias(c.PERIOD)).agg(F.count("*").alias("n_units"))
+    return spark.read.schema(table.schema).csv(path).drop("_period")
 
 
 @query
