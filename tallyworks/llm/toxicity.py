@@ -32,6 +32,7 @@ WORD_SIZE, CHAR_SIZE, HIDDEN, ATTENTION = 8, 8, 8, 8
 LENGTHS, GRAM_BITS = (3, 4), 16  # of character n-grams, and of their buckets
 THRESHOLD = 0.3
 MEMORY = 100_000
+MOST_ROUNDS = 60
 ROWS = 2048
 EDGES = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
 GATES = 3 * HIDDEN
@@ -296,7 +297,7 @@ def train(sample: list[tuple[str, int]], shares: dict[int, float], steps: int =
           back: float = 0.2, seed: int = 11) -> Network | None:
     """A network from (text, label); ``shares`` are the labels' shares of all labelled rows.
 
-    At least about ``steps`` batches are learned from.  A fifth of the sample is kept back: the
+    About ``steps`` batches are learned from, or what MOST_ROUNDS rounds over the sample give.  A fifth of the sample is kept back: the
     parameters that predict it best are returned.
     """
     texts = [text.split() for text, _ in sample]
@@ -315,7 +316,7 @@ def train(sample: list[tuple[str, int]], shares: dict[int, float], steps: int =
                          weight[~checked], base, least_texts, doubt, seed)
     moments = {name: [np.zeros_like(v), np.zeros_like(v)] for name, v in network.p.items()}
     least, kept, step = np.inf, network.p, 0
-    rounds = max(8, steps * batch // len(texts))
+    rounds = min(max(8, steps * batch // len(texts)), MOST_ROUNDS)
     for turn in range(rounds + 1):
         of, start, out = Scorer(network).windows(texts)
         order = np.lexsort((out, of))
