@@ -221,7 +221,6 @@ def sizeband(results: DataFrame, components: Sequence[int] = c.COMPONENTS,
     sums = rows.groupBy(*keys).agg(*[
         exact_sum(F.when(F.col(c.QUESTION) == question, value)).alias(str(question))
         for question in components])
-    sums = settle(sums, "sizeband")
     return (_complete(sums, keys).join(sums, keys, "left").fillna(0.0)
             .orderBy(*keys))
 
