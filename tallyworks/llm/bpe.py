@@ -22,6 +22,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -186,9 +187,15 @@ def frequent_words(docs: DataFrame, words: int) -> list[str]:
     return [row.word for row in counted.filter(step >= least).collect()]
 
 
+@lru_cache(maxsize=1)
+def _ready(tokenizer_path: str, lexicon_name: str) -> Encoder:
+    """The encoder of a worker, with what it remembers, for all the tasks it runs."""
+    return Encoder(Tokenizer(tokenizer_path), Lexicon(SparkFiles.get(lexicon_name)))
+
+
 def _encoder(tokenizer_path: str, lexicon_name: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Tokenizer(tokenizer_path), Lexicon(SparkFiles.get(lexicon_name)))
+        encoder = _ready(tokenizer_path, lexicon_name)
         decimal = [str(i) for i in range(len(encoder.tokenizer.tokens))]
         for batch in slices(batches):
             rows = []
