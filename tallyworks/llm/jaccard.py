@@ -12,9 +12,10 @@ where they have equal cells.  What meets is verified on the whole sets.
 * Shingles that very many documents of a bounded sample hold are left out of the cells.
   That can only lessen the difference, so no link is lost; a document left with too many empty
   cells joins by its whole set as well.
-* Equal sets are one class.  Cells travel in packed columns, a row per task and bucket.
-* Of a cell that many share, members first meet one of them in turn; only members that are
-  still in different components after that are paired off.
+* Equal sets are one class, sketched once.  Cells travel in packed columns, a row per batch
+  and bucket.
+* Members of a cell first meet one of them; only those that are still in different components
+  after that are paired off, if sizes and the distance of short bit sketches allow a link.
 
 Defined results: null text or text without words has an empty set and links with nothing; a
 null doc_id has no component; rows with one doc_id are one document, and link if any of their
@@ -28,17 +29,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.components import components
-from tallyworks.llm.shingles import mix, shingle_sets
+from tallyworks.llm.shingles import mix, shingle_sets, slices
 from tallyworks.sources.shared import settle
 
 PERCENT = 80
 PACKED = pa.schema([("bucket", pa.int64()), ("cells", pa.binary()), ("gaps", pa.binary())])
-SEEN = 200_000
-ROUNDS = 3
+BITS = tuple(f"bits{at}" for at in range(8))
+TOLD = ("n", *BITS)  # what is known of a set without its shingles
 
 
 def signed(values: np.ndarray) -> np.ndarray:
@@ -46,12 +47,14 @@ def signed(values: np.ndarray) -> np.ndarray:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size of each set, and 128 bits that name it."""
-    for batch in batches:
+    """Size of each set, 128 bits that name it, and its bit sketch."""
+    for batch in slices(batches):
         sets = list(shingle_sets(batch["text"].to_pylist()))
+        sketches = np.stack([bit_sketch(s) for s in sets])
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch["doc_id"], "n": pa.array([len(s) for s in sets], pa.int64()),
-            "name": pa.array([_name(s) for s in sets], pa.binary())})
+            "name": pa.array([_name(s) for s in sets], pa.binary())} | {
+            bits: sketches[:, at] for at, bits in enumerate(BITS)})
 
 
 def _name(found: np.ndarray) -> bytes:
@@ -59,6 +62,25 @@ def _name(found: np.ndarray) -> bytes:
         mix(found + np.uint64(99))).tobytes() if len(found) else b""
 
 
+def bit_sketch(found: np.ndarray) -> np.ndarray:
+    """Each shingle flips one bit, so at most as many bits differ as shingles."""
+    flips = np.bincount((mix(found) >> np.uint64(55)).astype(np.int64), minlength=64 * len(BITS))
+    return np.packbits((flips & 1).astype(bool)).view(np.int64)
+
+
+def _near(percent: int) -> Column:
+    """Whether two rows, the second with ``_o`` behind its names, may link by size and bits.
+
+    Sizes and bits are null, and tell nothing, where a doc_id stands for several texts.
+    """
+    small, large = F.least("n", "n_o"), F.greatest("n", "n_o")
+    apart = sum((F.bit_count(F.col(bits).bitwiseXOR(F.col(f"{bits}_o"))) for bits in BITS[1:]),
+                F.bit_count(F.col(BITS[0]).bitwiseXOR(F.col(f"{BITS[0]}_o"))))
+    near = (small * 100 >= large * percent) & (
+        apart * (100 + percent) <= (small + large) * (100 - percent))
+    return F.coalesce(near, F.lit(True))
+
+
 class Bands:
     """Bands of set sizes and the cells of each.
 
@@ -126,19 +148,14 @@ def cell_keys(found: np.ndarray, bands: Bands, common: np.ndarray) -> np.ndarray
 
 def _pack_cells(buckets: int, common: np.ndarray, percent: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(percent), set()
-        for batch in batches:
-            ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
+        bands = Bands(percent)
+        for batch in slices(batches):
             keys, owners = [], []
-            for doc_id, found in zip(ids, shingle_sets(texts)):
-                name = _name(found)
-                if doc_id is None or not len(found) or name in seen:
-                    continue  # copies meet by their class
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(name)
-                keys.append(cell_keys(found, bands, common))
-                owners.append(np.full(len(keys[-1]), doc_id, np.int64))
+            for doc_id, found in zip(batch["doc_id"].to_pylist(),
+                                     shingle_sets(batch["text"].to_pylist())):
+                if len(found):
+                    keys.append(cell_keys(found, bands, common))
+                    owners.append(np.full(len(keys[-1]), doc_id, np.int64))
             if not keys:
                 continue
             key, owner = np.concatenate(keys), np.concatenate(owners)
@@ -184,13 +201,13 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         for found in shingle_sets(batch["text"].to_pylist()):
             yield pa.RecordBatch.from_pydict({"shingle": signed(found)})
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sets = [found.tobytes() for found in shingle_sets(batch["text"].to_pylist())]
         yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "shingles": sets})
 
@@ -223,17 +240,19 @@ def _pairs_verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     return settle(pairs.select("a", "b").join(first, "a").join(second, "b")
-                  .mapInArrow(_verified(percent), "a long, b long"), "links").distinct()
+                  .mapInArrow(_verified(percent), "a long, b long"), "links")
 
 
 def link_documents(docs: DataFrame, percent: int = PERCENT, bucket_cells: int = 1_000_000,
                    sample: int = 4096, least: int = 16) -> tuple[DataFrame, DataFrame]:
     """Every row's doc_id, n and rep of its class; and (id, component) where it is not itself."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    profiles = settle(docs.mapInArrow(_profiles, "doc_id long, n long, name binary"), "profiles")
+    profiles = settle(docs.mapInArrow(_profiles, "doc_id long, n long, name binary, " + ", ".join(
+        f"{bits} long" for bits in BITS)), "profiles")
     named = profiles.filter("n > 0 and doc_id is not null")
     classes = settle(named.groupBy("n", "name").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
+        *[F.min(bits).alias(bits) for bits in BITS]), "classes")
     copied = classes.filter("copies > 1").select(
         F.col("n").alias("_n"), F.col("name").alias("_name"), "rep")
     members = settle(profiles.join(
@@ -247,60 +266,65 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, bucket_cells: int =
         own = bands.of(row.top)
         total += row.rows * (bands.cells(own) + bands.cells(own + 1))
     buckets = max(1, math.ceil(total / bucket_cells))
-    packed = docs.mapInArrow(_pack_cells(buckets, common, percent),
-                             "bucket long, cells binary, gaps binary")
+    copies = members.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(
+        F.max(F.col("rep") == F.col("doc_id")).alias("_first")).filter(
+        "not coalesce(_first, false)").select("_id")
+    firsts = docs.filter("doc_id is not null").join(
+        settle(copies, "copies"), F.col("doc_id") == F.col("_id"), "left_anti")
+    packed = firsts.mapInArrow(_pack_cells(buckets, common, percent),
+                               "bucket long, cells binary, gaps binary")
     met = settle(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
                  .mapInArrow(_meet, "cell long, doc_id long"), "cells")
-    reps = members.filter("rep is not null").select(
-        F.col("doc_id").alias("_id"), "rep", "n").distinct()
-    met = settle(met.join(reps, F.col("doc_id") == F.col("_id")).select(
-        "cell", "rep", "n").distinct(), "met")
-    needed = met.select(F.col("rep").alias("_id")).distinct()
+    needed = settle(met.select(F.col("doc_id").alias("_id")).distinct(), "needed")
+    told = settle(classes.join(needed, F.col("rep") == F.col("_id"), "left_semi").groupBy(
+        "rep").agg(*[F.when(F.count(F.lit(1)) == 1, F.min(name)).alias(name)
+                     for name in TOLD]), "told")
     sets = settle(docs.join(needed, F.col("doc_id") == F.col("_id"), "left_semi")
                   .mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
+    links = members.filter("rep <> doc_id").select(F.col("doc_id").alias("a"),
+                                                   F.col("rep").alias("b"))
+    met = met.withColumnRenamed("doc_id", "rep")
+    return members, _joined(met, told, sets, links, percent)
 
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    label = met.select(F.col("rep").alias("id"), F.col("rep").alias("component")).filter("false")
-    copies = members.filter("rep <> doc_id").select(F.col("doc_id").alias("a"),
-                                                    F.col("rep").alias("b"))
-    links, tried = copies, None
-    for turn in range(ROUNDS + 1):
-        here = met.join(label, F.col("rep") == F.col("id"), "left").select(
-            "cell", "rep", "n", F.coalesce("component", "rep").alias("c"))
-        open_ = here.groupBy("cell").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"),
-            F.min(F.struct("c", "rep", "n")).alias("x"),
-            F.max(F.struct("c", "rep", "n")).alias("y")).filter("low <> high")
-        if turn < ROUNDS:  # each document meets the one it shares most cells with
-            at = F.when(F.col("c") != F.col("low"), F.col("x")).otherwise(F.col("y"))
-            meets = here.join(open_, "cell").withColumn("o", at).select(
-                F.col("rep").alias("a"), F.col("o.rep").alias("b"), "n", F.col("o.n").alias("m"))
-            counted = meets.filter(fits).groupBy("a", "b").count()
-            if tried is not None:
-                counted = counted.join(tried, ["a", "b"], "left_anti")
-            pairs = counted.groupBy("a").agg(
-                F.max(F.struct("count", F.negate("b").alias("b"))).alias("best")).select(
-                "a", F.negate(F.col("best.b")).alias("b"))
-        else:
-            here = here.join(open_.select("cell"), "cell")
-            other = here.select("cell", F.col("rep").alias("b"), F.col("n").alias("m"),
-                                F.col("c").alias("d"))
-            pairs = here.withColumnRenamed("rep", "a").join(other, "cell").filter(
-                (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & fits).select(
-                "a", "b").distinct()
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn < ROUNDS:
-                tried = tried if tried is not None else pairs.select("a", "b")
-                continue
-            break
-        links = links.union(_pairs_verified(pairs, sets, percent))
-        both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"),
-                                                         F.col("a").alias("b")))
-        tried = both if tried is None else tried.union(both)
-        label = components(links)
-    return members, label
+
+def _joined(met: DataFrame, told: DataFrame, sets: DataFrame, links: DataFrame,
+            percent: int) -> DataFrame:
+    """(id, component) after verifying what meets in the cells, on top of ``links``.
+
+    First each document is held against the one it shares most cells with among those a cell
+    offers it: one of the cell's first component, or of its last to that.  Cells whose members
+    are then all in one component are done with, even where thousands of near copies share
+    them.  In the others, members of different components are paired off.  No pair is made
+    whose sizes or bit sketches differ too much.
+    """
+    def known(side: str, mark: str = "") -> DataFrame:
+        return told.select(F.col("rep").alias(side),
+                           *[F.col(name).alias(f"{name}{mark}") for name in TOLD])
+
+    label = components(links)
+    # Before the first round every class is a component of its own.
+    ends = met.groupBy("cell").agg(F.min("rep").alias("x"), F.max("rep").alias("y"))
+    opposite = F.when(F.col("rep") != F.col("x"), F.col("x")).otherwise(F.col("y"))
+    meets = met.join(ends, "cell").groupBy(F.col("rep").alias("a"), opposite.alias("b")).count()
+    best = meets.join(known("a"), "a").join(known("b", "_o"), "b").filter(_near(percent)).groupBy(
+        "a").agg(F.max(F.struct("count", F.negate("b").alias("b"))).alias("best"))
+    first = settle(best.select("a", F.negate(F.col("best.b")).alias("b")), "pairs")
+    label = components(_pairs_verified(first, sets, percent).union(label))
+
+    here = met.join(label, F.col("rep") == F.col("id"), "left").select(
+        "cell", "rep", F.coalesce("component", "rep").alias("c"))
+    open_ = here.groupBy("cell").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter(
+        "x <> y").select("cell")
+    here = settle(here.join(open_, "cell"), "open")
+    one = here.join(known("rep"), "rep")
+    other = here.select("cell", F.col("rep").alias("b"), F.col("c").alias("d")).join(
+        known("b", "_o"), "b")
+    rest = settle(one.join(other, "cell").filter(
+        (F.col("rep") < F.col("b")) & (F.col("c") != F.col("d")) & _near(percent)).select(
+        F.col("rep").alias("a"), "b").distinct(), "pairs")
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = _pairs_verified(rest.join(tried, ["a", "b"], "left_anti"), sets, percent)
+    return components(found.union(label))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
