@@ -10,6 +10,7 @@ from tallyworks.llm.jaccard import near_duplicates as near_texts
 from tallyworks.llm.language import identify
 from tallyworks.llm.mixing import mix_sources
 from tallyworks.llm.statements import ORACLES as ORACLES
+from tallyworks.llm.token_counts import count_tokens
 from tallyworks.llm.topk_search import search
 from tallyworks.llm.toxicity import score_documents
 from tallyworks.llm.url_rules import judge_urls
@@ -39,6 +40,11 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(spark, table(spark, sf_dir, "documents"),
                             public_tokenizers.path("word_bpe_49k.json"))
@@ -66,6 +72,7 @@ QUERIES = {
     "op3_jaccard": jaccard,
     "op4_topk_search": topk_search,
     "op5_warc": warc,
+    "op6_token_counts": token_counts,
     "op7_bpe": bpe,
     "op8_vector_dedup": vector_dedup,
     "op9_language": language,

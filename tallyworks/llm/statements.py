@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -145,5 +147,37 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM last
 """
 
+# Bytes are written as two hexadecimal digits; byte symbols from 256 on are the others in order.
+TOKEN_COUNTS = r"""
+WITH RECURSIVE tokens AS (
+  SELECT unnest(json_keys(content, '$.model.vocab')) AS token FROM read_text('{path}')),
+written AS (
+  SELECT array_to_string(list_transform(string_split(token, ''), lambda c: format('{{:02X}}',
+           CASE WHEN unicode(c) < 256 THEN unicode(c) WHEN unicode(c) < 289 THEN unicode(c) - 256
+                WHEN unicode(c) < 323 THEN unicode(c) - 162 ELSE 173 END)), '') AS token
+  FROM tokens),
+vocabulary AS (
+  SELECT token FROM written
+  WHERE NOT regexp_matches(substring(token, 3), '^(..)*(20|09|0A|0B|0C|0D)')),
+longest AS (SELECT max(length(token)) // 2 AS n FROM vocabulary),
+numbered AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+words AS (
+  SELECT row, hex(encode(' ' || word)) AS word FROM (
+    SELECT row, unnest(regexp_split_to_array(text, '[\x09-\x0D\x20]+')) AS word FROM numbered)
+  WHERE word <> ''),
+taken AS (
+  SELECT DISTINCT word, word AS rest, 0 AS n FROM words
+  UNION ALL
+  SELECT word, substring(any_value(rest), 2 * max(k) + 1), any_value(t.n) + 1
+  FROM (SELECT word, rest, taken.n, unnest(range(1, least(longest.n, length(rest) // 2) + 1)) AS k
+        FROM taken, longest WHERE rest <> '') t
+  JOIN vocabulary ON token = substring(rest, 1, 2 * k)
+  GROUP BY word),
+counts AS (SELECT word, max(n) AS n FROM taken GROUP BY word)
+SELECT any_value(doc_id) AS doc_id, coalesce(sum(n), 0)::BIGINT AS n_tokens
+FROM numbered LEFT JOIN words USING (row) LEFT JOIN counts USING (word) GROUP BY row
+""".format(path=public_tokenizers.path("byte_bpe_50k.json"))
+
 ORACLES = {"op1_mixing": MIXING, "op4_topk_search": TOPK_SEARCH, "op5_warc": WARC,
+           "op6_token_counts": TOKEN_COUNTS,
            "op10_url_rules": URL_RULES}
