@@ -139,44 +139,56 @@ class Graph:
 
 
 def links_between(graph: Graph, wanted: np.ndarray, least: float, width: int = BEAM,
-                  audits: int = 64, recall: float = 0.98,
-                  seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+                  audits: int = 64, recall: float = 0.98, seed: int = 3,
+                  itself: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (row of ``wanted``, node) with a product of at least about ``least``.
 
-    A row whose whole beam is that near may have missed nodes: its beam is widened.  A sample
-    of rows is held against all nodes; where too few of theirs were found, all beams are.  The
-    widest beam is the whole shard.
+    Rows drawn by chance are held against all nodes until ``audits`` of them have a link that
+    a beam should find; they are settled by that.  Where beams find too few of their links,
+    all beams are widened.  A row whose whole beam is that near may have missed nodes: its beam
+    is widened too, and audited anew.  So where links are too few to audit beams by, every row
+    is held against all nodes.  With ``itself`` row and node of one number are the same vector,
+    which is no link.  The widest beam is the whole shard.
     """
     count, slack = graph.none, least - 1e-4
-    chosen = np.random.default_rng(seed).permutation(len(wanted))[:audits]
-    true = wanted[chosen].astype(np.float32) @ graph.vectors[:-1].T >= slack
-    left, pairs = np.arange(len(wanted)), [np.zeros((2, 0), np.int64)]
+    wanted = wanted.astype(np.float32)
+    left = np.random.default_rng(seed).permutation(len(wanted))
+    pairs = [np.zeros((2, 0), np.int64)]
     while len(left):
-        again, found = [], []
-        whole = width * 8 >= count
-        for at in range(0, len(left), BATCH):
+        whole, linked, at = width * 8 >= count, [], 0
+        while at < len(left) and (whole or sum(map(len, linked)) < audits):
             rows = left[at:at + BATCH]
-            if whole:
-                near = wanted[rows].astype(np.float32) @ graph.vectors[:-1].T
-                row, node = np.nonzero(near >= slack)
-            else:
-                ids, near = graph.search(wanted[rows].astype(np.float32), min(width, count))
-                full = near[:, -1] >= slack
-                again.append(rows[full])
-                row, place = np.nonzero((near >= slack) & ~full[:, None])
-                node = ids[row, place]
-            found.append(np.stack([rows[row], node]))
-        found = np.hstack(found)
-        if not whole:
-            audited = np.isin(chosen, left) & ~np.isin(chosen, np.concatenate(again))
-            hits = np.isin(found[0], chosen[audited]).sum()
-            if hits < recall * true[audited].sum():
-                width *= 4
-                continue
-            left = np.concatenate(again)
-        else:
-            left = left[:0]
+            row, node = np.nonzero(wanted[rows] @ graph.vectors[:-1].T >= slack)
+            pairs.append(np.stack([rows[row], node]))
+            true = np.bincount(row[(not itself) | (rows[row] != node)], minlength=len(rows))
+            linked.append(np.stack([rows, true], 1)[(true > 0) & (true < width)])
+            at += BATCH
+        left = left[at:]
+        if not len(left):
+            break
+        rows, true = np.concatenate(linked).T
+        found, again = _by_beams(graph, wanted, rows, slack, width)
+        met = np.bincount(found[0][(not itself) | (found[0] != found[1])], minlength=len(wanted))[rows]
+        met, true = (x[~np.isin(rows, again)] for x in (met, true))
+        if not len(true) or min(met.sum() / true.sum(), (met / true).mean()) < recall:
+            width *= 4
+            continue
+        found, left = _by_beams(graph, wanted, left, slack, width)
         pairs.append(found)
         width *= 4
     row, node = np.hstack(pairs)
     return row, node
+
+
+def _by_beams(graph: Graph, wanted: np.ndarray, rows: np.ndarray, slack: float,
+              width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that beams of the rows find, and the rows whose whole beam is near."""
+    found, again = [np.zeros((2, 0), np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(rows), BATCH):
+        some = rows[at:at + BATCH]
+        ids, near = graph.search(wanted[some], min(width, graph.none))
+        full = near[:, -1] >= slack
+        again.append(some[full])
+        row, place = np.nonzero((near >= slack) & ~full[:, None])
+        found.append(np.stack([some[row], ids[row, place]]))
+    return np.hstack(found), np.concatenate(again)

@@ -2,8 +2,9 @@
 
 Equal vectors of a label are one class.  Classes of a label are dealt into shards of bounded
 size; a graph is built per shard, and the classes of every shard ask it and the shards after
-it, so each pair of shards meets once.  Beams widen until audits against all nodes of the
-shard pass.  The cosine of what they find is computed in double precision; links are counted
+it, so each pair of shards meets once.  Beams widen until audits of rows that have links,
+against all nodes of the shard, pass; a pair of shards with too few links to audit by is
+compared whole.  The cosine of what they find is computed in double precision; links are counted
 where they are found, and a spanning forest of them goes on to the components.
 
 Defined results: vectors that are null, zero or hold a null or non-finite component, and rows
@@ -73,7 +74,8 @@ def _linked(least: float, beam: int):
                 name = (cell["key"], cell["shard"])
                 if built[0] != name:
                     built = (name, Graph(_unit(nodes)))
-                row, node = links_between(built[1], _unit(wanted), least, beam)
+                row, node = links_between(built[1], _unit(wanted), least, beam,
+                                          itself=cell["asked_shard"] == cell["shard"])
                 exact = np.einsum("nd,nd->n", wanted[row], nodes[node]) / (
                     np.linalg.norm(wanted, axis=1)[row] * np.linalg.norm(nodes, axis=1)[node])
                 real = (exact >= least) & (asked[row] != ids[node])
