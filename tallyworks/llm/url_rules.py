@@ -1,10 +1,12 @@
 """URL filters: given rules by longest match, learned rules by FP-growth for the rest.
 
-A url is a basket of tokens: its last host labels, its first path segments (digits as 0) and
-the names of its query fields.  Baskets with a verdict carry it as one more item.  Spark's
-FP-growth finds the frequent combinations; those that lead to a verdict with enough support
-and confidence become rules, less those that a more general rule of at least the same
-confidence covers.  An inverted index from each rule's rarest token finds the rules that
+A url is a basket of tokens: its host labels, its path segments (digits as 0) and the names of
+its query fields, all of them.  Baskets with a verdict carry it as one more item.  Tokens with
+less than the least support are in no rule and leave the baskets before mining; of tokens
+that the same baskets hold, one stands for all, as two of them in a rule say no more than one.
+Spark's FP-growth finds the frequent combinations; those that lead to a verdict with enough
+support and confidence become rules, less those that a more general rule of at least the same
+confidence covers.  A rule is then written with each of the tokens that its own stand for.  An inverted index from each rule's rarest token finds the rules that
 may hold for a basket; a rule holds if the basket has all its tokens.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no tokens and
@@ -56,33 +58,53 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> C
     return found
 
 
-def tokens_of(url: Column, host: Column, path: Column, labels: int = 4,
-              segments: int = 3) -> Column:
-    """Sorted distinct tokens; the counts bound a basket, and so its combinations."""
+def tokens_of(url: Column, host: Column, path: Column) -> Column:
+    """Sorted distinct tokens, of whole host, path and query."""
     def named(kind: str, items: Column) -> Column:
         return F.transform(F.filter(items, lambda x: x != ""),
                            lambda x: F.concat(F.lit(kind), x))
     names = F.split(host, r"\.")
-    names = F.slice(names, F.greatest(F.lit(1), F.size(names) - labels + 1), labels)
-    steps = F.slice(F.filter(F.split(F.regexp_replace(path, "[0-9]+", "0"), "/"),
-                             lambda x: x != ""), 1, segments)
+    steps = F.split(F.regexp_replace(path, "[0-9]+", "0"), "/")
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"\?([^#]*)", 1)
-    fields = F.slice(F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1)),
-                     1, segments)
+    fields = F.transform(F.split(query, "&"), lambda x: F.substring_index(x, "=", 1))
     return F.array_sort(F.array_distinct(F.concat(
         named("host:", names), named("path:", steps), named("query:", fields))))
 
 
+def frequent_tokens(baskets: DataFrame, least: float) -> DataFrame:
+    """Tokens that at least ``least`` baskets hold, and the first of those that the same hold.
+
+    Baskets are told apart by two sums of hashes of their tokens.
+    """
+    counted = baskets.select(
+        F.explode("tokens").alias("token"),
+        *(F.xxhash64("tokens", F.lit(salt)).cast("decimal(38,0)").alias(f"_{salt}")
+          for salt in (1, 2))).groupBy("token").agg(
+        F.count(F.lit(1)).alias("freq"), F.sum("_1").alias("_1"), F.sum("_2").alias("_2")
+    ).filter(F.col("freq") >= least)
+    counted = settle(counted, "url-tokens")
+    same = counted.groupBy("freq", "_1", "_2").agg(
+        F.array_sort(F.collect_list("token")).alias("same"))
+    return settle(same.select("freq", "same", F.col("same")[0].alias("first")), "url-frequent")
+
+
 def learn_rules(baskets: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """Rules (antecedent, verdict, confidence, support, key) from baskets (tokens, verdict).
 
-    Their number is bounded by 1 / min_support and the size of a basket, not by the rows.
+    Their number is bounded by 1 / min_support and the frequent tokens of a basket that
+    different baskets hold, not by the rows.
     """
-    items = baskets.filter("verdict is not null").select(
-        F.array_append("tokens", F.concat(F.lit("="), F.col("verdict"))).alias("items"))
-    items = settle(items, "url-baskets")
-    if items.isEmpty():
+    labelled = settle(baskets.filter("verdict is not null").select("tokens", "verdict"),
+                      "url-labelled")
+    count = labelled.count()
+    if not count:
         return baskets.sparkSession.createDataFrame([], LEARNED)
+    frequent = frequent_tokens(labelled, min_support * count)
+    firsts = [F.lit(row["first"]) for row in frequent.select("first").collect()]
+    items = labelled.select(F.array_append(
+        F.array_intersect("tokens", F.array(*firsts).cast("array<string>")),
+        F.concat(F.lit("="), F.col("verdict"))).alias("items"))
+    items = settle(items, "url-baskets")
     model = FPGrowth(itemsCol="items", minSupport=min_support,
                      minConfidence=min_confidence).fit(items)
     rules = model.associationRules.filter(F.col("consequent")[0].startswith("=")).filter(
@@ -103,8 +125,21 @@ def learn_rules(baskets: DataFrame, min_support: float, min_confidence: float) -
         & (F.size("_less") < F.size("antecedent"))
         & (F.col("_confidence") >= F.col("confidence"))
         & (F.size(F.array_except("_less", "antecedent")) == 0))
-    return settle(rules.join(covered.select("antecedent", "verdict").distinct(),
-                             ["antecedent", "verdict"], "left_anti"), "url-rules")
+    rules = rules.join(covered.select("antecedent", "verdict").distinct(),
+                       ["antecedent", "verdict"], "left_anti")
+    token = F.col("_token")
+    parts = (rules.withColumn("_token", F.explode("antecedent"))
+             .join(frequent.select(F.col("first").alias("_token"), "same"), "_token")
+             .groupBy("antecedent", "verdict", "confidence", "support")
+             .agg(F.collect_list("same").alias("_parts"),
+                  F.max(F.when(token == F.col("key"), F.col("same"))).alias("_keys")))
+    every = F.aggregate(
+        "_parts", F.array(F.array().cast("array<string>")), lambda made, same: F.flatten(
+            F.transform(made, lambda some: F.transform(same, lambda x: F.array_append(some, x)))))
+    written = parts.withColumn("_one", F.explode(every)).select(
+        F.array_sort("_one").alias("antecedent"), "verdict", "confidence", "support",
+        F.array_intersect("_one", "_keys")[0].alias("key"))
+    return settle(written, "url-rules")
 
 
 def match_rules(baskets: DataFrame, rules: DataFrame) -> DataFrame:
