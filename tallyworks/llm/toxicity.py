@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.samples import classify, held_out, sample_texts
+from tallyworks.llm.samples import HELD_OUT, classify, held_out, remainder, sample_texts
 
 WINDOW, STRIDE = 32, 16
 WORD_SIZE, CHAR_SIZE, HIDDEN, ATTENTION = 8, 8, 8, 8
@@ -351,8 +351,10 @@ def train(sample: list[tuple[str, int]], shares: dict[int, float], steps: int =
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = 1500,
           longest: int = 8_000) -> Network | None:
-    marked = labels.filter(F.col("toxic").isin(0, 1)).select(
-        "doc_id", F.col("toxic").alias("label"))
+    marked = labels.filter(F.col("toxic").isin(0, 1) & (remainder(F.col("doc_id")) != HELD_OUT)
+                           ).select("doc_id", F.col("toxic").alias("label"))
+    ids = docs.select(F.col("doc_id").alias("_id"))
+    marked = marked.join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
     counts = {row.label: row["count"] for row in marked.groupBy("label").count().collect()}
     sample = sample_texts(docs, marked, per_label, longest)
     total = sum(counts.values())
