@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tallyworks.llm.shingles import slices
+from tallyworks.sources.shared import settle
 
 HELD_OUT = 2
 
@@ -28,17 +29,33 @@ def sample_texts(docs: DataFrame, labels: DataFrame, per_label: int,
                  longest: int) -> list[tuple[str, object]]:
     """(text, label) of at most ``per_label`` documents a label, in hashed order of doc_id.
 
-    ``labels`` has doc_id and label, null labels and held-out rows go.  Texts over ``longest``
-    characters are not sampled, so that the sample is bounded in bytes too.
+    ``labels`` has doc_id and label, null labels and held-out rows go; of several labels of a
+    document the least counts.  Texts over ``longest`` characters are not sampled, so that the
+    sample is bounded in bytes too; neither they nor empty, null or missing ones take a place.
+    A histogram of the hashes, in eighths of powers of two, tells how far the places reach, so
+    that only about as many rows as are taken are ranked.
     """
+    sampled = docs.filter(F.length("text").between(1, longest))
     learnable = labels.filter(
-        F.col("label").isNotNull() & (remainder(F.col("doc_id")) != HELD_OUT))
-    place = W.partitionBy("label").orderBy(
-        F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    chosen = (learnable.withColumn("_place", F.row_number().over(place))
-              .filter(F.col("_place") <= per_label)
-              .groupBy(F.col("doc_id").alias("_id")).agg(F.min("label").alias("label")))
-    texts = (docs.filter(F.length("text").between(1, longest)).select("doc_id", "text")
+        F.col("label").isNotNull() & (remainder(F.col("doc_id")) != HELD_OUT)
+    ).select(F.col("doc_id").alias("_id"), "label")
+    share = (F.col("_hash").cast("double") + 2.0 ** 63) / 2.0 ** 64
+    ids = settle(
+        learnable.join(sampled.select("doc_id"), F.col("_id") == F.col("doc_id"), "left_semi")
+        .groupBy("_id").agg(F.min("label").alias("label"))
+        .withColumn("_hash", F.xxhash64(F.col("_id").cast("string")))
+        .withColumn("_level", F.floor(-8 * F.log2(F.greatest(share, F.lit(2.0 ** -64))))),
+        "sample-ids")
+    levels = ids.groupBy("label", "_level").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_before", F.sum("_n").over(W.partitionBy("label").orderBy(F.desc("_level"))) - F.col("_n"))
+    least = levels.filter(F.col("_before") < per_label).groupBy(F.col("label").alias("_label")).agg(
+        F.min("_level").alias("_least"))
+    near = ids.join(F.broadcast(least), (F.col("label") == F.col("_label"))
+                    & (F.col("_level") >= F.col("_least")))
+    place = F.row_number().over(W.partitionBy("label").orderBy("_hash", "_id"))
+    chosen = near.withColumn("_place", place).filter(F.col("_place") <= per_label).select(
+        "_id", "label")
+    texts = (sampled.select("doc_id", "text")
              .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
              .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
              .orderBy("doc_id"))
