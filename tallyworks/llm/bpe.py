@@ -20,9 +20,11 @@ import hashlib
 import json
 import unicodedata
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import pyarrow as pa
@@ -85,6 +87,8 @@ class Tokenizer:
         rank, none = self.ranks.get, len(self.ranks)
         parts = [self.symbols[byte] for byte in piece.encode()]
         parts[-1] += END
+        if len(parts) >= LONG:
+            return [self.vocabulary[part] for part in self._merge_long(parts)]
         pairs = [rank(pair, none) for pair in zip(parts, parts[1:])]
         while pairs and (best := min(pairs)) < none:
             at = pairs.index(best)
@@ -96,6 +100,29 @@ class Tokenizer:
                 pairs[at] = rank((parts[at], parts[at + 1]), none)
         return [self.vocabulary[part] for part in parts]
 
+    def _merge_long(self, parts: list[str | None]) -> list[str]:
+        """The same in n log n: a heap of pairs by rank and place, parts in a linked list."""
+        rank, size = self.ranks.get, len(parts)
+        after, before = array("q", range(1, size + 1)), array("q", range(-1, size - 1))
+        heap = [found * size + at for at, pair in enumerate(zip(parts, parts[1:]))
+                if (found := rank(pair)) is not None]
+        heapify(heap)
+        while heap:
+            least, at = divmod(heappop(heap), size)
+            other = after[at]
+            if other == size or rank((parts[at], parts[other])) != least:
+                continue  # one of the two has been joined to another part since
+            parts[at], parts[other] = parts[at] + parts[other], None
+            after[at] = after[other]
+            if after[at] < size:
+                before[after[at]] = at
+            for left in (before[at], at):
+                if left >= 0 and after[left] < size:
+                    found = rank((parts[left], parts[after[left]]))
+                    if found is not None:
+                        heappush(heap, found * size + left)
+        return [part for part in parts if part is not None]
+
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
 
