@@ -487,15 +487,20 @@ SELECT COALESCE(questioncode, 290) AS questioncode, returned,
     "cord": CORD,
     "sizeband": SIZEBAND,
     "standard_errors": """
-SELECT period, questioncode, classification, cell_no, ROUND(v, 3) AS sample_var,
-       ROUND(SQRT(v / n), 3) AS std_error,
-       ROUND(100 * SQRT(v) / NULLIF(mean, 0), 3) AS cov
-FROM (SELECT period, questioncode, classification, cell_no,
-             VAR_SAMP(adjustedresponse_pounds_thousands) AS v,
-             COUNT(adjustedresponse_pounds_thousands) AS n,
-             AVG(adjustedresponse_pounds_thousands) AS mean
-      FROM o_trimmed
-      GROUP BY period, questioncode, classification, cell_no)""",
+SELECT period, questioncode, classification, cell_no,
+       CAST(ROUND(CAST(v AS DECIMAL(38,9)), 3) AS DOUBLE) AS sample_var,
+       CAST(ROUND(CAST(SQRT(v / n) AS DECIMAL(38,9)), 3) AS DOUBLE) AS std_error,
+       CAST(ROUND(CAST(100 * SQRT(v) / NULLIF(mean, 0) AS DECIMAL(38,9)), 3) AS DOUBLE) AS cov
+FROM (SELECT period, questioncode, classification, cell_no, n,
+             CASE WHEN n > 1 THEN CAST(n * squares - total * total AS DOUBLE)
+                                  / (CAST(n AS DOUBLE) * (n - 1) * 1e18) END AS v,
+             CAST(total AS DOUBLE) / 1e9 / NULLIF(n, 0) AS mean
+      FROM (SELECT period, questioncode, classification, cell_no, COUNT(x) AS n,
+                   SUM(x * x) AS squares, SUM(x) AS total
+            FROM (SELECT *, CAST(ROUND(CAST(adjustedresponse_pounds_thousands
+                                            AS DECIMAL(28,9)) * 1000000000) AS HUGEINT) AS x
+                  FROM o_trimmed)
+            GROUP BY period, questioncode, classification, cell_no))""",
     "rm_regional_employment": "SELECT reference, period, " + ", ".join(
         f'CAST(SUM(employment) FILTER (WHERE region IN ({region_list(codes)})) AS BIGINT)'
         f' AS "employment_{name}"' for name, codes in c.REGIONS.items())

@@ -424,10 +424,11 @@ FROM (SELECT *, CASE WHEN nw_ag_flag THEN adjustedresponse
 CTES["o_total_weights"] = f"""
 SELECT w.* REPLACE (
          CASE WHEN questioncode <> 290 THEN outlier_weight
-              WHEN s.mean = 1 OR outlier_weight = 1 THEN 1
+              WHEN s.untrimmed OR outlier_weight = 1 THEN 1
               ELSE s.kept / NULLIF(adjustedresponse, 0) END AS outlier_weight)
 FROM o_winsorised w LEFT JOIN (
-    SELECT reference, period, AVG(outlier_weight) AS mean,
+    SELECT reference, period,
+           SUM(CAST(outlier_weight AS DECIMAL(28,9))) = COUNT(outlier_weight) AS untrimmed,
            COALESCE({xsum('outlier_weight * adjustedresponse')}, 0) AS kept
     FROM o_winsorised WHERE questioncode IN ({COMPONENTS})
     GROUP BY reference, period) s USING (reference, period)"""

@@ -67,6 +67,35 @@ def exact_sum(column: Column, over: WindowSpec | None = None) -> Column:
     return joined_parts(*(sums if over is None else [part.over(over) for part in sums]))
 
 
+def exact_variance(column: Column) -> tuple[Column, Column, Column]:
+    """Sample variance, count and mean of a group's amounts, the same in whatever order.
+
+    Count, sums and sums of products of wholes and billionths are whole numbers, which partial
+    aggregates add without loss; n * sum(x^2) - sum(x)^2 is taken apart by wholes and
+    billionths before anything is rounded.  A variance is missing for less than two amounts.
+    Sums beyond 38 digits raise.
+    """
+    whole, part = (x.cast("decimal(19,0)") for x in amount_parts(column))
+    n = F.count(column)
+    count = n.cast("decimal(19,0)")
+    one, two = F.sum(whole), F.sum(part)
+
+    def spread(x: Column, y: Column) -> Column:
+        wide = "decimal(38,0)"
+        return (count * F.sum(x * y) - F.sum(x).cast(wide) * F.sum(y).cast(wide)).cast("double")
+
+    apart = (spread(whole, whole) + 2 * spread(whole, part) / 1e9
+             + spread(part, part) / 1e9 / 1e9)
+    number = n.cast("double")
+    variance = F.when(n > 1, apart / number / (number - 1))
+    return variance, n, F.try_divide(joined_parts(one, two), number)
+
+
+def rounded(column: Column, places: int) -> Column:
+    """Rounded as a decimal number, halves away from zero, once noise under a billionth is off."""
+    return F.round(column.cast("decimal(38,9)"), places).cast("double")
+
+
 def month_index(period: Column) -> Column:
     """yyyymm as a running month number (year * 12 + month)."""
     return (F.floor(period / 100) * 12 + period % 100).cast("int")

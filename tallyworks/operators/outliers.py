@@ -67,19 +67,26 @@ def winsorise(df: DataFrame, total: int = c.TOTAL_QUESTION, keep=None) -> DataFr
 
 def total_outlier_weight(df: DataFrame, components: Iterable[int] = c.COMPONENTS,
                          total: int = c.TOTAL_QUESTION) -> DataFrame:
-    """Outlier weight of a total: 1 if no component was trimmed, else the trimmed share."""
+    """Outlier weight of a total: 1 if no component was trimmed, else the trimmed share.
+
+    No component was trimmed if the weights, to the billionth, add up to their number: added
+    as whole numbers, so that row order cannot decide it, and a weight that is off 1 by the
+    last digits of a division counts as 1.  A component without a weight (no L value listed)
+    is left out of that test and of the trimmed sum, so its share of the total is trimmed.
+    """
     is_component = is_in(c.QUESTION, components)
     weight, value = F.col("outlier_weight"), F.col(c.TARGET)
-    mean = F.avg(F.when(is_component, weight)).over(unit_window())
+    weights = F.when(is_component, weight)
+    untrimmed = exact_sum(weights, unit_window()) == F.count(weights).over(unit_window())
     some = F.count(F.when(is_component, 1)).over(unit_window()) > 0
     kept = F.coalesce(
         exact_sum(F.when(is_component, weight * value), unit_window()), F.lit(0.0))
-    return (df.withColumns({"_mean": mean, "_kept": F.when(some, kept)})
+    return (df.withColumns({"_untrimmed": untrimmed, "_kept": F.when(some, kept)})
             .withColumn("outlier_weight",
                         F.when(F.col(c.QUESTION) != total, weight)
-                        .when((F.col("_mean") == 1) | (weight == 1), 1.0)
+                        .when(F.col("_untrimmed") | (weight == 1), 1.0)
                         .otherwise(F.try_divide(F.col("_kept"), value)))
-            .drop("_mean", "_kept"))
+            .drop("_untrimmed", "_kept"))
 
 
 def manual_outlier_weight(df: DataFrame, manual: DataFrame | None) -> DataFrame:

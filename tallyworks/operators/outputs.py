@@ -9,12 +9,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyworks import constants as c
 from tallyworks.functions.expressions import (
-    amount_parts, exact_sum, grossed, int_array, is_in, joined_parts, month_label,
-    not_equal, quarter_label,
-    quarter_periods, size_band, truthy,
+    amount_parts, exact_sum, exact_variance, grossed, int_array, is_in, joined_parts,
+    month_label, not_equal, quarter_label, quarter_periods, rounded, size_band, truthy,
 )
 from tallyworks.settings import SurveySettings
-from tallyworks.sources.shared import settle
 
 IMPUTED_MARKERS = ("fir", "bir", "mc", "fimc", "fic", "c")
 
@@ -22,7 +20,7 @@ QA_IDS = (c.PERIOD, c.SIC, c.REFERENCE, c.CELL, c.AUXILIARY, "froempment", "runa
 
 
 def results_columns(link_filtered: bool = False) -> list[str]:
-    """Columns of the results table, in order."""
+    """Columns of the results table, in order (fixed values)."""
     side = "_filtered" if link_filtered else ""
     t = c.TARGET
     return [
@@ -146,16 +144,26 @@ def imputation_contribution(results: DataFrame, components: Sequence[int] = c.CO
             .select(c.QUESTION, "returned", "total", "imputed"))
 
 
-def _complete(groups: DataFrame, dimensions: Sequence[str]) -> DataFrame:
-    """Every combination of the values present in ``groups``, an aggregated table.
+def _complete(cells: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Every combination of the values present in ``cells``, an aggregated table, with the
+    other columns of ``cells`` where the combination is there.
 
-    Each dimension is a short code list (classification, question, band, quarter): the
-    lists are gathered from the aggregate and expanded, without a join.
+    One aggregate gathers the values of each dimension and the cells themselves, as a map, and
+    both are expanded from it, so that the cells are computed once and nothing is joined.  Its
+    row holds a published table: at most the product of short code lists (classification,
+    question, size band, quarter), whatever the number of answers behind it.
     """
-    lists = groups.agg(*[F.sort_array(F.collect_set(name)).alias(name) for name in dimensions])
+    values = [name for name in cells.columns if name not in dimensions]
+    key = F.struct(*[F.col(name) for name in dimensions])
+    present = F.forall(F.array(*[F.col(name).isNotNull() for name in dimensions]), lambda x: x)
+    gathered = cells.agg(
+        F.map_from_entries(F.collect_list(F.when(present, F.struct(
+            key.alias("key"), F.struct(*values).alias("value"))))).alias("_cells"),
+        *[F.sort_array(F.collect_set(name)).alias(name) for name in dimensions])
     for name in dimensions:
-        lists = lists.withColumn(name, F.explode(name))
-    return lists
+        gathered = gathered.withColumn(name, F.explode(name))
+    return (gathered.withColumn("_cell", F.try_element_at("_cells", key))
+            .select(*dimensions, *[F.col("_cell")[name].alias(name) for name in values]))
 
 
 def growth_table(results: DataFrame, periods: Sequence[int]) -> DataFrame:
@@ -175,8 +183,7 @@ def growth_table(results: DataFrame, periods: Sequence[int]) -> DataFrame:
             F.col(c.PERIOD).cast("string"), F.lit("none")))).cast("double"))
     cells = sums.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
         F.struct(F.col(c.PERIOD), listed))).alias("_months"))
-    cells = settle(cells, "growth")  # read twice below, the results once
-    return _complete(cells, keys).join(cells, keys, "left").select(*keys, *[
+    return _complete(cells, keys).select(*keys, *[
         F.coalesce(F.try_element_at("_months", F.lit(period)), F.lit(0.0)).alias(label)
         for period, label in zip(periods, months)])
 
@@ -221,20 +228,22 @@ def sizeband(results: DataFrame, components: Sequence[int] = c.COMPONENTS,
     sums = rows.groupBy(*keys).agg(*[
         exact_sum(F.when(F.col(c.QUESTION) == question, value)).alias(str(question))
         for question in components])
-    return (_complete(sums, keys).join(sums, keys, "left").fillna(0.0)
-            .orderBy(*keys))
+    return _complete(sums, keys).fillna(0.0).orderBy(*keys)
 
 
 def standard_errors(results: DataFrame, value: str = c.TARGET) -> DataFrame:
-    """Sample variance, standard error and coefficient of variation per cell."""
+    """Sample variance, standard error and coefficient of variation per cell, to three places.
+
+    Moments are exact and rounding is decimal, halves away from zero, so that neither row
+    order nor partitioning decides a last digit.
+    """
     keys = [c.PERIOD, c.QUESTION, "classification", c.CELL]
-    sums = results.groupBy(*keys).agg(
-        F.var_samp(value).alias("_variance"), F.count(value).alias("_n"),
-        F.avg(value).alias("_mean"))
+    moments = zip(("_variance", "_n", "_mean"), exact_variance(F.col(value)))
+    sums = results.groupBy(*keys).agg(*[moment.alias(name) for name, moment in moments])
     variance = F.col("_variance")
     error = F.sqrt(F.try_divide(variance, F.col("_n")))
     spread = F.try_divide(100 * F.sqrt(variance), F.col("_mean"))
     return sums.select(
-        *keys, F.round(variance, 3).alias("sample_var"),
-        F.round(error, 3).alias("std_error"),
-        F.round(spread, 3).alias("cov"))
+        *keys, rounded(variance, 3).alias("sample_var"),
+        rounded(error, 3).alias("std_error"),
+        rounded(spread, 3).alias("cov"))
