@@ -5,10 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks.llm.alignment import digest_alignments
 from tallyworks.llm.bpe import encode_documents
 from tallyworks.llm.jaccard import near_duplicates as near_texts
 from tallyworks.llm.language import identify
+from tallyworks.llm.main_text import extract_pages
 from tallyworks.llm.mixing import mix_sources
+from tallyworks.llm.periodic_runs import digest_runs
 from tallyworks.llm.statements import ORACLES as ORACLES
 from tallyworks.llm.token_counts import count_tokens
 from tallyworks.llm.topk_search import search
@@ -66,6 +69,20 @@ def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_runs(table(spark, sf_dir, "documents"))
+
+
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_alignments(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing": mixing,
     "op2_toxicity": toxicity,
@@ -77,4 +94,7 @@ QUERIES = {
     "op8_vector_dedup": vector_dedup,
     "op9_language": language,
     "op10_url_rules": url_rules,
+    "op11_periodic_runs": periodic_runs,
+    "op12_alignment": alignment,
+    "op13_main_text": main_text,
 }
