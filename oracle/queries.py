@@ -5,7 +5,8 @@ from __future__ import annotations
 from oracle import values as c
 from oracle.values import month_label
 from oracle.views import (
-    BACK, CLEAR, COMPONENTS, CTES, NIL, NON_RESPONSE, UNPROCESSED, statement, xsum,
+    BACK, CLEAR, COMPONENTS, CTES, NIL, NON_RESPONSE, RESULT_COLUMNS, UNPROCESSED, statement,
+    xsum,
 )
 
 KEY = "reference, period, questioncode"
@@ -44,6 +45,12 @@ SELECT reference, period,
             ELSE 'C' END AS error_mkr,
        CASE status WHEN 'Dormant (NIL5)' THEN 5 ELSE 1 END AS response_type
 FROM sv_units"""
+CTES["o_legacy_status"] = """
+SELECT reference, period,
+       CASE error_mkr WHEN 'E' THEN 'Check needed' WHEN 'O' THEN 'Clear - overridden'
+            ELSE 'Clear' END AS status,
+       CASE error_mkr WHEN 'E' THEN 201 WHEN 'O' THEN 211 ELSE 210 END AS statusencoded
+FROM sv_legacy_units"""
 CTES["sv_mixed"] = """
 SELECT reference, period, question_no AS questioncode, adjusted_value AS adjustedresponse
 FROM sv_legacy_questions WHERE question_no NOT IN (902, 903, 904)"""
@@ -285,7 +292,11 @@ FROM sv_answers WHERE period <> {BACK}
 UNION ALL
 SELECT reference, period, question_no, adjusted_value,
        CASE type WHEN 1 THEN 'r' WHEN 3 THEN 'fir' END
-FROM sv_legacy_questions WHERE period = {BACK} AND type <> 2""",
+FROM sv_legacy_questions WHERE period = {BACK} AND type <> 2
+UNION ALL BY NAME
+SELECT reference, period, status, statusencoded FROM sv_contributors WHERE period <> {BACK}
+UNION ALL BY NAME
+SELECT reference, period, status, statusencoded FROM o_legacy_status WHERE period = {BACK}""",
     "legacy_to_panel": """
 SELECT reference, period,
        CASE error_mkr WHEN 'E' THEN 'Check needed' WHEN 'O' THEN 'Clear - overridden'
@@ -298,9 +309,14 @@ SELECT u.reference, u.period, u.status, u.statusencoded, u.cell_no AS cellnumber
        u.frosic2007 AS frozensic, u.frotover AS frozenturnover FROM sv_units u""",
     "legacy_snapshot": """
 SELECT q.reference, q.period, q.question_no AS questioncode,
-       q.adjusted_value AS adjustedresponse
+       q.returned_value AS response, q.adjusted_value AS adjustedresponse
 FROM o_routed q JOIN sv_legacy_units u USING (reference, period)
-WHERE q.question_no NOT IN (902, 903, 904) AND u.response_type <> 5""",
+WHERE q.question_no NOT IN (902, 903, 904) AND u.response_type <> 5
+UNION ALL BY NAME
+SELECT reference, period, s.status, s.statusencoded, u.cell_no AS cellnumber,
+       '0' || u.formtype AS formtype, u.froempment AS frozenemployees,
+       u.frosic2007 AS frozensic, u.frotover AS frozenturnover
+FROM o_legacy_status s JOIN sv_units u USING (reference, period)""",
     "sink_csv": SIZEBAND,
     "sink_stage": "SELECT * FROM sv_answers",
     "src_results": f"""
@@ -311,9 +327,13 @@ FROM o_results""",
 SELECT reference, period, question_no AS questioncode, adjusted_value AS adjustedresponse,
        question_no NOT IN ({UNPROCESSED}) AS processed FROM sv_legacy_questions""",
     "results_projection": f"""
-SELECT {KEY}, CAST(classification AS VARCHAR) AS classification, status, region,
-       imputation_class, imputation_flags_adjustedresponse, construction_link,
-       flag_construction_matches_count, derived_zeros, "290_flag" FROM o_trimmed""",
+SELECT {RESULT_COLUMNS} FROM (
+  SELECT * REPLACE (CAST(classification AS VARCHAR) AS classification) FROM o_trimmed)""",
+    "revised_results": f"""
+SELECT {KEY}, imputation_flags_adjustedresponse,
+       CASE WHEN period IN (200110, 200111) THEN adjustedresponse * 2
+            ELSE adjustedresponse END AS adjustedresponse
+FROM o_results WHERE period <> {BACK}""",
     "masked_replace": f"""
 SELECT {KEY}, CASE WHEN adjustedresponse >= 10000 THEN adjustedresponse END
        AS adjustedresponse FROM sv_responses""",
@@ -594,3 +614,10 @@ FROM o_plain_total LEFT JOIN (
 _SQL["sink_by_period"] = _SQL["qa_output"]
 
 ORACLES = {name: statement(sql) for name, sql in _SQL.items()}
+
+# The same results with the links of a filtered run.
+ORACLES["results_table_filtered"] = statement("""
+SELECT * RENAME (f_match_adjustedresponse_count AS f_match_filtered_adjustedresponse_count,
+                 b_match_adjustedresponse_count AS b_match_filtered_adjustedresponse_count)
+FROM o_results""", CTES | {"o_chain": CTES["o_chain"].replace("JOIN o_links l",
+                                                             "JOIN o_filled_links l")})

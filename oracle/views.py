@@ -255,6 +255,15 @@ CTES["o_links"] = _LINKS % "o_matched"
 CTES["o_filtered_links"] = _LINKS % """(SELECT t.* FROM o_matched t
       WHERE NOT EXISTS (SELECT 1 FROM sv_link_filter x
                         WHERE x.reference = t.reference AND x.period = t.period))"""
+# Links of a run with a link filter: default links where it leaves nobody in a class.
+CTES["o_filled_links"] = "SELECT questioncode, imputation_class, period, " + ", ".join(
+    f"COALESCE(x.{name}, {default}) AS {name}" for name, default in (
+        ("f_link_adjustedresponse", 1), ("default_link_f_match_adjustedresponse", "TRUE"),
+        ("b_link_adjustedresponse", 1), ("default_link_b_match_adjustedresponse", "TRUE"),
+        ("construction_link", 1), ("default_link_flag_construction_matches", "TRUE"),
+        ("f_match_adjustedresponse_count", 0), ("b_match_adjustedresponse_count", 0),
+        ("flag_construction_matches_count", 0))) + """
+FROM o_links l LEFT JOIN o_filtered_links x USING (questioncode, imputation_class, period)"""
 _UP = "PARTITION BY reference, questioncode ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _DOWN = _UP.replace("ORDER BY m", "ORDER BY m DESC")
 CTES["o_chain"] = f"""
@@ -460,18 +469,18 @@ FROM o_results"""
 _NAMES = re.compile(r"\b(?:sv|o)_\w+\b")
 
 
-def _needed(sql: str, order: list[str]) -> None:
+def _needed(sql: str, order: list[str], views: dict[str, str]) -> None:
     for name in dict.fromkeys(_NAMES.findall(sql)):
-        if name in CTES and name not in order:
-            _needed(CTES[name], order)
+        if name in views and name not in order:
+            _needed(views[name], order, views)
             order.append(name)
 
 
-def statement(sql: str) -> str:
+def statement(sql: str, views: dict[str, str] = CTES) -> str:
     """``sql`` with the common table expressions it needs."""
     order: list[str] = []
-    _needed(sql, order)
+    _needed(sql, order, views)
     if not order:
         return sql
-    head = ",\n".join(f"{name} AS MATERIALIZED ({CTES[name]})" for name in order)
+    head = ",\n".join(f"{name} AS MATERIALIZED ({views[name]})" for name in order)
     return f"WITH {head}\n{sql}"

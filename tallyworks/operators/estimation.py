@@ -23,19 +23,30 @@ def sampled_units(population: DataFrame, sample: DataFrame) -> DataFrame:
     return sample.select(*c.UNIT).join(population, list(c.UNIT))
 
 
-def population_counts(population: DataFrame, sample: DataFrame) -> DataFrame:
-    """Units and turnover of frame and sample per (period, cell).
+def marked_population(population: DataFrame, sample: DataFrame) -> DataFrame:
+    """Population units with the times the sample holds them in that month."""
+    drawn = sample.groupBy(*c.UNIT).agg(F.count("*").alias("_drawn"))
+    return population.join(drawn, list(c.UNIT), "left").select(
+        *c.UNIT, c.CELL, c.AUXILIARY, F.coalesce("_drawn", F.lit(0)).alias("_drawn"))
+
+
+def cell_counts(marked: DataFrame) -> DataFrame:
+    """Units and turnover of frame and sample per (period, cell), of marked units.
 
-    Frame and sample are reduced to cells, with map-side partial sums, before they meet.
+    One pass: frame and sample are conditional sums of one aggregate, partly added up before
+    the shuffle.
     """
-    turnover = exact_sum(F.col(c.AUXILIARY))
-    frame = population.groupBy(*CELL_PERIOD).agg(
-        turnover.alias("population_turnover_sum"), F.count("*").alias("population_count"))
-    drawn = sampled_units(population, sample).groupBy(*CELL_PERIOD).agg(
-        turnover.alias("sample_turnover_sum"), F.count("*").alias("sample_count"))
-    return frame.join(drawn, list(CELL_PERIOD), "left").select(
-        *CELL_PERIOD, "population_turnover_sum", "population_count", "sample_turnover_sum",
-        F.coalesce("sample_count", F.lit(0)).alias("sample_count"))
+    drawn, turnover = F.col("_drawn"), F.col(c.AUXILIARY)
+    return marked.groupBy(*CELL_PERIOD).agg(
+        exact_sum(turnover).alias("population_turnover_sum"),
+        F.count("*").alias("population_count"),
+        exact_sum(F.when(drawn > 0, drawn * turnover)).alias("sample_turnover_sum"),
+        F.sum("_drawn").alias("sample_count"))
+
+
+def population_counts(population: DataFrame, sample: DataFrame) -> DataFrame:
+    """Units and turnover of frame and sample per (period, cell)."""
+    return cell_counts(marked_population(population, sample))
 
 
 def design_weight(counts: DataFrame, settings: SurveySettings) -> DataFrame:
@@ -55,7 +66,12 @@ def calibration_factor(weighted: DataFrame) -> DataFrame:
 
 def cell_weights(population: DataFrame, sample: DataFrame,
                  settings: SurveySettings) -> DataFrame:
-    weights = calibration_factor(design_weight(population_counts(population, sample), settings))
+    return weigh_cells(population_counts(population, sample), settings)
+
+
+def weigh_cells(counts: DataFrame, settings: SurveySettings) -> DataFrame:
+    """Design weight, calibration factor and census mark of every counted cell."""
+    weights = calibration_factor(design_weight(counts, settings))
     census = (F.col("design_weight") == 1) | is_in(c.CELL, settings.census_cells)
     return weights.select(
         *CELL_PERIOD, "design_weight", "calibration_factor",
@@ -64,11 +80,18 @@ def cell_weights(population: DataFrame, sample: DataFrame,
 
 def estimate(panel: DataFrame, population: DataFrame, sample: DataFrame,
              settings: SurveySettings, keep=None) -> DataFrame:
-    """The panel with the weights of each unit's population cell."""
-    cells = cell_weights(population, sample, settings)
+    """The panel with the weights of each unit's population cell.
+
+    ``keep`` stores the marked population by reference: it is read once, its cells are counted
+    and its sampled units picked from what is stored, and those meet the panel where they lie.
+    """
+    marked = marked_population(population, sample)
+    if keep is not None:
+        marked = keep(marked.repartition(c.REFERENCE), "marked_population", by=c.REFERENCE)
+    cells = weigh_cells(cell_counts(marked), settings)
     if keep is not None:
         cells = keep(cells, "cell_weights")
-    units = (sampled_units(population, sample).select(*c.UNIT, c.CELL)
+    units = (marked.where("_drawn > 0").select(*c.UNIT, c.CELL)
              .join(cells, list(CELL_PERIOD), "left").drop(c.CELL)
              .withColumn("is_sampled", F.lit(True)))
     return (panel.join(units, list(c.UNIT), "left")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyworks import constants as c
 from tallyworks.functions.expressions import (
@@ -72,20 +72,42 @@ def rm_turnover(rows: DataFrame, shares: DataFrame) -> DataFrame:
         for region in REGION_NAMES})
 
 
+def in_quarter(rows: DataFrame, quarter: str | None = None) -> Column:
+    """Whether a month is of the quarter, of the latest one ``rows`` hold unless it is named.
+
+    The first month of the latest quarter is a scalar subquery, so that it becomes a literal
+    before the scan and is pushed down like a named quarter.
+    """
+    if quarter is not None:
+        return is_in(c.PERIOD, quarter_periods(quarter))
+    last = F.max(c.PERIOD)
+    first = rows.agg((last - (last % 100 - 1) % 3).cast("int").alias("first")).scalar()
+    return F.col(c.PERIOD) >= first
+
+
+def rm_table(results: DataFrame, units: DataFrame, quarter: str | None = None) -> DataFrame:
+    """Repair and maintenance work of one quarter by region, from results and local units.
+
+    Both are filtered to the quarter at their scans, before shares are taken and joined.
+    """
+    rows = rm_rows(results)
+    months = in_quarter(rows, quarter)
+    turnover = rm_turnover(rows.where(months), rm_percent(units.where(months)))
+    return _by_region(turnover)
+
+
 def rm_output(turnover: DataFrame, quarter: str | None = None,
               questions: Mapping[int, str] = c.REPAIR_QUESTIONS) -> DataFrame:
     """One quarter, the latest unless named: a row per region, a column per question."""
-    rows = turnover
-    if quarter is not None:
-        rows = rows.where(is_in(c.PERIOD, quarter_periods(quarter)))
-    rows = rows.withColumn("quarter", quarter_label(F.col(c.PERIOD)))
+    return _by_region(turnover.where(in_quarter(turnover, quarter)), questions)
+
+
+def _by_region(turnover: DataFrame,
+               questions: Mapping[int, str] = c.REPAIR_QUESTIONS) -> DataFrame:
+    rows = turnover.withColumn("quarter", quarter_label(F.col(c.PERIOD)))
     sums = rows.groupBy("quarter", c.QUESTION).agg(*[
         exact_sum(F.col(column_name("turnover", region))).alias(region)
         for region in REGION_NAMES])
-    if quarter is None:
-        # One row per quarter and question is left here, so a single window is small.
-        latest = F.max("quarter").over(Window.partitionBy(F.lit(1)))
-        sums = sums.withColumn("_latest", latest).where("quarter = _latest").drop("_latest")
     long = sums.unpivot(["quarter", c.QUESTION], list(REGION_NAMES), "region", "turnover")
     wide = long.groupBy("quarter", "region").agg(*[
         F.coalesce(F.max(F.when(F.col(c.QUESTION) == question, F.col("turnover"))),

@@ -46,9 +46,7 @@ def registry(settings: SurveySettings, options: OutputOptions = OutputOptions(),
     def repair(results: DataFrame) -> DataFrame | None:
         if options.repair_output is not True or local_units is None:
             return None
-        turnover = regions.rm_turnover(
-            regions.rm_rows(results), regions.rm_percent(local_units))
-        return regions.rm_output(turnover, options.repair_quarter)
+        return regions.rm_table(results, local_units, options.repair_quarter)
 
     return {
         "imputes_and_constructed_output": Output(

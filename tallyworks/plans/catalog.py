@@ -107,9 +107,9 @@ def append_back_data(spark, sf):
     answers = survey.answers(spark, sf).where(~back).drop(c.MARKER)
     units = survey.contributors(spark, sf).where(~back)
     questions = survey.legacy_questions(spark, sf).where(back)
-    rows, _ = legacy.append_back_data(
+    rows, contributors = legacy.append_back_data(
         answers, units, questions, survey.legacy_units(spark, sf).where(back))
-    return rows.select(*KEY, c.TARGET, c.MARKER)
+    return _both_parts(contributors, rows.select(*KEY, c.TARGET, c.MARKER))
 
 
 @query
@@ -133,7 +133,11 @@ def legacy_snapshot(spark, sf):
     conversion.legacy_snapshot(
         survey.legacy_questions(spark, sf), survey.legacy_units(spark, sf),
         _legacy_frame(spark, sf), NO_VALUES, path, "legacy")
-    return snapshot.read_snapshot_columnar(spark, path, lines=True)[1].select(*KEY, c.TARGET)
+    units, rows = snapshot.read_snapshot_columnar(
+        spark, path, lines=True, contributor_fields=(
+            *snapshot.CONTRIBUTOR_FIELDS, "cellnumber", "formtype", "frozenemployees",
+            "frozensic", "frozenturnover"))
+    return _both_parts(units, rows.withColumn("response", F.col("response").cast("double")))
 
 
 @query
@@ -183,9 +187,7 @@ def results_projection(spark, sf):
     run = saved_run(spark, sf)
     weights = run.trimmed.withColumn(
         "classification", F.col("classification").cast("string"))
-    return outputs.results_projection(weights).select(
-        *KEY, "classification", "status", "region", "imputation_class", c.MARKER,
-        "construction_link", "flag_construction_matches_count", "derived_zeros", "290_flag")
+    return outputs.results_projection(weights)
 
 
 @query
@@ -579,6 +581,27 @@ def results_table(spark, sf):
     return stages.survey_results(survey.inputs(spark, sf), S, RunStore(spark).keep)
 
 
+@query
+def results_table_filtered(spark, sf):
+    """Results of a run that leaves listed units out of its links."""
+    inputs = survey.inputs(spark, sf, link_filtered=True)
+    return stages.survey_results(inputs, S, RunStore(spark).keep)
+
+
+@query
+def revised_results(spark, sf):
+    """Saved results of all months after a run that revised the last two, twice."""
+    months = (200110, 200111)
+    path = RunStore(spark, "revised").path("results")
+    results = saved_run(spark, sf).results.where(F.col(c.PERIOD) != S.backdata_period)
+    sinks.revise_months(results, path, S.periods)
+    doubled = results.where(F.col(c.PERIOD).isin(*months)).withColumn(
+        c.TARGET, F.col(c.TARGET) * 2)
+    for _ in range(2):
+        sinks.revise_months(doubled, path, months)
+    return sinks.read_months(spark, path, (*KEY, c.TARGET, c.MARKER))
+
+
 @query
 def routing(spark, sf):
     return legacy.routing(survey.legacy_questions(spark, sf), NO_VALUES,
@@ -682,7 +705,7 @@ def rm_output(spark, sf):
 
 @query
 def rm_output_latest(spark, sf):
-    return regions.rm_output(_turnover(spark, sf))
+    return regions.rm_table(saved_run(spark, sf).results, survey.local_units(spark, sf))
 
 
 @query

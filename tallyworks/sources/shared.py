@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def chosen_folder(named: str | None, warehouse: str, master: str) -> str:
+    """The named folder, else one in the warehouse.
+
+    On a cluster a warehouse on the machine's own disk is another folder on every machine:
+    then the folder has to be named.
+    """
+    if named:
+        return named.rstrip("/")
+    one_machine = master == "local" or master.startswith("local[")
+    if not one_machine and re.match("(file:|/|(?![a-z0-9+.-]+:))", warehouse):
+        raise ValueError(f"{CHECKPOINT_DIR} is not set, and {warehouse} is not shared by the "
+                         f"machines of {master}")
+    return f"{warehouse.rstrip('/')}/kept"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in spark.checkpoint.dir, else one in its warehouse."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/kept").rstrip("/")
+    return chosen_folder(spark.conf.get(CHECKPOINT_DIR, None),
+                         spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -1,8 +1,9 @@
 """Snapshots of contributors and responses in JSON, as records or as columns.
 
-A snapshot is one JSON object.  A small one is a single document; a large one is a folder
-of text files with one object per line, each holding a bounded number of rows, so that
-reading and writing split over tasks.
+A snapshot is one JSON object.  It may be a single document, which is split at its records
+(document.py) if it lists records and read by one task if it lists columns; or a folder of text
+files with one object per line, each holding a bounded number of rows, so that reading and
+writing split over tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tallyworks.sources import document
+from tallyworks.sources.shared import settle
+
 CONTRIBUTOR_FIELDS = ("reference", "period", "status", "statusencoded")
 RESPONSE_FIELDS = ("reference", "period", "questioncode", "response", "adjustedresponse")
 FIELD_TYPES = {
@@ -51,7 +55,13 @@ def read_snapshot_records(
         spark: SparkSession, path: str, lines: bool = False,
         contributor_fields: Sequence[str] = CONTRIBUTOR_FIELDS,
         response_fields: Sequence[str] = RESPONSE_FIELDS) -> tuple[DataFrame, DataFrame]:
-    """(contributors, responses) of snapshots that list records."""
+    """(contributors, responses) of snapshots that list records.
+
+    A single document is read by as many tasks as its bytes fill, and once for both parts.
+    """
+    if not lines:
+        return _document_parts(spark, path, contributor_fields, response_fields)
+
     def part(name: str, fields: Sequence[str]) -> DataFrame:
         # Each part is read with its own schema, so the other one is not parsed.
         objects = _read(spark, path, {name: T.ArrayType(_record(fields))}, lines)
@@ -60,6 +70,17 @@ def read_snapshot_records(
     return part("contributors", contributor_fields), part("responses", response_fields)
 
 
+def _document_parts(spark: SparkSession, path: str, contributor_fields: Sequence[str],
+                    response_fields: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    records = settle(document.read_records(spark, path), "records")
+
+    def part(name: str, fields: Sequence[str]) -> DataFrame:
+        rows = records.where(F.col("part") == name).select(
+            F.from_json("record", _record(fields), {"mode": "FAILFAST"}).alias("_r"))
+        return rows.select(*[_scalar(F.col("_r").getField(f), f).alias(f) for f in fields])
+    return part("contributors", contributor_fields), part("responses", response_fields)
+
+
 def read_snapshot_columnar(
         spark: SparkSession, path: str, lines: bool = False,
         contributor_fields: Sequence[str] = CONTRIBUTOR_FIELDS,
