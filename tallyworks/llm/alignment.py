@@ -18,10 +18,10 @@ rows; strings of special tokens inside a text are plain text.  Only doc_id and t
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate, count
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -72,86 +72,114 @@ def pieces(path: str) -> tuple[sentencepiece.SentencePieceProcessor, list[bytes]
     return model, tokens
 
 
+class Side:
+    """What is known of one tokenizer's ids: their bytes, and how groups are written."""
+
+    def __init__(self, tokens: list[bytes], closing: str):
+        self.tokens = tokens
+        self.lengths = np.array(list(map(len, tokens)), np.int64)
+        self.inner = np.array([f"{i}," for i in range(len(tokens))], object)
+        self.last = np.array([f"{i}{closing}" for i in range(len(tokens))], object)
+
+    def spell(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+    def ends(self, ids: np.ndarray) -> dict[int, int]:
+        """Number of tokens up to each cumulative byte end."""
+        return dict(zip(np.cumsum(self.lengths[ids]).tolist(), count(1)))
+
+
 @dataclass
 class Aligned:
-    """Groups of one text: bounds in both id lists, and its links, token by token."""
-
-    a: list[int]
-    b: list[int]
-    bounds: list[tuple[int, int]]
-    link_a: list[int]
-    link_b: list[int]
-
-    def written(self) -> str:
-        """Groups as ``a1,a2|b1;a3|b2,b3``."""
-        a, b = list(map(str, self.a)), list(map(str, self.b))
-        groups, i, j = [], 0, 0
-        for next_i, next_j in self.bounds:
-            if next_i - i == 1 and next_j - j == 1:
-                groups.append(a[i] + "|" + b[j])
-            else:
-                groups.append(",".join(a[i:next_i]) + "|" + ",".join(b[j:next_j]))
-            i, j = next_i, next_j
-        return ";".join(groups)
-
-
-def align(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> Aligned:
-    """Groups and links of two id lists over the same bytes."""
-    ends_a = dict(zip(accumulate(map(len, map(bytes_a.__getitem__, a))), count(1)))
-    ends_b = dict(zip(accumulate(map(len, map(bytes_b.__getitem__, b))), count(1)))
-    bounds, link_a, link_b = [], [], []
-    i = j = 0
-    for end in sorted(ends_a.keys() & ends_b.keys()):
-        next_i, next_j = ends_a[end], ends_b[end]
-        bounds.append((next_i, next_j))
-        if next_i - i == 1:
-            link_a += a[i:next_i] * (next_j - j)
-            link_b += b[j:next_j]
-        elif next_j - j == 1:
-            link_a += a[i:next_i]
-            link_b += b[j:next_j] * (next_i - i)
-        else:  # both cut: the one that ends first steps on
-            left, right = len(bytes_a[a[i]]), len(bytes_b[b[j]])
-            while True:
-                link_a.append(a[i])
-                link_b.append(b[j])
-                if left == right:
-                    break
-                if left < right:
+    """Groups of one text, by the tokens of both sides up to their ends, and its links."""
+
+    a: np.ndarray
+    b: np.ndarray
+    ends_a: np.ndarray
+    ends_b: np.ndarray
+    link_a: np.ndarray
+    link_b: np.ndarray
+
+    def written(self, left: Side, right: Side) -> str:
+        """Groups as ``a1,a2|b1;a3|b2,b3``: every token with the mark that follows it."""
+        if not len(self.ends_a):
+            return ""
+        sizes_a, sizes_b = np.diff(self.ends_a, prepend=0), np.diff(self.ends_b, prepend=0)
+        marks = np.empty(len(self.a) + len(self.b), object)
+        place_a = np.arange(len(self.a)) + np.repeat(self.ends_b - sizes_b, sizes_a)
+        place_b = np.arange(len(self.b)) + np.repeat(self.ends_a, sizes_b)
+        for place, ids, ends, side in ((place_a, self.a, self.ends_a, left),
+                                       (place_b, self.b, self.ends_b, right)):
+            marks[place] = side.inner[ids]
+            marks[place[ends - 1]] = side.last[ids[ends - 1]]
+        return "".join(marks.tolist())[:-1]
+
+
+def align(a: Sequence[int], b: Sequence[int], left: Side, right: Side) -> Aligned:
+    """Groups and links of two id lists over the same bytes.
+
+    The other side's dictionary is asked for this side's ends, which come sorted: what it holds
+    are the common keys, with the places of both.  A slice of x and y tokens has x + y - 1 links:
+    from its first two tokens on, the one that ends first steps on.  Links are in no order.
+    """
+    a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
+    at_b = right.ends(b)
+    ends = np.cumsum(left.lengths[a]).tolist()
+    found = np.fromiter(map(at_b.get, ends, repeat(0)), np.int64, len(ends))
+    ends_a = np.nonzero(found)[0] + 1
+    ends_b = found[ends_a - 1]
+    sizes_a, sizes_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+    alone = (sizes_a == 1) & (sizes_b == 1)
+    stairs_a, stairs_b = [], []
+    if not alone.all():
+        size_a, size_b = left.lengths[a].tolist(), right.lengths[b].tolist()
+        many = ~alone
+        for i, j, links in zip((ends_a - sizes_a)[many].tolist(), (ends_b - sizes_b)[many].tolist(),
+                               (sizes_a + sizes_b)[many].tolist()):
+            end_a, end_b = size_a[i], size_b[j]
+            for _ in range(links - 2):
+                stairs_a.append(i)
+                stairs_b.append(j)
+                if end_a < end_b:
                     i += 1
-                    left += len(bytes_a[a[i]])
+                    end_a += size_a[i]
                 else:
                     j += 1
-                    right += len(bytes_b[b[j]])
-        i, j = next_i, next_j
-    return Aligned(a, b, bounds, link_a, link_b)
+                    end_b += size_b[j]
+            stairs_a.append(i)
+            stairs_b.append(j)
+    place_a = np.concatenate([ends_a[alone] - 1, np.array(stairs_a, np.int64)])
+    place_b = np.concatenate([ends_b[alone] - 1, np.array(stairs_b, np.int64)])
+    return Aligned(a, b, ends_a, ends_b, a[place_a], b[place_b])
 
 
 class Aligner:
     """Both tokenizers of a worker."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.encoder_a, self.bytes_a = byte_level(path_a)
-        self.encoder_b, self.bytes_b = pieces(path_b)
-        self.width = len(self.bytes_b)
+        self.encoder_a, tokens_a = byte_level(path_a)
+        self.encoder_b, tokens_b = pieces(path_b)
+        self.left, self.right = Side(tokens_a, "|"), Side(tokens_b, ";")
 
     def align(self, text: str | None) -> Aligned:
-        none = Aligned([], [], [], [], [])
         if not text:
-            return none
+            return align([], [], self.left, self.right)
         spaced = " " + text
         data = spaced.encode()
-        a = self.encoder_a.encode_ordinary(spaced)
-        b = self.encoder_b.encode([text], num_threads=1)[0]
-        if (b"".join(map(self.bytes_a.__getitem__, a)) != data
-                or b"".join(map(self.bytes_b.__getitem__, b)) != data):
-            return none
-        return align(a, b, self.bytes_a, self.bytes_b)
+        a = self.encoder_a.encode_to_numpy(spaced, disallowed_special=())
+        b = self.encoder_b.encode(text)
+        # The byte-level side gives parts of the text in order: all of it if the lengths agree.
+        if self.left.lengths[a].sum() != len(data) or self.right.spell(b) != data:
+            a, b = [], []
+        return align(a, b, self.left, self.right)
+
+    def written(self, aligned: Aligned) -> str:
+        return aligned.written(self.left, self.right)
 
     def pairs(self, aligned: Aligned) -> tuple[np.ndarray, np.ndarray]:
         """Distinct links as one number each, sorted, and how often each is there."""
-        links = np.array(aligned.link_a, np.int64) * self.width
-        return np.unique(links + np.array(aligned.link_b, np.int64), return_counts=True)
+        return np.unique(aligned.link_a * len(self.right.tokens) + aligned.link_b,
+                         return_counts=True)
 
 
 @lru_cache(maxsize=1)
@@ -195,8 +223,8 @@ def _aligner(path_a: str, path_b: str, most: int):
                     seen.append(pairs)
                 made.append({
                     "block": block, "doc_id": doc_id.as_py(), "n_a": len(aligned.a),
-                    "n_b": len(aligned.b), "n_groups": len(aligned.bounds),
-                    "n_links": len(aligned.link_a), "groups": aligned.written(),
+                    "n_b": len(aligned.b), "n_groups": len(aligned.ends_a),
+                    "n_links": len(aligned.link_a), "groups": aligner.written(aligned),
                     "held": packed(np.diff(pairs, prepend=0)), "times": packed(times)})
             yield pa.RecordBatch.from_pylist(made, KEPT)
             size += batch["text"].nbytes

@@ -12,7 +12,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tallyworks.llm.alignment import (
-    Aligner, align, align_documents, digest_alignments, packed, unpacked,
+    Aligner, Side, align, align_documents, digest_alignments, packed, unpacked,
 )
 from tallyworks.llm.bpe import byte_symbols
 from tokenizers import Tokenizer
@@ -47,8 +47,9 @@ def test_any_cuts(lengths, draw):
     while total:
         other.append(draw.randint(1, min(4, total)))
         total -= other[-1]
-    aligned = align(lengths, other, of, of)
-    assert (aligned.written(), sorted(zip(aligned.link_a, aligned.link_b))) == brute_force(
+    left, right = Side(of, "|"), Side(of, ";")
+    aligned = align(lengths, other, left, right)
+    assert (aligned.written(left, right), sorted(zip(aligned.link_a, aligned.link_b))) == brute_force(
         lengths, other, of, of)
 
 
@@ -96,9 +97,10 @@ TEXTS = ["Hello, world", " leading", "two  spaces\n\nlines\t", "▁ mark", "日
 
 @pytest.mark.parametrize("text", TEXTS)
 def test_texts(plain, text):
-    aligned = Aligner(A, B).align(text)
+    aligner = Aligner(A, B)
+    aligned = aligner.align(text)
     a, b, groups, links = plain(text)
-    assert (aligned.a, aligned.b, aligned.written()) == (a, b, groups)
+    assert (aligned.a.tolist(), aligned.b.tolist(), aligner.written(aligned)) == (a, b, groups)
     assert sorted(zip(aligned.link_a, aligned.link_b)) == links
 
 
@@ -145,6 +147,7 @@ def test_odd_rows(spark, odd_documents, no_documents, plain):
 def test_real_outputs(spark):
     docs = spark.createDataFrame([(1, "Hello"), (2, "Hello there")], "doc_id long, text string")
     rows = {r.doc_id: r for r in align_documents(docs, A, B).collect()}
-    hello, there = (Aligner(A, B).align(text) for text in ("Hello", "Hello there"))
-    assert rows[1].groups == hello.written() and rows[2].groups == there.written()
+    aligner = Aligner(A, B)
+    hello, there = (aligner.written(aligner.align(text)) for text in ("Hello", "Hello there"))
+    assert rows[1].groups == hello and rows[2].groups == there
     assert rows[1].count_sum == 2 * rows[1].n_links
