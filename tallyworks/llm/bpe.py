@@ -1,9 +1,9 @@
 """BPE encoding and decoding with a lexicon of the corpus's frequent words.
 
-The words of all documents are counted; the most frequent are merged once, compiled into a
-transducer (lexicon.py), and given to every task as a file.  A task looks a word up
+The words of a sample of documents are counted; the most frequent are merged once, compiled into
+a transducer (lexicon.py), and given to every task as a file.  A task looks a word up
 there; a word that is not in it is cut into pieces and merged by rank, exactly.  What a task
-has looked up last it keeps, up to a bound.
+has looked up last it keeps, up to a bound in bytes.
 
 The tokenizer file gives vocabulary, merges and special tokens; its path is a parameter.
 Text is normalised (NFC, lower case), cut at white space and by the pattern below, and
@@ -25,7 +25,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from sys import getsizeof
 
 import pyarrow as pa
 import regex
@@ -42,7 +42,9 @@ from tallyworks.sources.shared import new_folder, settle
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
 SEPARATORS = regex.compile("[\x1c-\x1f]")  # white space to Python, not to the pattern
-MEMORY, LONG = 300_000, 100
+LONG = 100
+MEMORY = 32 << 20  # bytes a worker remembers in one filling; the filling before stays too
+COUNTED = 300_000  # words a task counts before it passes them on
 ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                      ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
@@ -128,49 +130,55 @@ class Tokenizer:
 
 
 class Memory(dict):
-    """Ids by text, as ``find`` gives them.
+    """Packed ids by text, as ``find`` gives them, up to a number of bytes.
 
     When it is full it starts anew, and takes over from the last filling what is asked again.
     """
 
-    def __init__(self, find: Callable[[str], list[int]]):
+    def __init__(self, find: Callable[[str], bytes], most: int = MEMORY):
         super().__init__()
-        self.find, self.old = find, {}
+        self.find, self.most, self.old, self.size = find, most, {}, 0
 
-    def __missing__(self, text: str) -> list[int]:
+    def __missing__(self, text: str) -> bytes:
         ids = self.old.get(text)
         if ids is None:
             ids = self.find(text)
         if len(text) < LONG:
-            if len(self) >= MEMORY:
-                self.old = dict(self)
+            if self.size >= self.most:
+                self.old, self.size = dict(self), 0
                 self.clear()
             self[text] = ids
+            self.size += getsizeof(text) + getsizeof(ids) + 100  # and its place in the table
         return ids
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class Encoder:
     """Encodes whole texts."""
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon):
         self.tokenizer, self.lexicon = tokenizer, lexicon
-        self.pieces, self.chunks = Memory(self._piece), Memory(self._chunk)
+        self.chunks = Memory(self._chunk)
+        self.special = {token: packed([i]) for token, i in tokenizer.special.items()}
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         ids = self.lexicon.get(piece.encode())
-        return self.tokenizer.merge(piece) if ids is None else ids
+        return packed(self.tokenizer.merge(piece)) if ids is None else ids
 
-    def _chunk(self, chunk: str) -> list[int]:
-        return list(chain.from_iterable(map(self.pieces.__getitem__, PIECES.findall(chunk))))
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self._piece, PIECES.findall(chunk)))
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+        ids = []
         for part in self.tokenizer.cut.split(text):
-            if part in self.tokenizer.special:
-                ids.append(self.tokenizer.special[part])
+            if part in self.special:
+                ids.append(self.special[part])
             else:
-                ids += chain.from_iterable(map(self.chunks.__getitem__, chunks(part)))
-        return ids
+                ids += map(self.chunks.__getitem__, chunks(part))
+        return memoryview(b"".join(ids)).cast("I").tolist()
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,18 +197,22 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         for text in batch["text"]:
             counts.update(chunk for chunk in chunks(text.as_py() or "") if len(chunk) < LONG)
-            if len(counts) > MEMORY:
+            if len(counts) > COUNTED:
                 yield flush()
     yield flush()
 
 
-def frequent_words(docs: DataFrame, words: int) -> list[str]:
-    """At most ``words`` of the most frequent words of all texts.
+def frequent_words(docs: DataFrame, words: int, sample: int) -> list[str]:
+    """At most ``words`` of the most frequent words of about ``sample`` documents.
 
-    A histogram of the counts, in eighths of powers of two, tells from where on they fit, so
+    Documents are chosen by a hash.  Which words are chosen steers speed alone, as others are
+    merged exactly.  A histogram of the counts, in eighths of powers of two, tells from where on they fit, so
     that no more than that many words come to the driver.
     """
-    counted = settle(docs.select("text").mapInArrow(_counts, "word string, n long")
+    places = 1 << 30
+    share = min(1.0, sample / max(1, docs.count()))
+    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(places)) < share * places)
+    counted = settle(chosen.select("text").mapInArrow(_counts, "word string, n long")
                      .groupBy("word").agg(F.sum("n").alias("n")), "words")
     step = F.floor(F.log2("n") * 8)
     left, least = words, None
@@ -250,10 +262,13 @@ def ship_lexicon(spark: SparkSession, tokenizer: Tokenizer, words: list[str]) ->
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
-                     words: int = 200_000) -> DataFrame:
-    """doc_id, n_tokens and digests of ids and decoded text of every document."""
+                     words: int = 200_000, sample: int = 20_000) -> DataFrame:
+    """doc_id, n_tokens and digests of ids and decoded text of every document.
+
+    The lexicon holds at most ``words`` words of a sample of about ``sample`` documents.
+    """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    name = ship_lexicon(spark, Tokenizer(tokenizer_path), frequent_words(docs, words))
+    name = ship_lexicon(spark, Tokenizer(tokenizer_path), frequent_words(docs, words, sample))
     return docs.mapInArrow(
         _encoder(tokenizer_path, name),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
