@@ -7,13 +7,15 @@ shingles.  Sizes lie in bands; for each band the sketch has more cells than its
 may differ in, so two sets that link have an equal cell (pigeonhole), and documents meet
 where they have equal cells.  What meets is verified on the whole sets.
 
-* An empty cell says nothing and is not joined, save for a document with so many empty cells
-  that a partner could equal it in those alone.
-* Shingles that very many documents of a bounded sample hold are left out of the cells.
+* An empty cell says nothing and is not joined; a document with so many empty cells that a
+  partner could equal it in those alone is sketched again by another hash.
+* Shingles that very many documents of a bounded sample hold are left out of the first sketch.
   That can only lessen the difference, so no link is lost; a document left with too many empty
-  cells joins by its whole set as well.
-* Equal sets are one class, sketched once.  Cells travel in packed columns, a row per batch
-  and bucket.
+  cells is sketched by its whole set as well.
+* Equal sets are one class: a task sketches the first of them that it sees, and what they meet is
+  put down to one of them.  Cells travel in packed columns, a row per batch and bucket.
+* Whole texts are shuffled once, to the documents that meet any other: by a join that is never a
+  broadcast, as the number of such documents grows with the corpus.
 * Members of a cell first meet one of them; only those that are still in different components
   after that are paired off, if sizes and the distance of short bit sketches allow a link.
 
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,7 @@ from tallyworks.llm.shingles import mix, shingle_sets, slices
 from tallyworks.sources.shared import settle
 
 PERCENT = 80
+SEEN = 200_000  # classes a task remembers; a copy it has forgotten is sketched again
 PACKED = pa.schema([("bucket", pa.int64()), ("cells", pa.binary()), ("gaps", pa.binary())])
 BITS = tuple(f"bits{at}" for at in range(8))
 TOLD = ("n", *BITS)  # what is known of a set without its shingles
@@ -111,9 +115,9 @@ class Bands:
         return self.differ(size, min(size * 100 // self.percent, self.edges[band + 1] - 1))
 
 
-def _cells(found: np.ndarray, cells: int, band: int) -> tuple[np.ndarray, np.ndarray]:
+def _cells(found: np.ndarray, cells: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the cells that are not empty, and what is in them."""
-    cell = ((mix(found + np.uint64(band)) >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
+    cell = ((mix(found + np.uint64(seed)) >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
     order = np.argsort(cell, kind="stable")
     cell, inside = cell[order], found[order]
     first = np.nonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))[0] if len(cell) else []
@@ -121,7 +125,13 @@ def _cells(found: np.ndarray, cells: int, band: int) -> tuple[np.ndarray, np.nda
 
 
 def cell_keys(found: np.ndarray, bands: Bands, common: np.ndarray) -> np.ndarray:
-    """Keys by which a set meets the sets it may link with."""
+    """Keys by which a set meets the sets it may link with: its cells that are not empty.
+
+    At most as many cells differ as shingles may, so one of two sets with more cells in use than
+    that has a cell that the other has too.  A set with fewer cells in use is sketched again by
+    another hash, as often as it takes; its partner either had enough, and both have the keys of
+    that sketch, or goes on to the next as well.
+    """
     size, keys = len(found), []
     rare = found[~np.isin(found, common, assume_unique=True)] if len(common) else found
     own = bands.of(size)
@@ -129,31 +139,28 @@ def cell_keys(found: np.ndarray, bands: Bands, common: np.ndarray) -> np.ndarray
         cells = bands.cells(band)
         if not cells:
             continue  # sets so small link only if they are equal
-        spare = cells - bands.allowed(size, band)
-        for part, salt in ((rare, 1), (found, 2)):
-            number, inside = _cells(part, cells, band)
-            where = mix(number + np.uint64(((band << 2) + salt) << 32))
+        for salt in count():
+            part = found if salt else rare
+            number, inside = _cells(part, cells, band + (salt << 16))
+            where = mix(number + np.uint64(((band << 8) + salt) << 32))
             keys.append(mix(inside + where))
-            empty = cells - len(number)
-            if empty < spare:
-                break
-            if salt == 1 and not len(common):
-                salt = 2
-            if salt == 2:
-                number = np.setdiff1d(np.arange(cells, dtype=np.uint64), number)
-                keys.append(mix(mix(number + np.uint64(((band << 2) + 3) << 32))))
+            if len(number) > bands.allowed(size, band):
                 break
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
 def _pack_cells(buckets: int, common: np.ndarray, percent: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
+        bands, seen = Bands(percent), set()
         for batch in slices(batches):
             keys, owners = [], []
+            if len(seen) > SEEN:
+                seen.clear()
             for doc_id, found in zip(batch["doc_id"].to_pylist(),
                                      shingle_sets(batch["text"].to_pylist())):
-                if len(found):
+                name = _name(found)
+                if len(found) and name not in seen:
+                    seen.add(name)
                     keys.append(cell_keys(found, bands, common))
                     owners.append(np.full(len(keys[-1]), doc_id, np.int64))
             if not keys:
@@ -266,24 +273,24 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, bucket_cells: int =
         own = bands.of(row.top)
         total += row.rows * (bands.cells(own) + bands.cells(own + 1))
     buckets = max(1, math.ceil(total / bucket_cells))
-    copies = members.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max(F.col("rep") == F.col("doc_id")).alias("_first")).filter(
-        "not coalesce(_first, false)").select("_id")
-    firsts = docs.filter("doc_id is not null").join(
-        settle(copies, "copies"), F.col("doc_id") == F.col("_id"), "left_anti")
-    packed = firsts.mapInArrow(_pack_cells(buckets, common, percent),
-                               "bucket long, cells binary, gaps binary")
-    met = settle(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-                 .mapInArrow(_meet, "cell long, doc_id long"), "cells")
-    needed = settle(met.select(F.col("doc_id").alias("_id")).distinct(), "needed")
+    packed = docs.filter("doc_id is not null").mapInArrow(
+        _pack_cells(buckets, common, percent), "bucket long, cells binary, gaps binary")
+    shared = settle(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+                    .mapInArrow(_meet, "cell long, doc_id long"), "shared")
+    links = members.filter("rep <> doc_id").select(F.col("doc_id").alias("a"),
+                                                   F.col("rep").alias("b"))
+    # Copies of one class, sketched by several tasks, are one member of a cell.
+    one = shared.join(links, F.col("doc_id") == F.col("a"), "left").select(
+        "cell", F.coalesce("b", "doc_id").alias("rep")).distinct()
+    one = settle(one, "members-of-cells")
+    several = one.groupBy("cell").count().filter("count > 1").select("cell")
+    met = settle(one.join(several, "cell", "left_semi"), "cells")
+    needed = settle(met.select(F.col("rep").alias("_id")).distinct(), "needed")
     told = settle(classes.join(needed, F.col("rep") == F.col("_id"), "left_semi").groupBy(
         "rep").agg(*[F.when(F.count(F.lit(1)) == 1, F.min(name)).alias(name)
                      for name in TOLD]), "told")
-    sets = settle(docs.join(needed, F.col("doc_id") == F.col("_id"), "left_semi")
+    sets = settle(docs.join(needed.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
                   .mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
-    links = members.filter("rep <> doc_id").select(F.col("doc_id").alias("a"),
-                                                   F.col("rep").alias("b"))
-    met = met.withColumnRenamed("doc_id", "rep")
     return members, _joined(met, told, sets, links, percent)
 
 

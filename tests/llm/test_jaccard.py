@@ -132,3 +132,29 @@ def test_components_of_a_chain_and_a_hub(spark):
         spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {i: 100 for i in range(101, 161)} | {i: 1 for i in range(2, 60)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_unrelated_short_sets_share_no_key():
+    """Keys say what is in a cell, so many small sets do not meet by chance."""
+    draw = np.random.default_rng(4)
+    for size in (2, 4, 5, 8, 13, 50):
+        bands = Bands(80)
+        keys = [cell_keys(np.sort(draw.integers(0, 1 << 63, size).astype(np.uint64)), bands,
+                          np.zeros(0, np.uint64)) for _ in range(3000)]
+        whole = np.concatenate([np.unique(k) for k in keys])
+        assert len(np.unique(whole)) == len(whole)
+
+
+def test_links_share_a_key_at_every_size():
+    """Sets that just reach the threshold, with few cells in use, and with common shingles."""
+    draw = np.random.default_rng(9)
+    for size in (4, 5, 6, 8, 9, 10, 14, 23, 50, 51, 90):
+        bands = Bands(80)
+        for _ in range(300):
+            pool = draw.integers(0, 1 << 63, 3 * size).astype(np.uint64)
+            kept = -(-8 * size // 9)  # of two sets of one size, at a Jaccard of 0.8 at least
+            a, b = pool[:size], np.concatenate([pool[:kept], pool[size:2 * size - kept]])
+            assert 100 * kept >= 80 * (2 * size - kept)
+            common = np.sort(pool[:kept - 1]) if draw.random() < 0.5 else pool[:0]
+            keys = [cell_keys(np.sort(x), bands, common) for x in (a, b)]
+            assert np.intersect1d(*keys).size
