@@ -17,6 +17,8 @@ repeat as they come; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
@@ -67,7 +69,7 @@ class Model:
 
         def of_texts(texts: list[str | None]) -> dict:
             known = [bool(text) and bool(LETTER.search(text)) for text in texts]
-            found = {"lang_pred": [], "score": []}
+            found = {"lang_pred": [], "score": [], "claimed": []}
             for at in range(0, len(texts), ROWS):
                 part = [text if ok else "" for text, ok in
                         zip(texts[at:at + ROWS], known[at:at + ROWS])]
@@ -84,6 +86,8 @@ class Model:
                     found["lang_pred"].append(UNKNOWN if best is None else self.languages[best])
                     found["score"].append(0.0 if best is None else
                                           float(np.clip((values[best] + 1) / 2, 0, 1)))
+                    found["claimed"].append(best is not None and
+                                            bool((values > self.bias).any()))
             return found
         return of_texts
 
@@ -124,8 +128,10 @@ def learn(docs: DataFrame, per_language: int = 300, longest: int = 20_000) -> Mo
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` as column ``row`` beside lang_pred and score."""
-    return classify(docs, model.scorer, ("lang_pred", "score"), "lang_pred string, score double")
+    """``docs`` as column ``row`` beside lang_pred, score and claimed: whether its n-grams
+    speak for any language at all."""
+    return classify(docs, model.scorer, ("lang_pred", "score", "claimed"),
+                    "lang_pred string, score double, claimed boolean")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -134,6 +140,16 @@ def identify(docs: DataFrame) -> DataFrame:
         "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame) -> DataFrame:
-    """The documents whose language can be told."""
-    return predict(docs, learn(docs)).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+def keep_known(docs: DataFrame, languages: Iterable[str] | None = None) -> DataFrame:
+    """The documents in one of ``languages``, of all that are learned by default.
+
+    A document goes if it has no letter, is in another language, or if its n-grams speak
+    against every language.  All stay if fewer than two languages can be learned, as there is
+    nothing to tell then.
+    """
+    model = learn(docs)
+    if len(model.languages) < 2:
+        return docs
+    wanted = model.languages if languages is None else list(languages)
+    return predict(docs, model).filter(
+        F.col("lang_pred").isin(wanted) & F.col("claimed")).select("row.*")
