@@ -3,6 +3,14 @@
 Documents whose language cannot be told go, then toxic ones, then all but one of each group
 of near copies; the rest are repeated as the mix of sources asks and encoded.  Every stage
 works on all that the one before kept.  All but the last return the columns they got.
+
+Defined results.  Null, empty and letterless texts go in the first stage, and so do texts whose
+n-grams speak against every language; where fewer than two languages can be learned, nothing
+can be told and all stay.  Without labels, or without toxic ones, no score reaches the threshold
+that a trained one would, and what the scorer says then decides.  Rows that repeat a doc_id are
+one document to the near-copy stage: one of them stays, and of equal texts the one with the
+smallest doc_id; rows without doc_id stay.  Null sources are a source of their own.  An empty
+table gives no rows.  Further columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +26,7 @@ from tallyworks.sources.shared import settle
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter to tell the language by."""
+    """Documents that a language is claimed for."""
     return language.keep_known(docs)
 
 
@@ -45,7 +53,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language", known_language), ("toxicity", not_toxic), ("near_copies", near_copies),
           ("mixing", mixed), ("bpe", encoded)]
 # The networks, the kernels and the transducer cannot be stated in SQL; tests hold the stages
-# against brute force.
+# against brute force (tests/llm/test_pipeline_rows.py).
 ORACLE_SQL = None
 
 
