@@ -41,7 +41,7 @@ from tallyworks.sources.shared import new_folder, settle
 # The pattern of the tokenizer file and its mark for the end of a word.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
-SEPARATORS = regex.compile("[\x1c-\x1f]")  # white space to Python, not to the pattern
+SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the pattern
 LONG = 100
 MEMORY = 32 << 20  # bytes a worker remembers in one filling; the filling before stays too
 COUNTED = 300_000  # words a task counts before it passes them on
@@ -65,7 +65,8 @@ def lowered(text: str) -> str:
 def chunks(text: str) -> list[str]:
     """Normalised text between white space."""
     text = lowered(unicodedata.normalize("NFC", text))
-    return regex.findall(r"\S+", text) if SEPARATORS.search(text) else text.split()
+    apart = any(mark in text for mark in SEPARATORS)
+    return regex.findall(r"\S+", text) if apart else text.split()
 
 
 class Tokenizer:
@@ -169,11 +170,16 @@ class Encoder:
         return packed(self.tokenizer.merge(piece)) if ids is None else ids
 
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self._piece, PIECES.findall(chunk)))
+        found = PIECES.findall(chunk)
+        if len(found) == 1:
+            return self._piece(found[0])
+        return b"".join(map(self.chunks.__getitem__, found))  # a piece is a chunk of its own
 
     def encode(self, text: str) -> list[int]:
         ids = []
-        for part in self.tokenizer.cut.split(text):
+        parts = [text] if not any(map(text.__contains__, self.special)) else (
+            self.tokenizer.cut.split(text))
+        for part in parts:
             if part in self.special:
                 ids.append(self.special[part])
             else:
