@@ -12,13 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyworks.sources.shared import new_folder
 
 BUCKET_BYTES = 128 << 20  # of a written bucket, which one task reads
+UNKNOWN = 1 << 60  # Spark takes a table of unknown size for larger than any
+MOST_BUCKETS = 100_000  # that Spark allows by default
 WIDER = 4  # a stage holds its inputs several times: rows are added and columns attached
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of the tables ``df`` is made of, as Spark knows them from their files."""
+    """Bytes of the tables ``df`` is made of, as Spark knows them from their files; a source of
+    unknown size counts as nothing."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN)
 
 
 class RunStore:
@@ -49,7 +53,7 @@ class RunStore:
         if self.buckets is None:
             size = WIDER * sum(map(input_bytes, inputs))
             least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            self.buckets = max(least, math.ceil(size / self.bucket_bytes))
+            self.buckets = min(MOST_BUCKETS, max(least, math.ceil(size / self.bucket_bytes)))
         return self.buckets
 
     def keep(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
@@ -67,7 +71,7 @@ class RunStore:
             kept = self._bucketed(df, name, by, buckets)
             largest = max(self._bucket_sizes(name).values(), default=0)
             if not self.fixed and largest > self.bucket_bytes:
-                more = buckets * math.ceil(largest / self.bucket_bytes)
+                more = min(MOST_BUCKETS, buckets * math.ceil(largest / self.bucket_bytes))
                 kept = self._bucketed(kept.repartition(more, by), f"{name}_split", by, more)
         if self.save_to is not None:
             kept.write.mode("errorifexists").parquet(f"{self.save_to}/{name}")
