@@ -9,7 +9,9 @@ from tallyworks.llm.catalog import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS = {"op2_toxicity": "documents", "op3_jaccard": "documents", "op7_bpe": "documents",
-        "op8_vector_dedup": "embeddings", "op9_language": "documents"}
+        "op8_vector_dedup": "embeddings", "op9_language": "documents",
+        "op11_periodic_runs": "documents", "op12_alignment": "documents",
+        "op13_main_text": "pages"}
 
 
 @pytest.mark.parametrize("name", ORACLES)
