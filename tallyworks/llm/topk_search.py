@@ -15,7 +15,10 @@ score per list.
 Defined results: vectors that are null or hold a null or non-finite component, and rows
 without vec_id, take no part; rows that share a vec_id are one vector, the first in array
 order; shorter vectors count as filled up with zeros; ties go to the smaller vec_id; an empty
-table gives no rows.  Only vec_id and embedding are read.
+table gives no rows.  Finite components of any size count exactly: blocks whose scores may pass a
+long are computed in whole numbers of any size, which is slower.  A score among the k best that
+no long holds raises, and so does a component that times the scale is no double.  Only vec_id and
+embedding are read.
 """
 
 from __future__ import annotations
@@ -26,24 +29,31 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tallyworks.sources.shared import settle
 
-EXACT = 2.0 ** 53
+EXACT, LONGS = 2.0 ** 53, 2.0 ** 62
 STEP = 256
 PACKED = "block long, ids binary, dims int, matrix binary, cutoffs binary"
 
 
 def whole_vectors(table: DataFrame, scale: int) -> DataFrame:
-    """vec_id and floor(scale * component) of the vectors that take part, one row an id."""
+    """vec_id and floor(scale * component) of the vectors that take part, one row an id.
+
+    The whole numbers are doubles: from 2^53 on every double is one, and none saturates.
+    """
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x)
                       & (F.abs(x) != float("inf")))
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < EXACT, F.floor(scaled).cast("double")).otherwise(scaled)
+
     return (table.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable)
-            .select(F.col("vec_id").cast("long"), F.transform(
-                "embedding", lambda x: F.floor(x.cast("double") * scale)).alias("vector"))
+            .select(F.col("vec_id").cast("long"), F.transform("embedding", whole).alias("vector"))
             .groupBy("vec_id").agg(F.min("vector").alias("vector")))
 
 
@@ -56,8 +66,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     vectors = table["vector"].combine_chunks()
     lengths = vectors.value_lengths().to_numpy()
     dims = int(lengths.max())
-    matrix = np.zeros((len(vectors), dims), np.int64)
+    matrix = np.zeros((len(vectors), dims))
     matrix[np.arange(dims) < lengths[:, None]] = vectors.flatten().to_numpy()
+    if not np.isfinite(matrix).all():
+        raise OverflowError("a component times the scale is beyond a double")
     yield pa.RecordBatch.from_pydict({
         "block": [TaskContext.get().partitionId()],
         "ids": [table["vec_id"].to_numpy().astype(np.int64).tobytes()], "dims": [dims],
@@ -81,10 +93,17 @@ def _cells(vectors: DataFrame, queries: DataFrame, blocks: int) -> DataFrame:
 
 
 def _matrix(data: bytes, ids: np.ndarray, dims: int) -> np.ndarray:
-    found = np.frombuffer(data, np.int64).reshape(len(ids), -1)
+    found = np.frombuffer(data, np.float64).reshape(len(ids), -1)
     return np.pad(found, ((0, 0), (0, dims - found.shape[1])))
 
 
+def _whole(matrix: np.ndarray, kind: type) -> np.ndarray:
+    """The same whole numbers as doubles, longs or Python's integers."""
+    if kind is not object:
+        return matrix.astype(kind)
+    return np.array([int(x) for x in matrix.ravel()] + [None], object)[:-1].reshape(matrix.shape)
+
+
 def _partials(cell: dict, lists: int) -> Iterator[tuple]:
     """Per step of queries: their ids, cutoffs, the vectors' ids and the lists' partial scores."""
     ids = np.frombuffer(cell["ids"], np.int64)
@@ -94,8 +113,8 @@ def _partials(cell: dict, lists: int) -> Iterator[tuple]:
     rows = _matrix(cell["matrix"], ids, dims)
     wanted = _matrix(cell["asked_matrix"], asked, dims)
     top = float(np.abs(rows).max(initial=0)) * float(np.abs(wanted).max(initial=0)) * max(dims, 1)
-    kind = np.float64 if top < EXACT else np.int64
-    rows, wanted = rows.astype(kind).T, wanted.astype(kind)
+    kind = np.float64 if top < EXACT else np.int64 if top < LONGS else object
+    rows, wanted = _whole(rows, kind).T, _whole(wanted, kind)
     edges = np.linspace(0, dims, lists + 1).astype(int)
     for at in range(0, len(asked), STEP):
         part = wanted[at:at + STEP]
@@ -117,10 +136,18 @@ def _cutoffs(k: int, lists: int):
                     reached[own] = -np.inf
                     kth = np.sort(reached, axis=1)[:, -k] if len(ids) >= k else np.full(
                         len(asked), -np.inf)
+                    kth -= np.where(np.abs(kth) < EXACT, 0, np.abs(kth) * 1e-12)  # rounded: lower
                     yield pa.RecordBatch.from_pydict({"query_id": asked, "cutoff": kth})
     return phase
 
 
+def _longs(scores: np.ndarray) -> pa.Array:
+    """Scores as longs; null stands for one below all longs."""
+    if scores.dtype != object:
+        return pa.array(scores.astype(np.int64))
+    return pa.array([score if score >= -1 << 63 else None for score in scores], pa.int64())
+
+
 def _entries(k: int, lists: int):
     def phase(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +165,7 @@ def _entries(k: int, lists: int):
                     kept = place < k
                     yield pa.RecordBatch.from_pydict({
                         "query_id": asked[row[kept]], "vec_id": ids[col[kept]],
-                        "score": total[kept].astype(np.int64)})
+                        "score": _longs(total[kept])})
     return phase
 
 
@@ -163,5 +190,6 @@ def search(table: DataFrame, k: int = 5, scale: int = 256, every: int = 50, list
     found = _cells(packed, _packed(again, pages, "search-cut-queries"), blocks).mapInArrow(
         _entries(k, lists), "query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    held = F.coalesce("score", F.raise_error(F.lit("a score is below all longs")).cast("long"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").filter(
-        F.col("rank") <= k)
+        F.col("rank") <= k).withColumn("score", held)
