@@ -85,19 +85,24 @@ ruled AS (
   QUALIFY row_number() OVER (PARTITION BY row ORDER BY length(r.rule) DESC NULLS LAST) = 1),
 baskets AS (
   SELECT *, list_sort(list_distinct(
-    list_transform(list_filter(string_split(host, '.')[-4:], lambda x: x <> ''),
+    list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''),
                    lambda x: 'host:' || x)
     || list_transform(list_filter(string_split(regexp_replace(path, '[0-9]+', '0', 'g'), '/'),
-                                  lambda x: x <> '')[:3], lambda x: 'path:' || x)
+                                  lambda x: x <> ''), lambda x: 'path:' || x)
     || list_transform(list_filter(list_transform(string_split(regexp_extract(
-         coalesce(url, ''), '\?([^#]*)', 1), '&')[:3], lambda x: string_split(x, '=')[1]),
+         coalesce(url, ''), '\?([^#]*)', 1), '&'), lambda x: string_split(x, '=')[1]),
          lambda x: x <> ''), lambda x: 'query:' || x))) AS tokens
   FROM ruled),
-subsets AS (
-  SELECT says, list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS items
-  FROM baskets, LATERAL (SELECT unnest(generate_series(1, (1 << len(tokens)) - 1)) AS mask)
-  WHERE rule IS NOT NULL),
 labelled AS (SELECT count(*) AS n FROM baskets WHERE rule IS NOT NULL),
+frequent AS (
+  SELECT list(token) AS those FROM (
+    SELECT token FROM (SELECT unnest(tokens) AS token FROM baskets WHERE rule IS NOT NULL)
+    GROUP BY token HAVING count(*) >= (SELECT ceil(0.01 * n) FROM labelled))),
+subsets AS (
+  SELECT says, list_filter(held, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS items
+  FROM (SELECT says, list_sort(list_intersect(tokens, those)) AS held FROM baskets, frequent
+        WHERE rule IS NOT NULL),
+    LATERAL (SELECT unnest(generate_series(1, (1::BIGINT << len(held)) - 1)) AS mask)),
 mined AS (
   SELECT items, verdict, hits, whole
   FROM (SELECT s.items, s.says AS verdict, count(*) AS hits,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import duckdb
 from pyspark.sql import functions as F
+from tallyworks.llm.statements import URL_RULES
 from tallyworks.llm.url_rules import host_of, judge_urls, learn_rules, path_of, tokens_of
 
 
@@ -40,3 +42,25 @@ def test_tokens_that_come_together(spark):
     assert sorted(r.antecedent for r in found) == [[token] for token in form]
     assert {(r.verdict, r.confidence, round(r.support, 9), r.key == r.antecedent[0])
             for r in found} == {("block", 1.0, 0.3, True)}
+
+
+def test_statement_sees_whole_urls(spark):
+    """Eight labels, six segments, six fields: the SQL agrees with the query and both see the end."""
+    urls = []
+    for i in range(40):
+        word = ("spam", "fine")[i % 2]
+        host = ("http://a.net", "http://example.net/en")[i % 2]
+        urls += [host + f"/a/b/c/d{i}/{word}", host + f"/?p=1&q=2&r=3&s={i}&{word}x=5"]
+    for word in ("spam", "fine"):
+        urls += [f"http://{word}.x.org/a/b/c/d/{word}/z", f"http://q.org?p&q&r&s&{word}x=7",
+                 f"http://{word}.b.c.d.e.f.g.org/x"]
+    urls += [None, "", "no scheme", "http://", "http://q.org", *urls[:3]]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    sql = duckdb.connect()
+    sql.register("pages", pages.toPandas())
+    stated = sql.execute(URL_RULES).fetchall()
+    found = [tuple(r) for r in judge_urls(pages).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, stated))
+    judged = {urls[r[0]]: r[4] for r in found}
+    assert judged["http://q.org?p&q&r&s&spamx=7"] == "block"
+    assert judged["http://q.org?p&q&r&s&finex=7"] == "allow"
