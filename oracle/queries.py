@@ -475,6 +475,15 @@ SELECT {KEY}, CASE WHEN questioncode <> 290 THEN nw_ag_flag END AS nw_ag_flag,
            AS predicted_unit_value,
        CASE WHEN questioncode <> 290 THEN new_target_variable END
            AS new_target_variable, outlier_weight FROM o_winsorised""",
+    "census_cells": f"""
+SELECT {KEY}, COALESCE(is_census, FALSE) OR listed AS is_census, nw_ag_flag OR listed AS nw_ag_flag,
+       CASE WHEN listed THEN adjustedresponse ELSE new_target_variable END AS new_target_variable,
+       CASE WHEN listed THEN 1 ELSE outlier_weight END AS outlier_weight
+FROM (SELECT w.*, COALESCE(w.is_sampled AND p.own_cell IN (23, 71, 104), FALSE) AS listed
+      FROM o_winsorised w
+      LEFT JOIN (SELECT reference, period, cell_no AS own_cell FROM sv_population) p
+      USING (reference, period))
+WHERE questioncode <> 290""",
     "total_outlier_weight":
         f"SELECT {KEY}, outlier_weight FROM o_total_weights WHERE questioncode = 290",
     "manual_outlier_weight": f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -560,6 +561,19 @@ def manual_outlier_weight(spark, sf):
     return outliers.manual_outlier_weight(rows, survey.manual_weights(spark, sf))
 
 
+@query
+def census_cells(spark, sf):
+    """Weights trimmed where listed cells are taken whole: their values stay as they are."""
+    run, keep = saved_run(spark, sf), RunStore(spark).keep
+    listed = replace(S, census_cells=(23, 71, 104))
+    weighted = stages.weighted_panel(run.imputed, run.inputs, listed, keep)
+    rows = outliers.winsorise(outliers.join_l_values(
+        weighted, run.inputs.classifications, run.inputs.l_values), keep=keep)
+    return rows.where(F.col(c.QUESTION) != c.TOTAL_QUESTION).select(
+        *KEY, F.coalesce("is_census", F.lit(False)).alias("is_census"), "nw_ag_flag",
+        "new_target_variable", "outlier_weight")
+
+
 @query
 def winsorised_value(spark, sf):
     rows = outliers.winsorised_value(saved_run(spark, sf).trimmed.drop("winsorised_value"))
