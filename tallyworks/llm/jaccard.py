@@ -12,12 +12,14 @@ where they have equal cells.  What meets is verified on the whole sets.
 * Shingles that very many documents of a bounded sample hold are left out of the first sketch.
   That can only lessen the difference, so no link is lost; a document left with too many empty
   cells is sketched by its whole set as well.
-* Equal sets are one class: a task sketches the first of them that it sees, and what they meet is
-  put down to one of them.  Cells travel in packed columns, a row per batch and bucket.
+* Equal sets are one class, and only its document of smallest doc_id is sketched.  Cells travel in
+  packed columns, a row per batch and bucket.
 * Whole texts are shuffled once, to the documents that meet any other: by a join that is never a
-  broadcast, as the number of such documents grows with the corpus.
-* Members of a cell first meet one of them; only those that are still in different components
-  after that are paired off, if sizes and the distance of short bit sketches allow a link.
+  broadcast, as the number of such documents grows with the corpus.  They are shuffled once more
+  where the list of copies is too large for Spark to broadcast.
+* Members of a cell first meet its first or last; only those that are still in different
+  components after that are paired off, if sizes and the distance of short bit sketches allow a
+  link.
 
 Defined results: null text or text without words has an empty set and links with nothing; a
 null doc_id has no component; rows with one doc_id are one document, and link if any of their
@@ -40,7 +42,7 @@ from tallyworks.llm.shingles import mix, shingle_sets, slices
 from tallyworks.sources.shared import settle
 
 PERCENT = 80
-SEEN = 200_000  # classes a task remembers; a copy it has forgotten is sketched again
+SEEN = 200_000  # sets a task remembers; a repeated row it has forgotten is sketched again
 PACKED = pa.schema([("bucket", pa.int64()), ("cells", pa.binary()), ("gaps", pa.binary())])
 BITS = tuple(f"bits{at}" for at in range(8))
 TOLD = ("n", *BITS)  # what is known of a set without its shingles
@@ -180,7 +182,11 @@ def _pack_cells(buckets: int, common: np.ndarray, percent: int):
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells with more than one document, bucket by bucket; rows come sorted by bucket."""
+    """Cells with more than one document, bucket by bucket; rows come sorted by bucket.
+
+    With each member stands the one it is held against first: the cell's first, or for that its
+    last.
+    """
     held: dict[int, list[tuple[bytes, bytes]]] = {}
 
     def met(bucket: int) -> pa.RecordBatch:
@@ -192,11 +198,15 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
         key, owner = key[fresh], owner[fresh]
-        same = key[1:] == key[:-1]
-        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        start = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
+        held_by = np.diff(np.append(start, len(key)))
+        x, y = owner[start], owner[start + held_by - 1]
+        other = np.repeat(x, held_by)
+        other[start] = y
+        shared = np.repeat(held_by > 1, held_by)
         return pa.RecordBatch.from_pydict({
             "cell": (np.int64(bucket) << 32) + key[shared].astype(np.int64),
-            "doc_id": owner[shared]})
+            "rep": owner[shared], "other": other[shared]})
 
     for batch in batches:
         for bucket, cells, gaps in zip(*(batch[n].to_pylist() for n in PACKED.names)):
@@ -273,18 +283,16 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, bucket_cells: int =
         own = bands.of(row.top)
         total += row.rows * (bands.cells(own) + bands.cells(own + 1))
     buckets = max(1, math.ceil(total / bucket_cells))
-    packed = docs.filter("doc_id is not null").mapInArrow(
-        _pack_cells(buckets, common, percent), "bucket long, cells binary, gaps binary")
-    shared = settle(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-                    .mapInArrow(_meet, "cell long, doc_id long"), "shared")
     links = members.filter("rep <> doc_id").select(F.col("doc_id").alias("a"),
                                                    F.col("rep").alias("b"))
-    # Copies of one class, sketched by several tasks, are one member of a cell.
-    one = shared.join(links, F.col("doc_id") == F.col("a"), "left").select(
-        "cell", F.coalesce("b", "doc_id").alias("rep")).distinct()
-    one = settle(one, "members-of-cells")
-    several = one.groupBy("cell").count().filter("count > 1").select("cell")
-    met = settle(one.join(several, "cell", "left_semi"), "cells")
+    # A doc_id with several texts may be a copy by one of them and stand for a class by another.
+    copies = settle(links.select("a").distinct().join(
+        classes.select("rep"), F.col("a") == F.col("rep"), "left_anti"), "copies")
+    packed = docs.filter("doc_id is not null").join(
+        copies, F.col("doc_id") == F.col("a"), "left_anti").mapInArrow(
+        _pack_cells(buckets, common, percent), "bucket long, cells binary, gaps binary")
+    met = settle(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+                 .mapInArrow(_meet, "cell long, rep long, other long"), "cells")
     needed = settle(met.select(F.col("rep").alias("_id")).distinct(), "needed")
     told = settle(classes.join(needed, F.col("rep") == F.col("_id"), "left_semi").groupBy(
         "rep").agg(*[F.when(F.count(F.lit(1)) == 1, F.min(name)).alias(name)
@@ -310,9 +318,7 @@ def _joined(met: DataFrame, told: DataFrame, sets: DataFrame, links: DataFrame,
 
     label = components(links)
     # Before the first round every class is a component of its own.
-    ends = met.groupBy("cell").agg(F.min("rep").alias("x"), F.max("rep").alias("y"))
-    opposite = F.when(F.col("rep") != F.col("x"), F.col("x")).otherwise(F.col("y"))
-    meets = met.join(ends, "cell").groupBy(F.col("rep").alias("a"), opposite.alias("b")).count()
+    meets = met.groupBy(F.col("rep").alias("a"), F.col("other").alias("b")).count()
     best = meets.join(known("a"), "a").join(known("b", "_o"), "b").filter(_near(percent)).groupBy(
         "a").agg(F.max(F.struct("count", F.negate("b").alias("b"))).alias("best"))
     first = settle(best.select("a", F.negate(F.col("best.b")).alias("b")), "pairs")
@@ -320,8 +326,8 @@ def _joined(met: DataFrame, told: DataFrame, sets: DataFrame, links: DataFrame,
 
     here = met.join(label, F.col("rep") == F.col("id"), "left").select(
         "cell", "rep", F.coalesce("component", "rep").alias("c"))
-    open_ = here.groupBy("cell").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter(
-        "x <> y").select("cell")
+    open_ = settle(here.groupBy("cell").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter(
+        "x <> y").select("cell"), "open-cells")
     here = settle(here.join(open_, "cell"), "open")
     one = here.join(known("rep"), "rep")
     other = here.select("cell", F.col("rep").alias("b"), F.col("c").alias("d")).join(

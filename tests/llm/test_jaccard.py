@@ -158,3 +158,15 @@ def test_links_share_a_key_at_every_size():
             common = np.sort(pool[:kept - 1]) if draw.random() < 0.5 else pool[:0]
             keys = [cell_keys(np.sort(x), bands, common) for x in (a, b)]
             assert np.intersect1d(*keys).size
+
+
+def test_a_doc_id_with_several_texts_links_by_each(spark):
+    """Document 5 is a copy of 3 by one text and near to 9 by another."""
+    draw = random.Random(6)
+    words = [f"v{i}" for i in range(5000)]
+    one, two = ([draw.choice(words) for _ in range(60)] for _ in range(2))
+    rows = [(3, one), (5, one), (5, two), (9, [*two, "more"]), (11, [*one, "more"]),
+            (12, [draw.choice(words) for _ in range(60)])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs.repartition(3)).collect()}
+    assert found == {3: 3, 5: 3, 9: 3, 11: 3, 12: 12}
