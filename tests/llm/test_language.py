@@ -57,3 +57,37 @@ def test_odd_rows(odd_documents, no_documents):
     assert kept.columns == odd_documents.columns and kept.count() == odd_documents.count() - 4
     assert identify(odd_documents.selectExpr("doc_id", "text", "null AS lang")).filter(
         "lang_pred <> 'und' or score <> 0").count() == 0
+
+
+def plain_grams(text: str) -> set[bytes]:
+    data = text.lower().encode()
+    return {data[i:i + n] for n in (1, 2, 3) for i in range(len(data) - n + 1)}
+
+
+def test_scores_are_those_of_plain_kernel_ridge():
+    """Against ridge regression in the dual, from kernel values of sets of byte strings."""
+    known, asked = sample(60, 5), [text for text, _ in sample(30, 6)]
+    for landmarks in (60, 25):
+        marks = [plain_grams(known[i][0])
+                 for i in np.random.default_rng(7).permutation(60)[:landmarks]]
+        features = {g for own in marks for g in own if sum(g in other for other in marks) > 1}
+
+        def kernel(left: list[set], right: list[set]) -> np.ndarray:
+            return np.array([[len(a & b & features)
+                              / (max(len(a & features), 1) * max(len(b & features), 1)) ** 0.5
+                              for b in right] for a in left])
+
+        rows = [plain_grams(text) for text, _ in known]
+        among = np.linalg.pinv(kernel(marks, marks), rcond=1e-6, hermitian=True)
+        seen, new = kernel(rows, marks), kernel([plain_grams(text) for text in asked], marks)
+        languages = sorted(SYLLABLES)
+        wanted = np.array([[1.0 if own == lang else -1.0 for lang in languages]
+                           for _, own in known])
+        whole, middle = seen @ among @ seen.T, np.eye(60) - 1 / 60
+        dual = np.linalg.solve(middle @ whole @ middle + 1e-3 * 60 * np.eye(60), middle @ wanted)
+        bias = (wanted - whole @ middle @ dual).mean(0)
+        values = new @ among @ seen.T @ middle @ dual + bias
+        found = fit(known, landmarks=landmarks).scorer()(asked)
+        assert found["lang_pred"] == [languages[i] for i in values.argmax(1)]
+        assert np.allclose(found["score"], np.clip((values.max(1) + 1) / 2, 0, 1), atol=2e-3)
+        assert found["claimed"] == (values > bias).any(1).tolist()

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
-from tallyworks.llm.toxicity import (STRIDE, WINDOW, Network, Scorer, grams, keep_clean,
-                                     score_documents, sigmoid, train, windows)
+from tallyworks.llm.toxicity import (HIDDEN, STRIDE, WINDOW, Network, Scorer, grams, keep_clean,
+                                     plain, score_documents, sigmoid, train, windows)
 
 FILL = [f"{a}{b}{c}" for a in "bdfgklm" for b in "aeiou" for c in "nrst"]
 
@@ -87,3 +88,51 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert score_documents(no_documents, labels).count() == 0
     assert keep_clean(odd_documents, none).columns == odd_documents.columns
     assert keep_clean(odd_documents, none).count() == odd_documents.count()
+
+
+def plain_score(network: Network, text: str) -> float:
+    """The highest score of a text's windows, one token and one state at a time."""
+    p = {name: value.astype(np.float64) for name, value in network.p.items()}
+
+    def one(x: float) -> float:
+        return 1 / (1 + math.exp(-x))
+
+    def entry(token: str) -> np.ndarray:
+        word = plain(token)
+        buckets = grams([word])[0]
+        chars = sum(p["chars"][b] for b in buckets) / math.sqrt(len(buckets))
+        return np.concatenate([p["words"][network.vocabulary.get(word, len(p["words"]) - 1)], chars])
+
+    def states(entries: list[np.ndarray], side: str) -> list[list[float]]:
+        h, found = [0.0] * HIDDEN, []
+        for x in entries:
+            into = x @ p[f"{side}_in"] + p[f"{side}_bias"]
+            pull = np.array(h) @ p[f"{side}_state"]
+            new = []
+            for i in range(HIDDEN):
+                keep = one(into[i] + pull[i])
+                reset = one(into[HIDDEN + i] + pull[HIDDEN + i])
+                fresh = math.tanh(into[2 * HIDDEN + i] + reset * pull[2 * HIDDEN + i])
+                new.append((1 - keep) * fresh + keep * h[i])
+            h = new
+            found.append(h)
+        return found
+
+    tokens, best = text.split(), 0.0
+    for start in windows(len(tokens)):
+        entries = [entry(token) for token in tokens[start:start + WINDOW]]
+        both = [ahead + back for ahead, back in zip(
+            states(entries, "ahead"), states(entries[::-1], "back")[::-1])]
+        pull = [math.exp(np.tanh(np.array(h) @ p["attend"]) @ p["query"]) for h in both]
+        pooled = sum(w * np.array(h) for w, h in zip(pull, both)) / sum(pull)
+        best = max(best, one(pooled @ p["out"] + p["bias"][0]))
+    return best
+
+
+def test_scores_are_those_of_a_plain_forward_pass():
+    network = train(sample(120, 8), {0: 0.7, 1: 0.3}, steps=60)
+    draw = random.Random(9)
+    texts = [" ".join(draw.choice([*FILL, "Vilezz!", "x", "never-seen"]) for _ in range(count))
+             for count in (0, 1, 2, WINDOW - 1, WINDOW, WINDOW + 1, 3 * WINDOW + 5)]
+    found = Scorer(network)(texts)["score"]
+    assert np.allclose(found, [plain_score(network, text) for text in texts], atol=1e-4)
