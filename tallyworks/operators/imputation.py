@@ -1,7 +1,9 @@
 """Ratio-of-means imputation.
 
 The panel has one row per (reference, period, questioncode).  Windows run along the
-months of one (reference, questioncode), so a group never exceeds the calendar.  Links are
+months of one (reference, questioncode), so a group never exceeds the calendar.  All of them
+take the months in one order and share one sort: a chain multiplies the part of the series' list
+of links between its start and the row, forward or backward.  Links are
 aggregated per (questioncode, class, period) with map-side partial sums and joined back, so
 a class that holds most of the panel never lands on one task.  The join carries no
 broadcast hint: Spark decides by the size of the link table.
@@ -30,17 +32,25 @@ def _months() -> WindowSpec:
     return Window.partitionBy(c.REFERENCE, c.QUESTION).orderBy(c.PERIOD)
 
 
-def _so_far(*run: str) -> WindowSpec:
-    """Months up to this one, within the series or within one of its runs."""
-    return (Window.partitionBy(c.REFERENCE, c.QUESTION, *run).orderBy(c.PERIOD)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+def _so_far() -> WindowSpec:
+    """Months of the series up to this one."""
+    return _months().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _latest_first(*run: str) -> WindowSpec:
-    """This month and the later ones, latest first."""
-    return (Window.partitionBy(c.REFERENCE, c.QUESTION, *run)
-            .orderBy(F.col(c.PERIOD).desc())
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+def _from_here() -> WindowSpec:
+    """This month of the series and the later ones."""
+    return _months().rowsBetween(Window.currentRow, Window.unboundedFollowing)
+
+
+def _links_of_series(link: str) -> Column:
+    """The link of every month of the series, earliest first; a missing one changes nothing."""
+    return F.collect_list(F.coalesce(link, F.lit(1.0))).over(
+        _months().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
+
+def _chained(start: Column, links: Column) -> Column:
+    """A value times the links of its chain, in the order of the list."""
+    return start * F.aggregate(links, F.lit(1.0), lambda chain, link: chain * link)
 
 
 # What an imputation chain is called, by the marker of the value it starts from.
@@ -160,26 +170,29 @@ def _anchored(df: DataFrame) -> DataFrame:
 def forward_impute(df: DataFrame) -> DataFrame:
     """Latest anchor times the forward links since: ``forward_value``, ``forward_kind``."""
     rows = _anchored(df).withColumns({
-        "_run": F.count("_anchor").over(_so_far()),
+        "_at": F.row_number().over(_months()), "_links": _links_of_series(F_LINK)})
+    anchor = F.when(F.col("_anchor").isNotNull(), F.struct("_at", "_anchor"))
+    rows = rows.withColumns({
         "forward_kind": F.last("_kind", ignorenulls=True).over(_so_far()),
-        "_start": F.last("_anchor", ignorenulls=True).over(_so_far()),
+        "_start": F.last(anchor, ignorenulls=True).over(_so_far()),
     })
-    step = F.when(F.col("_anchor").isNotNull(), 1.0).otherwise(F.col(F_LINK))
-    return (rows.withColumn("_chain", F.product(step).over(_so_far("_run")))
-            .withColumn("forward_value", F.col("_start") * F.col("_chain"))
-            .drop("_run", "_start", "_chain", "_anchor", "_kind", "_returned"))
+    since = F.slice("_links", F.col("_start._at") + 1, F.col("_at") - F.col("_start._at"))
+    return (rows.withColumn("forward_value", F.when(
+        F.col("_start").isNotNull(), _chained(F.col("_start._anchor"), since)))
+        .drop("_at", "_links", "_start", "_anchor", "_kind", "_returned"))
 
 
 def backward_impute(df: DataFrame) -> DataFrame:
     """Next answer times the backward links up to it: ``backward_value``."""
-    rows = df.withColumn("_returned", returned_value(df)).withColumns({
-        "_run": F.count("_returned").over(_latest_first()),
-        "_start": F.last("_returned", ignorenulls=True).over(_latest_first()),
-    })
-    step = F.when(F.col("_returned").isNotNull(), 1.0).otherwise(F.col(B_LINK))
-    return (rows.withColumn("_chain", F.product(step).over(_latest_first("_run")))
-            .withColumn("backward_value", F.col("_start") * F.col("_chain"))
-            .drop("_run", "_start", "_chain", "_returned"))
+    rows = df.withColumns({
+        "_returned": returned_value(df), "_at": F.row_number().over(_months()),
+        "_links": _links_of_series(B_LINK)})
+    answer = F.when(F.col("_returned").isNotNull(), F.struct("_at", "_returned"))
+    rows = rows.withColumn("_start", F.first(answer, ignorenulls=True).over(_from_here()))
+    until = F.reverse(F.slice("_links", F.col("_at"), F.col("_start._at") - F.col("_at")))
+    return (rows.withColumn("backward_value", F.when(
+        F.col("_start").isNotNull(), _chained(F.col("_start._returned"), until)))
+        .drop("_at", "_links", "_start", "_returned"))
 
 
 def construct(df: DataFrame) -> DataFrame:
@@ -243,7 +256,6 @@ def ratio_of_means(panel: DataFrame, settings: SurveySettings,
         links = keep(links, "links")
     rows = mark_backdata(manual_construction(panel, manual), settings)
     rows = attach_links(match_flags(rows), links).drop("_month", "_returned", "_before", "_after")
-    # Month order first, then the two orders within runs: the fewest sorts.
     return choose_imputed(backward_impute(forward_impute(construct(rows))))
 
 

@@ -241,3 +241,26 @@ def test_link_filter_leaves_units_out(spark):
     assert links[202202].f_link_adjustedresponse == 2.0
     assert links[202202].f_match_adjustedresponse_count == 1
     assert links[202201].default_link_f_match_adjustedresponse
+
+
+def test_a_missing_link_leaves_a_chain_as_it_is(spark):
+    """Chains start at the anchor, count its own link as 1 and skip links that are missing."""
+    rows = table(spark, "reference long, period int, questioncode int, adjustedresponse double, "
+                        "adjustedresponse_man double, f_link_adjustedresponse double, "
+                        "b_link_adjustedresponse double", """
+1,202201,201,,,3,5
+1,202202,201,10,,9,9
+1,202203,201,,,,2
+1,202204,201,,,2,
+1,202205,201,,7,9,4
+1,202206,201,,,0.5,3
+1,202207,201,100,,9,9
+1,202208,201,,,3,
+2,202201,201,,,,""")
+    out = imputation.backward_impute(imputation.forward_impute(rows)).collect()
+    got = {(r.reference, r.period % 100): (r.forward_value, r.forward_kind, r.backward_value)
+           for r in out}
+    assert got == {
+        (1, 1): (None, None, 50.0), (1, 2): (10.0, "fir", 10.0), (1, 3): (10.0, "fir", 2400.0),
+        (1, 4): (20.0, "fir", 1200.0), (1, 5): (7.0, "fimc", 1200.0), (1, 6): (3.5, "fimc", 300.0),
+        (1, 7): (100.0, "fir", 100.0), (1, 8): (300.0, "fir", None), (2, 1): (None, None, None)}

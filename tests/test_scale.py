@@ -142,3 +142,11 @@ def test_kept_and_direct_links_agree(spark):
     direct = imputation.ratio_of_means(panel, S)
     names = [*c.CELL_KEY, c.TARGET, c.MARKER]
     same(kept.select(*names), direct.select(*names))
+
+
+def test_imputation_sorts_the_panel_once(spark):
+    """Links, chains forward and backward and constructed values share one order of months."""
+    full = RunStore(spark, "sorts").keep(panel_of(spark, 300), "panel", by=c.REFERENCE)
+    links = RunStore(spark, "sorts").keep(imputation.link_table(full), "links")
+    text = plan(imputation.ratio_of_means(full, S, keep=lambda df, name: links))
+    assert text.count("Sort [") == 1 and "Exchange hashpartitioning" not in text
