@@ -1,6 +1,6 @@
 """BPE encoding and decoding with a lexicon of the corpus's frequent words.
 
-The words of a sample of documents are counted; the most frequent are merged once, compiled into
+The words of all documents are counted; the most frequent are merged once, compiled into
 a transducer (lexicon.py), and given to every task as a file.  A task looks a word up
 there; a word that is not in it is cut into pieces and merged by rank, exactly.  What a task
 has looked up last it keeps, up to a bound in bytes.
@@ -21,12 +21,12 @@ import json
 import unicodedata
 import uuid
 from array import array
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from sys import getsizeof
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -42,9 +42,9 @@ from tallyworks.sources.shared import new_folder, settle
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
 SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the pattern
+SPACES = "[ \\t\\n\\x0B\\f\\r]+"  # white space to every one
 LONG = 100
 MEMORY = 32 << 20  # bytes a worker remembers in one filling; the filling before stays too
-COUNTED = 300_000  # words a task counts before it passes them on
 ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                      ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
@@ -157,6 +157,19 @@ def packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+class Spelling:
+    """The bytes of ids one after the other, taken from an Arrow table of them."""
+
+    def __init__(self, texts: Iterable[bytes]):
+        self.texts = pa.array(texts, pa.large_binary())
+
+    def __call__(self, ids: np.ndarray) -> pa.Buffer:
+        if not len(ids):
+            return pa.py_buffer(b"")
+        _, ends, data = self.texts.take(pa.array(ids)).buffers()
+        return data.slice(0, int(np.frombuffer(ends, np.int64)[len(ids)]))
+
+
 class Encoder:
     """Encodes whole texts."""
 
@@ -170,12 +183,18 @@ class Encoder:
         return packed(self.tokenizer.merge(piece)) if ids is None else ids
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return self._piece(chunk)
         found = PIECES.findall(chunk)
         if len(found) == 1:
             return self._piece(found[0])
         return b"".join(map(self.chunks.__getitem__, found))  # a piece is a chunk of its own
 
     def encode(self, text: str) -> list[int]:
+        return memoryview(self.packed(text)).cast("I").tolist()
+
+    def packed(self, text: str) -> bytes:
+        """The ids, four bytes each."""
         ids = []
         parts = [text] if not any(map(text.__contains__, self.special)) else (
             self.tokenizer.cut.split(text))
@@ -184,42 +203,42 @@ class Encoder:
                 ids.append(self.special[part])
             else:
                 ids += map(self.chunks.__getitem__, chunks(part))
-        return memoryview(b"".join(ids)).cast("I").tolist()
+        return b"".join(ids)
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words, added up within the task as far as memory allows."""
-    counts: Counter[str] = Counter()
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of chunks, each as often as its chunk is there."""
+    for batch in batches:
+        words, times = [], []
+        for text, n in zip(batch["chunk"].to_pylist(), batch["n"].to_pylist()):
+            for chunk in chunks(text):
+                found = [piece for piece in PIECES.findall(chunk) if len(piece) < LONG]
+                words += found
+                times += [n] * len(found)
+        yield pa.RecordBatch.from_pydict({
+            "word": pa.array(words, pa.string()), "n": pa.array(times, pa.int64())})
 
-    def flush() -> pa.RecordBatch:
-        words: Counter[str] = Counter()
-        for chunk, n in counts.items():
-            for piece in PIECES.findall(chunk):
-                words[piece] += n
-        counts.clear()
-        return pa.RecordBatch.from_pydict({
-            "word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
 
-    for batch in slices(batches):
-        for text in batch["text"]:
-            counts.update(chunk for chunk in chunks(text.as_py() or "") if len(chunk) < LONG)
-            if len(counts) > COUNTED:
-                yield flush()
-    yield flush()
+def word_counts(docs: DataFrame) -> DataFrame:
+    """How often each word under LONG characters is in all documents.
+
+    Chunks are counted first, so that each is normalised and cut once.  Longer words are no
+    entries of a lexicon; they are merged where they stand.
+    """
+    chunked = (docs.select(F.explode(F.split("text", SPACES)).alias("chunk"))
+               .groupBy("chunk").agg(F.count("*").alias("n")))
+    return (chunked.mapInArrow(_cut, "word string, n long")
+            .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def frequent_words(docs: DataFrame, words: int, sample: int) -> list[str]:
-    """At most ``words`` of the most frequent words of about ``sample`` documents.
+def frequent_words(docs: DataFrame, words: int) -> list[str]:
+    """At most ``words`` of the most frequent words of all documents.
 
-    Documents are chosen by a hash.  Which words are chosen steers speed alone, as others are
-    merged exactly.  A histogram of the counts, in eighths of powers of two, tells from where on they fit, so
-    that no more than that many words come to the driver.
+    Which words are chosen steers speed alone, as others are merged exactly.  A histogram of the
+    counts, in eighths of powers of two, tells from where on they fit, so that no more than that
+    many words come to the driver.
     """
-    places = 1 << 30
-    share = min(1.0, sample / max(1, docs.count()))
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(places)) < share * places)
-    counted = settle(chosen.select("text").mapInArrow(_counts, "word string, n long")
-                     .groupBy("word").agg(F.sum("n").alias("n")), "words")
+    counted = settle(word_counts(docs), "words")
     step = F.floor(F.log2("n") * 8)
     left, least = words, None
     for row in sorted(counted.groupBy(step.alias("step")).count().collect(), reverse=True):
@@ -238,18 +257,23 @@ def _ready(tokenizer_path: str, lexicon_name: str) -> Encoder:
     return Encoder(Tokenizer(tokenizer_path), Lexicon(SparkFiles.get(lexicon_name)))
 
 
+def _digest(spelled: pa.Buffer) -> str:
+    """Of what is spelled without the space after the last id."""
+    return hashlib.sha256(spelled.slice(0, max(0, spelled.size - 1))).hexdigest()
+
+
 def _encoder(tokenizer_path: str, lexicon_name: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ready(tokenizer_path, lexicon_name)
-        decimal = [str(i) for i in range(len(encoder.tokenizer.tokens))]
+        tokens = encoder.tokenizer.tokens
+        decimal = Spelling(f"{i} ".encode() for i in range(len(tokens)))
+        decoded = Spelling(f"{token} ".encode() for token in tokens)
         for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = encoder.encode(text.as_py() or "")
-                written = " ".join(map(decimal.__getitem__, ids))
-                decoded = encoder.tokenizer.decode(ids)
-                rows.append((doc_id.as_py(), len(ids), hashlib.sha256(written.encode()).hexdigest(),
-                             hashlib.sha256(decoded.encode()).hexdigest()))
+                ids = np.frombuffer(encoder.packed(text.as_py() or ""), np.uint32)
+                rows.append((doc_id.as_py(), len(ids), _digest(decimal(ids)),
+                             _digest(decoded(ids))))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(ENCODED.names, row)) for row in rows], ENCODED)
     return encode
@@ -268,13 +292,13 @@ def ship_lexicon(spark: SparkSession, tokenizer: Tokenizer, words: list[str]) ->
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
-                     words: int = 200_000, sample: int = 20_000) -> DataFrame:
+                     words: int = 200_000) -> DataFrame:
     """doc_id, n_tokens and digests of ids and decoded text of every document.
 
-    The lexicon holds at most ``words`` words of a sample of about ``sample`` documents.
+    The lexicon holds at most ``words`` words, the most frequent of all documents.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    name = ship_lexicon(spark, Tokenizer(tokenizer_path), frequent_words(docs, words, sample))
+    name = ship_lexicon(spark, Tokenizer(tokenizer_path), frequent_words(docs, words))
     return docs.mapInArrow(
         _encoder(tokenizer_path, name),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -14,6 +14,7 @@ from array import array
 from collections.abc import Iterable
 
 ARRAYS = "first target skip final starts ids".split()
+HEAD = 3  # bytes at the beginning of a word whose path is remembered
 
 
 def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
@@ -83,17 +84,31 @@ class Lexicon:
             at += 4 * size
         self.labels = at
         self.start = len(self.final) - 1
+        self.heads: dict[bytes, tuple[int, int]] = {}  # those of words in the file, no others
 
-    def get(self, word: bytes) -> bytes | None:
-        """The ids of a word as they lie in the file, four bytes each."""
+    def _walk(self, state: int, index: int, word: bytes) -> tuple[int, int] | None:
+        """The state that ``word`` leads to, and the number of words before it."""
         find, first, target, skip = self.file.find, self.first, self.target, self.skip
-        labels, state, index = self.labels, self.start, 0
+        labels = self.labels
         for at in range(len(word)):
             edge = find(word[at:at + 1], labels + first[state], labels + first[state + 1]) - labels
             if edge < 0:
                 return None
             state = target[edge]
             index += skip[edge]
-        if not self.final[state]:
+        return state, index
+
+    def get(self, word: bytes) -> bytes | None:
+        """The ids of a word as they lie in the file, four bytes each."""
+        head = word[:HEAD]
+        place = self.heads.get(head)
+        if place is None:
+            place = self._walk(self.start, 0, head)
+            if place is None:
+                return None
+            self.heads[head] = place
+        place = self._walk(*place, word[HEAD:])
+        if place is None or not self.final[place[0]]:
             return None
+        index = place[1]
         return self.ids[self.starts[index]:self.starts[index + 1]].tobytes()

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tallyworks.llm.bpe import Memory, Encoder, Tokenizer, encode_documents
+from tallyworks.llm.bpe import (
+    LONG, PIECES, Memory, Encoder, Spelling, Tokenizer, chunks, encode_documents, frequent_words,
+    word_counts,
+)
 from tallyworks.llm.lexicon import Lexicon, compile_lexicon
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -101,3 +106,28 @@ def test_memory_is_bounded_in_bytes():
     memory["1999"]
     assert len(asked) == 2_000
     assert memory["x" * 200] == b"x" * 800 and "x" * 200 not in memory
+
+
+def test_words_of_all_documents_are_counted(spark, documents, odd_documents):
+    unbroken = spark.createDataFrame([("new,old," * 40 + "x" * 200,), ("\u4e2d\u3002" * 90,)], "text string")
+    docs = documents.select("text").union(odd_documents.select("text")).union(unbroken)
+    want = Counter(piece for r in docs.collect() for chunk in chunks(r.text or "")
+                   for piece in PIECES.findall(chunk) if len(piece) < LONG)
+    assert {r.word: r.n for r in word_counts(docs).collect()} == want
+
+
+def test_frequent_words_of_single_documents(spark):
+    """Words that one document of many holds are as frequent as their number says."""
+    docs = spark.range(40_000).selectExpr(
+        "id AS doc_id",
+        "IF(id % 2000 = 0, repeat(concat('only', translate(id / 2000, '0123456789.', 'abcdefghij'), ' '),"
+        " 50000), 'rest') AS text")
+    found = frequent_words(docs, 30)
+    assert len(found) == 21 and sum(word.startswith("only") for word in found) == 20
+
+
+def test_spelling():
+    spelling = Spelling([b"a ", "é ".encode(), b"", b"long one "])
+    for ids in ([], [1], [2, 2], [3, 0, 1, 2, 3]):
+        want = b"".join([b"a ", "é ".encode(), b"", b"long one "][i] for i in ids)
+        assert spelling(np.array(ids, np.uint32)).to_pybytes() == want
