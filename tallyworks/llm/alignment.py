@@ -1,8 +1,8 @@
 """Alignment of two tokenizers' tokens over the same bytes, and how common their links are.
 
-Both tokenizers cut the bytes of a text.  Each side's cumulative byte ends go into a dictionary
-from end to token index; the ends both hold, sorted, slice both id lists into groups, and
-within a group every pair of tokens whose byte ranges overlap is a link.
+Both tokenizers cut the bytes of a text.  One side's cumulative byte ends go into a table from
+end to token index, which is asked for the other's; the ends both hold, sorted, slice both id
+lists into groups, and within a group every pair of tokens whose byte ranges overlap is a link.
 
 How many documents hold an id pair linked is counted over the corpus.  Documents are worked
 through in blocks of bounded bytes, and what is shuffled are the distinct pairs of a block, not
@@ -21,7 +21,6 @@ import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.bpe import byte_symbols
+from tallyworks.llm.bpe import Spelling, byte_symbols
 from tallyworks.llm.shingles import slices
 from tallyworks.sources.shared import settle
 
@@ -76,22 +75,25 @@ class Side:
     """What is known of one tokenizer's ids: their bytes, and how groups are written."""
 
     def __init__(self, tokens: list[bytes], closing: str):
-        self.tokens = tokens
+        self.spell = Spelling(tokens)
         self.lengths = np.array(list(map(len, tokens)), np.int64)
-        self.inner = np.array([f"{i}," for i in range(len(tokens))], object)
-        self.last = np.array([f"{i}{closing}" for i in range(len(tokens))], object)
+        ids = range(len(tokens))
+        self.marked = [f"{i},".encode() for i in ids] + [f"{i}{closing}".encode() for i in ids]
 
-    def spell(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        """Cumulative byte ends."""
+        return np.cumsum(self.lengths[ids])
 
-    def ends(self, ids: np.ndarray) -> dict[int, int]:
-        """Number of tokens up to each cumulative byte end."""
-        return dict(zip(np.cumsum(self.lengths[ids]).tolist(), count(1)))
+
+@lru_cache(maxsize=1)
+def _marks(left: Side, right: Side) -> Spelling:
+    """Ids of both sides with the mark that follows: left within and at the end, then right."""
+    return Spelling(left.marked + right.marked)
 
 
 @dataclass
 class Aligned:
-    """Groups of one text, by the tokens of both sides up to their ends, and its links."""
+    """Groups of texts, by the tokens of both sides up to their ends, and their links."""
 
     a: np.ndarray
     b: np.ndarray
@@ -101,56 +103,45 @@ class Aligned:
     link_b: np.ndarray
 
     def written(self, left: Side, right: Side) -> str:
-        """Groups as ``a1,a2|b1;a3|b2,b3``: every token with the mark that follows it."""
-        if not len(self.ends_a):
-            return ""
+        """Groups as ``a1,a2|b1;a3|b2,b3``."""
+        return self.marked(left, right)[1].to_pybytes()[:-1].decode()
+
+    def marked(self, left: Side, right: Side) -> tuple[np.ndarray, pa.Buffer]:
+        """Every token with the mark that follows it: where each begins, and all of them."""
         sizes_a, sizes_b = np.diff(self.ends_a, prepend=0), np.diff(self.ends_b, prepend=0)
-        marks = np.empty(len(self.a) + len(self.b), object)
+        marks = np.empty(len(self.a) + len(self.b), np.int64)
         place_a = np.arange(len(self.a)) + np.repeat(self.ends_b - sizes_b, sizes_a)
         place_b = np.arange(len(self.b)) + np.repeat(self.ends_a, sizes_b)
+        first = 0
         for place, ids, ends, side in ((place_a, self.a, self.ends_a, left),
                                        (place_b, self.b, self.ends_b, right)):
-            marks[place] = side.inner[ids]
-            marks[place[ends - 1]] = side.last[ids[ends - 1]]
-        return "".join(marks.tolist())[:-1]
+            marks[place] = ids + first
+            marks[place[ends - 1]] += len(side.lengths)
+            first += len(side.marked)
+        return _marks(left, right).taken(marks)
 
 
 def align(a: Sequence[int], b: Sequence[int], left: Side, right: Side) -> Aligned:
     """Groups and links of two id lists over the same bytes.
 
-    The other side's dictionary is asked for this side's ends, which come sorted: what it holds
-    are the common keys, with the places of both.  A slice of x and y tokens has x + y - 1 links:
-    from its first two tokens on, the one that ends first steps on.  Links are in no order.
+    The other side's table is asked for this side's ends, which come sorted: what it holds are
+    the common ends, with the places of both.  Two tokens that overlap do so in one stretch, which
+    ends where the first of them ends: every end of either side is one link, with the token of
+    the other side that holds the byte before it.  Links come by the ends of the first side, then by
+    those that only the second has.
     """
     a, b = np.asarray(a, np.int64), np.asarray(b, np.int64)
-    at_b = right.ends(b)
-    ends = np.cumsum(left.lengths[a]).tolist()
-    found = np.fromiter(map(at_b.get, ends, repeat(0)), np.int64, len(ends))
+    all_a, all_b = left.ends(a), right.ends(b)
+    at_b = np.zeros(all_b[-1] + 1 if len(b) else 1, np.int32)
+    at_b[all_b] = np.arange(1, len(b) + 1)
+    found = at_b[all_a]
     ends_a = np.nonzero(found)[0] + 1
-    ends_b = found[ends_a - 1]
-    sizes_a, sizes_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
-    alone = (sizes_a == 1) & (sizes_b == 1)
-    stairs_a, stairs_b = [], []
-    if not alone.all():
-        size_a, size_b = left.lengths[a].tolist(), right.lengths[b].tolist()
-        many = ~alone
-        for i, j, links in zip((ends_a - sizes_a)[many].tolist(), (ends_b - sizes_b)[many].tolist(),
-                               (sizes_a + sizes_b)[many].tolist()):
-            end_a, end_b = size_a[i], size_b[j]
-            for _ in range(links - 2):
-                stairs_a.append(i)
-                stairs_b.append(j)
-                if end_a < end_b:
-                    i += 1
-                    end_a += size_a[i]
-                else:
-                    j += 1
-                    end_b += size_b[j]
-            stairs_a.append(i)
-            stairs_b.append(j)
-    place_a = np.concatenate([ends_a[alone] - 1, np.array(stairs_a, np.int64)])
-    place_b = np.concatenate([ends_b[alone] - 1, np.array(stairs_b, np.int64)])
-    return Aligned(a, b, ends_a, ends_b, a[place_a], b[place_b])
+    ends_b = found[ends_a - 1].astype(np.int64)
+    alone = np.ones(len(b), bool)  # ends that the other side does not have
+    alone[ends_b - 1] = False
+    held_a, held_b = np.searchsorted(all_a, all_b[alone]), np.searchsorted(all_b, all_a)
+    return Aligned(a, b, ends_a, ends_b, np.concatenate([a, a[held_a]]),
+                   np.concatenate([b[held_b], b[alone]]))
 
 
 class Aligner:
@@ -162,24 +153,48 @@ class Aligner:
         self.left, self.right = Side(tokens_a, "|"), Side(tokens_b, ";")
 
     def align(self, text: str | None) -> Aligned:
-        if not text:
-            return align([], [], self.left, self.right)
-        spaced = " " + text
-        data = spaced.encode()
-        a = self.encoder_a.encode_to_numpy(spaced, disallowed_special=())
-        b = self.encoder_b.encode(text)
-        # The byte-level side gives parts of the text in order: all of it if the lengths agree.
-        if self.left.lengths[a].sum() != len(data) or self.right.spell(b) != data:
-            a, b = [], []
-        return align(a, b, self.left, self.right)
+        return self.together([text])[0]
+
+    def together(self, texts: list[str | None]) -> tuple[Aligned, np.ndarray, np.ndarray]:
+        """The texts one after the other, and the tokens of both sides up to the end of each.
+
+        Both sides have an end where a text ends, so no group and no link reaches into the next.
+        """
+        whole, a, b = [], [], []
+        for text in texts:
+            whole.append((" " + text).encode() if text else b"")
+            a.append(np.asarray(self.encoder_a.encode_to_numpy(
+                " " + text, disallowed_special=()) if text else [], np.int64))
+            b.append(np.asarray(self.encoder_b.encode(text) if text else [], np.int64))
+        spelled, at = self.right.spell(np.concatenate(b)).to_pybytes(), 0
+        for i, data in enumerate(whole):
+            upto = at + int(self.right.lengths[b[i]].sum())
+            # The byte-level side gives parts of the text in order: all of it if the lengths agree.
+            if self.left.lengths[a[i]].sum() != len(data) or spelled[at:upto] != data:
+                a[i] = b[i] = a[i][:0]
+            at = upto
+        return (align(np.concatenate(a), np.concatenate(b), self.left, self.right),
+                np.cumsum(list(map(len, a))), np.cumsum(list(map(len, b))))
 
     def written(self, aligned: Aligned) -> str:
         return aligned.written(self.left, self.right)
 
-    def pairs(self, aligned: Aligned) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct links as one number each, sorted, and how often each is there."""
-        return np.unique(aligned.link_a * len(self.right.tokens) + aligned.link_b,
-                         return_counts=True)
+    def rows(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray,
+                                                              np.ndarray]]:
+        """Of every text the tokens of both sides, groups, groups written, and its distinct links:
+        as one number each, sorted, and how often each is there."""
+        whole, to_a, to_b = self.together(texts)
+        n_a, n_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        n_groups = np.diff(np.searchsorted(whole.ends_a, to_a, "right"), prepend=0)
+        places, marks = whole.marked(self.left, self.right)
+        marks, ends = marks.to_pybytes().decode(), places[to_a + to_b].tolist()
+        pairs = whole.link_a * len(self.right.lengths) + whole.link_b
+        by_a, by_b = np.split(pairs, [len(whole.a)])  # links of ends of A, and of ends B alone has
+        by_a = np.split(by_a, to_a)
+        by_b = np.split(by_b, np.cumsum(n_b - n_groups))
+        for i, (start, end) in enumerate(zip([0, *ends], ends)):
+            yield (int(n_a[i]), int(n_b[i]), int(n_groups[i]), marks[start:max(start, end - 1)],
+                   *np.unique(np.concatenate([by_a[i], by_b[i]]), return_counts=True))
 
 
 @lru_cache(maxsize=1)
@@ -216,15 +231,14 @@ def _aligner(path_a: str, path_b: str, most: int):
 
         for batch in slices(batches, most // 8):
             made = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                aligned = aligner.align(text.as_py())
-                pairs, times = aligner.pairs(aligned)
+            texts = batch["text"].to_pylist()
+            for doc_id, row in zip(batch["doc_id"].to_pylist(), aligner.rows(texts)):
+                n_a, n_b, n_groups, groups, pairs, times = row
                 if len(pairs):
                     seen.append(pairs)
                 made.append({
-                    "block": block, "doc_id": doc_id.as_py(), "n_a": len(aligned.a),
-                    "n_b": len(aligned.b), "n_groups": len(aligned.ends_a),
-                    "n_links": len(aligned.link_a), "groups": aligner.written(aligned),
+                    "block": block, "doc_id": doc_id, "n_a": n_a, "n_b": n_b,
+                    "n_groups": n_groups, "n_links": n_a + n_b - n_groups, "groups": groups,
                     "held": packed(np.diff(pairs, prepend=0)), "times": packed(times)})
             yield pa.RecordBatch.from_pylist(made, KEPT)
             size += batch["text"].nbytes

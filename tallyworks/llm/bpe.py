@@ -163,11 +163,16 @@ class Spelling:
     def __init__(self, texts: Iterable[bytes]):
         self.texts = pa.array(texts, pa.large_binary())
 
-    def __call__(self, ids: np.ndarray) -> pa.Buffer:
+    def taken(self, ids: np.ndarray) -> tuple[np.ndarray, pa.Buffer]:
+        """Where each begins and the last ends, and all of them."""
         if not len(ids):
-            return pa.py_buffer(b"")
-        _, ends, data = self.texts.take(pa.array(ids)).buffers()
-        return data.slice(0, int(np.frombuffer(ends, np.int64)[len(ids)]))
+            return np.zeros(1, np.int64), pa.py_buffer(b"")
+        _, places, data = self.texts.take(pa.array(ids)).buffers()
+        places = np.frombuffer(places, np.int64)[:len(ids) + 1]
+        return places, data.slice(0, int(places[-1]))
+
+    def __call__(self, ids: np.ndarray) -> pa.Buffer:
+        return self.taken(ids)[1]
 
 
 class Encoder:

@@ -151,3 +151,16 @@ def test_real_outputs(spark):
     hello, there = (aligner.written(aligner.align(text)) for text in ("Hello", "Hello there"))
     assert rows[1].groups == hello and rows[2].groups == there
     assert rows[1].count_sum == 2 * rows[1].n_links
+
+
+def test_texts_together_are_as_alone(plain):
+    """One alignment of many texts gives each what it has alone, also beside texts without tokens."""
+    texts = ["▁ mark", None, *TEXTS, "", "ﬁ", *TEXTS[::-1], None]
+    rows = list(Aligner(A, B).rows(texts))
+    assert len(rows) == len(texts)
+    for text, (n_a, n_b, n_groups, groups, pairs, times) in zip(texts, rows):
+        a, b, written, links = plain(text)
+        assert (n_a, n_b, groups) == (len(a), len(b), written)
+        assert n_groups == (written.count(";") + 1 if written else 0)
+        want = Counter(x * len(plain.bytes_b) + y for x, y in links)
+        assert dict(zip(pairs.tolist(), times.tolist())) == want
