@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.lexicon import Lexicon, compile_lexicon
-from tallyworks.llm.shingles import slices
+from tallyworks.llm.shingles import give_back, slices
 from tallyworks.llm.warc import file_system
 from tallyworks.sources.shared import new_folder, settle
 
@@ -293,6 +293,7 @@ def ship_lexicon(spark: SparkSession, tokenizer: Tokenizer, words: list[str]) ->
     with store.open_output_stream(place) as out:
         out.write(compiled)
     spark.sparkContext.addFile(path)
+    give_back()  # what compiling took of the driver
     return name
 
 

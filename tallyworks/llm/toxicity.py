@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.samples import HELD_OUT, classify, held_out, remainder, sample_texts
+from tallyworks.llm.shingles import give_back
 
 WINDOW, STRIDE = 32, 16
 WORD_SIZE, CHAR_SIZE, HIDDEN, ATTENTION = 8, 8, 8, 8
@@ -318,6 +319,7 @@ def train(sample: list[tuple[str, int]], shares: dict[int, float], steps: int =
     least, kept, step = np.inf, network.p, 0
     rounds = min(max(8, steps * batch // len(texts)), MOST_ROUNDS)
     for turn in range(rounds + 1):
+        give_back()  # the driver keeps its session beside this
         of, start, out = Scorer(network).windows(texts)
         order = np.lexsort((out, of))
         best = order[np.append(of[order][1:] != of[order][:-1], True)]

@@ -6,15 +6,17 @@ import hashlib
 import random
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tallyworks.llm import bpe
 from tallyworks.llm.bpe import (
     LONG, PIECES, Memory, Encoder, Spelling, Tokenizer, chunks, encode_documents, frequent_words,
-    word_counts,
+    ship_lexicon, word_counts,
 )
 from tallyworks.llm.lexicon import Lexicon, compile_lexicon
 
@@ -116,7 +118,7 @@ def test_words_of_all_documents_are_counted(spark, documents, odd_documents):
     assert {r.word: r.n for r in word_counts(docs).collect()} == want
 
 
-def test_frequent_words_of_single_documents(spark):
+def test_frequent_words_of_single_documents(spark, monkeypatch):
     """Words that one document of many holds are as frequent as their number says."""
     docs = spark.range(40_000).selectExpr(
         "id AS doc_id",
@@ -124,6 +126,14 @@ def test_frequent_words_of_single_documents(spark):
         " 50000), 'rest') AS text")
     found = frequent_words(docs, 30)
     assert len(found) == 21 and sum(word.startswith("only") for word in found) == 20
+    given = []
+
+    def ship(spark, tokenizer, words):
+        given.extend(words)
+        return ship_lexicon(spark, tokenizer, words)
+    monkeypatch.setattr(bpe, "ship_lexicon", ship)
+    corpus_pipeline.encoded(spark, docs, "unread")
+    assert sorted(given) == sorted(found)
 
 
 def test_spelling():
