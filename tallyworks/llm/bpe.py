@@ -2,8 +2,9 @@
 
 The words of all documents are counted; the most frequent are merged once, compiled into
 a transducer (lexicon.py), and given to every task as a file.  A task looks a word up
-there; a word that is not in it is cut into pieces and merged by rank, exactly.  What a task
-has looked up last it keeps, up to a bound in bytes.
+there; a word that is not in it is cut into pieces and merged by rank, exactly.  The new words
+of a slice of texts are looked up and merged together, by arrays.  What a task has looked up
+last it keeps, up to a bound in bytes.
 
 The tokenizer file gives vocabulary, merges and special tokens; its path is a parameter.
 Text is normalised (NFC, lower case), cut at white space and by the pattern below, and
@@ -22,7 +23,6 @@ import unicodedata
 import uuid
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from sys import getsizeof
 
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.lexicon import Lexicon, compile_lexicon
 from tallyworks.llm.shingles import give_back, slices
 from tallyworks.llm.warc import file_system
+from tallyworks.llm.workers import kept
 from tallyworks.sources.shared import new_folder, settle
 
 # The pattern of the tokenizer file and its mark for the end of a word.
@@ -44,6 +45,8 @@ END = "</w>"
 SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the pattern
 SPACES = "[ \\t\\n\\x0B\\f\\r]+"  # white space to every one
 LONG = 100
+TOGETHER = 1 << 20  # bytes of text whose chunks are looked up together
+BLOCK = 20_000  # chunks found and remembered at a time
 MEMORY = 32 << 20  # bytes a worker remembers in one filling; the filling before stays too
 ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                      ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -84,6 +87,14 @@ class Tokenizer:
         self.tokens = [""] * (max(tokens.values()) + 1)
         for token, place in tokens.items():
             self.tokens[place] = token
+        self.width = len(self.tokens) + 1
+        number = self.vocabulary.get
+        self.inner, self.last = (
+            np.array([number(self.symbols[byte] + end, -1) for byte in range(256)])
+            for end in ("", END))
+        pairs = sorted((self.vocabulary[left] * self.width + self.vocabulary[right], rank,
+                        self.vocabulary[left + right]) for (left, right), rank in self.ranks.items())
+        self.pairs, self.order, self.joined = np.array([*pairs, (1 << 62, 0, 0)]).T.copy()
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece: the adjacent pair of lowest rank is joined, again and again."""
@@ -126,6 +137,34 @@ class Tokenizer:
                         heappush(heap, found * size + left)
         return [part for part in parts if part is not None]
 
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of many pieces: every round joins, in each, the first pair of lowest rank."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends, data = np.cumsum(sizes), np.frombuffer(b"".join(pieces), np.uint8)
+        parts = self.inner[data]
+        parts[ends - 1] = self.last[data[ends - 1]]
+        if parts.min(initial=0) < 0:
+            raise KeyError("a byte is not in the vocabulary")
+        found, left, none = [b""] * len(pieces), np.arange(len(pieces)), len(self.ranks)
+        while len(left):
+            ends = np.cumsum(sizes)
+            pair = np.append(parts[:-1] * self.width + parts[1:], -1)
+            pair[ends - 1] = -1
+            place = np.searchsorted(self.pairs, pair)
+            rank = np.where(self.pairs[place] == pair, self.order[place], none)
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(parts)), ends - sizes)
+            joins = best >> 32 < none
+            done, stay = ~joins, np.repeat(joins, sizes)
+            ids, at = parts[~stay].astype(np.uint32).tobytes(), 0
+            for own, end in zip(left[done].tolist(), (4 * np.cumsum(sizes[done])).tolist()):
+                found[own] = ids[at:end]
+                at = end
+            first = best[joins] & (1 << 32) - 1
+            parts[first] = self.joined[place[first]]
+            stay[first + 1] = False
+            parts, sizes, left = parts[stay], sizes[joins] - 1, left[joins]
+        return found
+
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
 
@@ -145,13 +184,38 @@ class Memory(dict):
         if ids is None:
             ids = self.find(text)
         if len(text) < LONG:
-            if self.size >= self.most:
-                self.old, self.size = dict(self), 0
-                self.clear()
-            self[text] = ids
-            self.size += getsizeof(text) + getsizeof(ids) + 100  # and its place in the table
+            self.keep([text], [ids])
         return ids
 
+    def keep(self, texts: list[str], ids: list[bytes]) -> None:
+        if self.size >= self.most:
+            self.turn()
+        self.update(zip(texts, ids))
+        self.size += sum(map(getsizeof, texts)) + sum(map(getsizeof, ids))
+        self.size += 100 * len(texts)  # their places in the table
+
+    def turn(self) -> None:
+        self.old, self.size = dict(self), 0
+        self.clear()
+
+    def renew(self, texts: Iterable[str]) -> list[str]:
+        """Take those of the last filling over; those under LONG characters in neither.
+
+        Starts anew a little before it is full, rather than in the midst of the texts.
+        """
+        if self.size >= self.most * 3 // 4:
+            self.turn()
+        new = [text for text in texts if text not in self]
+        again = [text for text in new if text in self.old]
+        new = [text for text in new if text not in self.old and len(text) < LONG]
+        for block in blocks(again):
+            self.keep(block, [self.old.get(text) or self[text] for text in block])
+        return new
+
+
+def blocks(texts: list[str]) -> Iterator[list[str]]:
+    return (texts[at:at + BLOCK] for at in range(0, len(texts), BLOCK))
+
 
 def packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
@@ -195,20 +259,53 @@ class Encoder:
             return self._piece(found[0])
         return b"".join(map(self.chunks.__getitem__, found))  # a piece is a chunk of its own
 
-    def encode(self, text: str) -> list[int]:
-        return memoryview(self.packed(text)).cast("I").tolist()
-
-    def packed(self, text: str) -> bytes:
-        """The ids, four bytes each."""
-        ids = []
+    def _found(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces under LONG characters, looked up and merged together."""
+        data = [piece.encode() for piece in pieces]
+        found = self.lexicon.get_all(data)
+        new = [at for at, ids in enumerate(found) if ids is None and len(data[at]) < LONG]
+        for at, ids in zip(new, self.tokenizer.merge_all([data[at] for at in new])):
+            found[at] = ids
+        return {piece: packed(self.tokenizer.merge(piece)) if ids is None else ids
+                for piece, ids in zip(pieces, found)}
+
+    def learn(self, texts: Iterable[str]) -> None:
+        """Remember chunks that are not yet, those of a block found together."""
+        for block in blocks(self.chunks.renew(texts)):
+            plain = [chunk for chunk in block if chunk.isascii() and chunk.isalpha()]
+            other = [chunk for chunk in block if not (chunk.isascii() and chunk.isalpha())]
+            cut = list(map(PIECES.findall, other))
+            pieces = list(set(plain).union(*cut))
+            ids = dict(zip(pieces, map(self.chunks.get, pieces)))
+            ids |= self._found([piece for piece, own in ids.items() if own is None])
+            self.chunks.keep(plain + other, [*map(ids.__getitem__, plain), *(
+                b"".join(map(ids.__getitem__, own)) for own in cut)])
+
+    def _parts(self, text: str) -> Iterator[bytes | list[str]]:
+        """Ids of special tokens, and the chunks between them; long ones are given in pieces."""
         parts = [text] if not any(map(text.__contains__, self.special)) else (
             self.tokenizer.cut.split(text))
         for part in parts:
             if part in self.special:
-                ids.append(self.special[part])
-            else:
-                ids += map(self.chunks.__getitem__, chunks(part))
-        return b"".join(ids)
+                yield self.special[part]
+                continue
+            own = chunks(part)
+            if max(map(len, own), default=0) >= LONG:
+                own = [piece for chunk in own for piece in
+                       (PIECES.findall(chunk) if len(chunk) >= LONG else [chunk])]
+            yield own
+
+    def packed(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text, four bytes each."""
+        cut = [list(self._parts(text)) for text in texts]
+        self.learn(set().union(*(part for parts in cut for part in parts
+                                 if not isinstance(part, bytes))))
+        for parts in cut:
+            yield b"".join(part if isinstance(part, bytes)
+                           else b"".join(map(self.chunks.__getitem__, part)) for part in parts)
+
+    def encode(self, text: str) -> list[int]:
+        return memoryview(next(self.packed([text]))).cast("I").tolist()
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,9 +353,8 @@ def frequent_words(docs: DataFrame, words: int) -> list[str]:
     return [row.word for row in counted.filter(step >= least).collect()]
 
 
-@lru_cache(maxsize=1)
 def _ready(tokenizer_path: str, lexicon_name: str) -> Encoder:
-    """The encoder of a worker, with what it remembers, for all the tasks it runs."""
+    """The encoder of a worker, with what it remembers."""
     return Encoder(Tokenizer(tokenizer_path), Lexicon(SparkFiles.get(lexicon_name)))
 
 
@@ -269,14 +365,14 @@ def _digest(spelled: pa.Buffer) -> str:
 
 def _encoder(tokenizer_path: str, lexicon_name: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ready(tokenizer_path, lexicon_name)
+        encoder = kept(_ready, tokenizer_path, lexicon_name)
         tokens = encoder.tokenizer.tokens
         decimal = Spelling(f"{i} ".encode() for i in range(len(tokens)))
         decoded = Spelling(f"{token} ".encode() for token in tokens)
-        for batch in slices(batches):
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.frombuffer(encoder.packed(text.as_py() or ""), np.uint32)
+        for batch in slices(batches, TOGETHER):
+            rows, texts = [], [text or "" for text in batch["text"].to_pylist()]
+            for doc_id, ids in zip(batch["doc_id"], encoder.packed(texts)):
+                ids = np.frombuffer(ids, np.uint32)
                 rows.append((doc_id.as_py(), len(ids), _digest(decimal(ids)),
                              _digest(decoded(ids))))
             yield pa.RecordBatch.from_pylist(

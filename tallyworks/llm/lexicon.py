@@ -13,6 +13,8 @@ import mmap
 from array import array
 from collections.abc import Iterable
 
+import numpy as np
+
 ARRAYS = "first target skip final starts ids".split()
 HEAD = 3  # bytes at the beginning of a word whose path is remembered
 
@@ -83,6 +85,9 @@ class Lexicon:
             setattr(self, name, whole[at:at + 4 * size].cast("I"))
             at += 4 * size
         self.labels = at
+        edges = np.diff(np.frombuffer(self.first, np.uint32))
+        self.edges = (np.repeat(np.arange(len(edges)) << 8, edges)  # state and label, ascending
+                      | np.frombuffer(self.file, np.uint8, offset=at))
         self.start = len(self.final) - 1
         self.heads: dict[bytes, tuple[int, int]] = {}  # those of words in the file, no others
 
@@ -112,3 +117,28 @@ class Lexicon:
             return None
         index = place[1]
         return self.ids[self.starts[index]:self.starts[index + 1]].tobytes()
+
+    def get_all(self, words: list[bytes]) -> list[bytes | None]:
+        """The same for many words, which go along their paths together, byte by byte."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        firsts = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(words), np.uint8)
+        targets, skips = (np.frombuffer(own, np.uint32) for own in (self.target, self.skip))
+        state, index = np.full(len(words), self.start), np.zeros(len(words), np.int64)
+        alive = np.arange(len(words))
+        for at in range(int(sizes.max(initial=0)) if len(self.edges) else 0):
+            alive = alive[sizes[alive] > at]
+            wanted = state[alive] << 8 | data[firsts[alive] + at]
+            edge = np.minimum(np.searchsorted(self.edges, wanted), len(self.edges) - 1)
+            there = self.edges[edge] == wanted
+            state[alive[~there]] = -1
+            alive, edge = alive[there], edge[there]
+            state[alive] = targets[edge]
+            index[alive] += skips[edge]
+        if not len(self.edges):
+            state[sizes > 0] = -1
+        known = (state >= 0) & (np.frombuffer(self.final, np.uint32)[state] > 0)
+        found: list[bytes | None] = [None] * len(words)
+        for place, at in zip(np.flatnonzero(known).tolist(), index[known].tolist()):
+            found[place] = self.ids[self.starts[at]:self.starts[at + 1]].tobytes()
+        return found

@@ -136,6 +136,26 @@ def test_frequent_words_of_single_documents(spark, monkeypatch):
     assert sorted(given) == sorted(found)
 
 
+def test_words_of_many_texts_are_found_together(encoder):
+    """New chunks under LONG characters are never looked up and merged one at a time."""
+    draw = random.Random(8)
+    texts = ["".join(draw.choices("abcdeé ,.'1\x1c日🙂", k=draw.randint(0, 400))) for _ in range(300)]
+    texts += [*TEXTS, *TEXTS, " ".join(["aaaaaaa", "ababab" * 4, "y" * 99, "z" * 100, "é" * 60])]
+    want = [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+    alone = []
+
+    def find(text):
+        alone.append(text)
+        return together._chunk(text)
+    together = Encoder(encoder.tokenizer, encoder.lexicon)
+    together.chunks = Memory(find)
+    for _ in range(2):
+        assert list(map(unpacked, together.packed(texts))) == want
+    assert set(map(len, alone)) == {100, 5000}
+    together.chunks = Memory(find, most=3_000)  # starts anew in the midst of them
+    assert list(map(unpacked, together.packed(texts))) == want
+
+
 def test_spelling():
     spelling = Spelling([b"a ", "é ".encode(), b"", b"long one "])
     for ids in ([], [1], [2, 2], [3, 0, 1, 2, 3]):
