@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tallyworks.llm.shingles import slices
+from tallyworks.llm.workers import let_go
 from tallyworks.sources.shared import settle
 
 HELD_OUT = 2
@@ -69,6 +70,7 @@ def classify(docs: DataFrame, score: Callable[[], Callable[[list[str | None]], d
     ``score`` is called once a task; what it returns takes texts and gives lists by name.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         of_texts = score()
         for batch in slices(batches):
             found = of_texts(batch["text"].to_pylist())

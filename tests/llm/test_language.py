@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
-from tallyworks.llm.language import PIECE, fit, identify, keep_known, ngrams
+from tallyworks.llm.language import PIECE, SPACE, fit, identify, keep_known, ngrams
 
 SYLLABLES = {"aa": ["ka", "ri", "mo", "tu"], "bb": ["sch", "eng", "ung", "ach"],
              "cc": ["éu", "ré", "ion", "que"]}
@@ -30,6 +31,20 @@ def test_held_out_accuracy():
     assert all(0 <= s <= 1 for s in found["score"])
 
 
+def test_scorer_takes_no_table_of_all_codes():
+    """Columns of features are found in a tenth of four bytes a code."""
+    model = fit(sample(200, 1))
+    tracemalloc.start()
+    model.scorer()(["ka ri mo"])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < SPACE * 4 // 10
+    want = np.full(SPACE, -1)
+    want[model.features] = np.arange(len(model.features))
+    assert (model.places()(np.arange(SPACE, dtype=np.int32)) == want).all()
+    assert (fit([]).places()(np.arange(SPACE, dtype=np.int32)) == -1).all()
+
+
 def test_ngrams_are_those_of_the_whole_text():
     text = "Äb, cd " * 3
     data = text.lower().encode()
