@@ -69,14 +69,21 @@ def classify(docs: DataFrame, score: Callable[[], Callable[[list[str | None]], d
 
     ``score`` is called once a task; what it returns takes texts and gives lists by name.
     """
+    place = docs.columns.index("text")
+
+    def beside(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The rows, and their texts as they lie in them: a worker is sent each text once."""
+        return pa.RecordBatch.from_arrays([batch["row"], batch["row"].field(place)],
+                                          ["row", "text"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         of_texts = score()
-        for batch in slices(batches):
+        for batch in slices(map(beside, batches)):
             found = of_texts(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], *[pa.array(found[name]) for name in names]], ["row", *names])
 
-    carried = docs.select(F.struct("*").alias("row"), F.col("text"))
+    carried = docs.select(F.struct("*").alias("row"))
     schema = T.StructType([carried.schema["row"], *T.StructType.fromDDL(kinds).fields])
     return carried.mapInArrow(run, schema)

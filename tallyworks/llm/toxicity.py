@@ -35,6 +35,7 @@ THRESHOLD = 0.3
 MEMORY = 100_000
 MOST_ROUNDS = 60
 ROWS = 2048
+TOKENS = 4096  # whose gate inputs are made together
 EDGES = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
 GATES = 3 * HIDDEN
 
@@ -119,10 +120,13 @@ class Network:
         return x, (places, bucket, word, counts)
 
     def inputs(self, words: list[str]) -> np.ndarray:
-        """Gate inputs of both directions, one row a word."""
-        x, _ = self.features(words)
-        return np.hstack([x @ self.p[f"{side}_in"] + self.p[f"{side}_bias"]
-                          for side in ("ahead", "back")])
+        """Gate inputs of both directions, in each one row a word."""
+        made = np.empty((2, len(words), GATES), self.p["words"].dtype)
+        for at in range(0, len(words), TOKENS):
+            x, _ = self.features(words[at:at + TOKENS])
+            for part, side in zip(made, ("ahead", "back")):
+                part[at:at + TOKENS] = x @ self.p[f"{side}_in"] + self.p[f"{side}_bias"]
+        return made
 
     def _side(self, gates, state, mask, order, kept):
         """States of one direction in order of time; ``kept`` takes what gradients need."""
@@ -144,10 +148,10 @@ class Network:
 
     def logits(self, table: np.ndarray, index: np.ndarray, mask: np.ndarray | None,
                kept: dict | None = None) -> np.ndarray:
-        """One number a window.  ``table`` has gate inputs, ``index`` a row of them a token."""
+        """One number a window.  ``table`` has gate inputs, ``index`` a row of theirs a token."""
         steps = range(index.shape[1])
         notes = ([], []) if kept is not None else (None, None)
-        ahead, back = np.ascontiguousarray(table[:, :GATES]), np.ascontiguousarray(table[:, GATES:])
+        ahead, back = table
         states = np.concatenate([
             self._side(lambda t: ahead[index[:, t]], self.p["ahead_state"], mask, steps, notes[0]),
             self._side(lambda t: back[index[:, t]], self.p["back_state"], mask, steps[::-1],
@@ -223,7 +227,7 @@ class Scorer:
 
     def forget(self) -> None:
         self.rows: dict[str, int] = {}
-        self.table = np.zeros((0, 2 * GATES), np.float32)
+        self.table = np.zeros((2, 0, GATES), np.float32)
 
     def _index(self, texts: list[list[str]]) -> list[np.ndarray]:
         if len(self.rows) > MEMORY:
@@ -231,7 +235,8 @@ class Scorer:
         new = sorted({token for tokens in texts for token in tokens}.difference(self.rows))
         if new:
             self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
-            self.table = np.vstack([self.table, self.network.inputs([plain(t) for t in new])])
+            made = self.network.inputs([plain(t) for t in new])
+            self.table = np.concatenate([self.table, made], 1) if self.table.size else made
         row = self.rows.__getitem__
         return [np.fromiter(map(row, tokens), np.int64, len(tokens)) for tokens in texts]
 
@@ -301,7 +306,8 @@ def train(sample: list[tuple[str, int]], shares: dict[int, float], steps: int =
     About ``steps`` batches are learned from, or what MOST_ROUNDS rounds over the sample give.  A fifth of the sample is kept back: the
     parameters that predict it best are returned.
     """
-    texts = [text.split() for text, _ in sample]
+    once: dict[str, str] = {}  # equal tokens of the sample are one object
+    texts = [[once.setdefault(token, token) for token in text.split()] for text, _ in sample]
     labels = np.array([label for _, label in sample], np.float32)
     if not len(labels):
         return None

@@ -6,7 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 from tallyworks.llm import toxicity
-from tallyworks.llm.samples import HELD_OUT, remainder, sample_texts
+from tallyworks.llm.samples import HELD_OUT, classify, remainder, sample_texts
 
 ROWS = 400
 
@@ -56,3 +56,11 @@ def test_a_label_of_many_rows(spark):
     hashes = docs.filter(remainder(F.col("doc_id")) != HELD_OUT).orderBy(
         F.xxhash64(F.col("doc_id").cast("string"))).limit(1500).collect()
     assert found == [(r.text, "x") for r in sorted(hashes, key=lambda r: r.doc_id)]
+
+
+def test_a_worker_is_sent_each_text_once(odd_documents):
+    found = classify(odd_documents, lambda: lambda texts: {"got": texts}, ("got",), "got string")
+    plan = found._jdf.queryExecution().analyzed()
+    assert plan.children().head().output().size() == 1
+    rows = found.collect()
+    assert len(rows) == odd_documents.count() and all(r.got == r.row.text for r in rows)

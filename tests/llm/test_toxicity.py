@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
+from collections.abc import Callable
 
 import numpy as np
+from tallyworks.llm import toxicity
 from tallyworks.llm.toxicity import (HIDDEN, STRIDE, WINDOW, Network, Scorer, grams, keep_clean,
                                      plain, score_documents, sigmoid, train, windows)
 
@@ -136,3 +139,37 @@ def test_scores_are_those_of_a_plain_forward_pass():
              for count in (0, 1, 2, WINDOW - 1, WINDOW, WINDOW + 1, 3 * WINDOW + 5)]
     found = Scorer(network)(texts)["score"]
     assert np.allclose(found, [plain_score(network, text) for text in texts], atol=1e-4)
+
+
+def most_taken(work: Callable) -> int:
+    """Bytes that ``work`` holds at most, beside what there was."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_gate_inputs_take_little_beside_themselves():
+    network = train(sample(40, 3), {0: 0.7, 1: 0.3}, steps=8)
+    words = [f"{a}{b}{c}" for a in FILL for b in FILL for c in range(4)]
+    scorer = Scorer(network)
+    made = network.inputs(words).nbytes
+    assert most_taken(lambda: network.inputs(words)) < 2 * made
+    scorer([" ".join(words)])
+    assert most_taken(lambda: scorer([" ".join(words[:3])])) < made / 2  # all known
+    few = network.inputs(words[:5] + words[-5:])
+    assert np.allclose(few, np.concatenate([network.inputs(words)[:, :5],
+                                            network.inputs(words)[:, -5:]], 1), atol=1e-5)
+
+
+def test_training_holds_equal_tokens_once(monkeypatch):
+    held, untrained = [], toxicity._untrained
+
+    def watched(texts, *rest):
+        held.extend(token for tokens in texts for token in tokens)
+        return untrained(texts, *rest)
+    monkeypatch.setattr(toxicity, "_untrained", watched)
+    train(sample(40, 3), {0: 0.7, 1: 0.3}, steps=8)
+    assert len(held) > len(set(held)) == len(set(map(id, held)))
