@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyworks import constants as c
 from tallyworks.functions.expressions import is_in
+from tallyworks.functions.joins import by_merge
 
 LEGACY_UNIT = ("reference", "period")
 NO_ANSWER = ("derived", "selected, no return")
@@ -57,7 +58,7 @@ def repeated_routes(responses: DataFrame, routes: Iterable[int] = tuple(c.ROUTES
 def drop_nil(responses: DataFrame, contributors: DataFrame,
              response_types: Iterable[int] = c.NIL_RESPONSE_TYPES) -> DataFrame:
     nil = contributors.where(is_in("response_type", response_types))
-    return responses.join(nil, list(LEGACY_UNIT), "left_anti")
+    return responses.join(by_merge(nil), list(LEGACY_UNIT), "left_anti")
 
 
 def legacy_responses(questions: DataFrame) -> DataFrame:
@@ -110,4 +111,4 @@ def join_sample(contributors: DataFrame, frame: DataFrame) -> DataFrame:
         F.col("froempees").alias("frozenemployees"),
         F.col(c.SIC).alias("frozensic"),
         F.col(c.AUXILIARY).alias("frozenturnover"))
-    return contributors.join(columns, list(c.UNIT), "left")
+    return contributors.join(by_merge(columns), list(c.UNIT), "left")
