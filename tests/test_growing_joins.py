@@ -1,0 +1,124 @@
+"""Tables with a row per unit and month are never a broadcast, whatever size Spark expects."""
+
+import pytest
+from pyspark.sql import functions as F
+from rows import same
+
+from tallyworks import constants as c
+from tallyworks.operators import estimation, imputation, legacy, outliers, panel, regions, staging
+from tallyworks.plans import stages
+from tallyworks.settings import SurveySettings
+
+S = SurveySettings(202203, 2)
+MONTHS = [S.backdata_period, *S.periods]
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def units(spark):
+    """Their months are added to a small table, by whose bytes Spark estimates them."""
+    return spark.range(20).select(
+        F.col("id").alias(c.REFERENCE),
+        F.explode(F.array(*[F.lit(month) for month in MONTHS])).alias(c.PERIOD),
+        F.when(F.col("id") % 5 == 0, "Form sent out").otherwise("Clear").alias("status"),
+        F.when(F.col("id") % 7 == 0, 201).otherwise(210).alias("statusencoded"))
+
+
+def answers(spark):
+    return units(spark).where("reference % 5 > 0").select(
+        *c.UNIT, F.explode(F.array(*[F.lit(q) for q in (201, 290, 902)])).alias(c.QUESTION),
+    ).select("*", F.lit(7.0).alias(c.TARGET), F.lit("7").alias("response"),
+             F.lit("r").alias(c.MARKER))
+
+
+def frame(spark):
+    return units(spark).select(
+        *c.UNIT, F.lit("41100").alias(c.SIC), F.lit("0001").alias("formtype"),
+        (F.col(c.REFERENCE) % 2 * 10 + 11).cast("int").alias(c.CELL),
+        F.lit(5).alias("froempment"), F.lit(6.0).alias(c.AUXILIARY),
+        F.lit("AA").alias("region"), F.lit("a").alias("runame1"), F.lit("b").alias("entname1"))
+
+
+def by_hand(spark, name):
+    return units(spark).where("reference % 5 = 1").select(
+        *c.UNIT, F.lit(201).alias(c.QUESTION), F.lit(3.0).alias(name))
+
+
+def staged(spark):
+    return stages.stage_panel(
+        answers(spark), units(spark), frame(spark), S, by_hand(spark, c.TARGET))
+
+
+def population(spark):
+    return frame(spark).select(*c.UNIT, c.CELL, c.AUXILIARY)
+
+
+def shares(spark):
+    return regions.rm_percent(units(spark).select(
+        *c.UNIT, F.lit(2).cast("bigint").alias("employment"), F.lit("AA").alias("region")))
+
+
+def legacy_units(spark):
+    return units(spark).select(*c.UNIT, F.lit(5).alias("response_type"))
+
+
+TABLES = {
+    "attach_contributors": lambda s: staging.attach_contributors(answers(s), units(s)),
+    "flag_total_only": lambda s: staging.flag_total_only(answers(s), units(s)),
+    "flag_total_zero": lambda s: staging.flag_total_zero(answers(s), units(s)),
+    "exclude_nonresponse": lambda s: staging.exclude_nonresponse(answers(s), units(s)),
+    "excluded_report": lambda s: staging.excluded_report(answers(s), units(s)),
+    "check_nonresponse": lambda s: staging.check_nonresponse_in_responses(answers(s), units(s)),
+    "frozen_kept": lambda s: staging.frozen_split(answers(s), units(s), S)[0],
+    "frozen_errors": lambda s: staging.frozen_split(answers(s), units(s), S)[1],
+    "expected_questions": lambda s: panel.expected_questions(
+        staging.flag_total_zero(staging.flag_total_only(answers(s), units(s)), units(s)),
+        units(s), manual=by_hand(s, c.TARGET)),
+    "panel": lambda s: staged(s).panel,
+    "unprocessed": lambda s: staged(s).unprocessed,
+    "links_filtered": lambda s: imputation.link_table(
+        staged(s).panel, units(s).select(*c.UNIT).where("reference = 1")),
+    "manual_construction": lambda s: imputation.manual_construction(
+        answers(s), by_hand(s, c.TARGET)),
+    "manual_outlier_weight": lambda s: outliers.manual_outlier_weight(
+        answers(s).withColumn("outlier_weight", F.lit(1.0)), by_hand(s, "outlier_weight")),
+    "is_sampled": lambda s: estimation.is_sampled(population(s), units(s)),
+    "sampled_units": lambda s: estimation.sampled_units(population(s), units(s)),
+    "population_counts": lambda s: estimation.population_counts(population(s), units(s)),
+    "join_sample": lambda s: legacy.join_sample(
+        units(s), frame(s).withColumnRenamed("froempment", "froempees")),
+    "drop_nil": lambda s: legacy.drop_nil(
+        answers(s).withColumnRenamed(c.QUESTION, "question_no"), legacy_units(s)),
+    "rm_turnover": lambda s: regions.rm_turnover(
+        frame(s).withColumn("gross_turnover_uk", F.lit(1.0)), shares(s)),
+}
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_unit_months_are_not_broadcast(spark, name):
+    text = plan(TABLES[name](spark))
+    assert "Join" in text and "Broadcast" not in text
+
+
+def test_only_cells_are_broadcast_by_the_weights(spark):
+    rows = answers(spark)
+    text = plan(estimation.estimate(rows, population(spark), units(spark), S))
+    joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
+    assert all(c.CELL in line for line in joins)
+
+
+def test_repeated_and_missing_keys_join_as_before(spark):
+    """A merge pairs repeated keys and leaves missing ones without a partner."""
+    rows = spark.createDataFrame(
+        [(1, 202201, 10.0), (1, 202201, 11.0), (2, None, 12.0), (None, 202201, 13.0)],
+        "reference long, period int, adjustedresponse double")
+    held = spark.createDataFrame(
+        [(1, 202201, "a"), (1, 202201, "b"), (2, None, "c"), (None, None, "d")],
+        "reference long, period int, status string")
+    same(staging.attach_contributors(rows, held),
+         spark.createDataFrame(
+             [(1, 202201, 10.0, "a"), (1, 202201, 10.0, "b"), (1, 202201, 11.0, "a"),
+              (1, 202201, 11.0, "b"), (2, None, 12.0, None), (None, 202201, 13.0, None)],
+             "reference long, period int, adjustedresponse double, status string"))
