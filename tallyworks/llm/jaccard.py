@@ -17,6 +17,9 @@ where they have equal cells.  What meets is verified on the whole sets.
 * Whole texts are shuffled once, to the documents that meet any other: by a join that is never a
   broadcast, as the number of such documents grows with the corpus.  They are shuffled once more
   where the list of copies is too large for Spark to broadcast.
+* Of documents that meet, texts are kept and sent to their pairs, not shingles, which take more
+  room on disk.  More pairs than texts go in slices, so that at most about as much as all of the
+  texts lies on disk at once.
 * Members of a cell first meet its first or last; only those that are still in different
   components after that are paired off, if sizes and the distance of short bit sketches allow a
   link.
@@ -30,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
@@ -43,6 +47,7 @@ from tallyworks.sources.shared import settle
 
 PERCENT = 80
 SEEN = 200_000  # sets a task remembers; a repeated row it has forgotten is sketched again
+PAIRS = 100_000  # that are verified at once where there are fewer texts
 PACKED = pa.schema([("bucket", pa.int64()), ("cells", pa.binary()), ("gaps", pa.binary())])
 BITS = tuple(f"bits{at}" for at in range(8))
 TOLD = ("n", *BITS)  # what is known of a set without its shingles
@@ -223,18 +228,16 @@ def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"shingle": signed(found)})
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        sets = [found.tobytes() for found in shingle_sets(batch["text"].to_pylist())]
-        yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "shingles": sets})
-
-
 def _verified(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for first, second in zip(batch["sa"], batch["sb"]):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (first, second))
+        for batch in slices(batches):
+            kept, others = [], batch["other"].to_pylist()
+            # Pairs come by their second document, whose set is made once for a run of them.
+            new = [at == 0 or text != others[at - 1] for at, text in enumerate(others)]
+            second = shingle_sets([text for text, start in zip(others, new) if start])
+            for x, start in zip(shingle_sets(batch["text"].to_pylist()), new):
+                if start:
+                    y = next(second)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 kept.append(100 * common >= percent * (len(x) + len(y) - common))
             kept = pa.array(kept, pa.bool_())
@@ -253,11 +256,16 @@ def _common(docs: DataFrame, classes: DataFrame, sample: int, least: int) -> np.
     return np.array([row.shingle for row in often.collect()], np.int64).view(np.uint64)
 
 
-def _pairs_verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    return settle(pairs.select("a", "b").join(first, "a").join(second, "b")
-                  .mapInArrow(_verified(percent), "a long, b long"), "links")
+def _pairs_verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    first = texts.select(F.col("doc_id").alias("a"), "text")
+    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
+    rounds, found = max(1, math.ceil(pairs.count() / max(PAIRS, texts.count()))), []
+    for turn in range(rounds):
+        part = pairs.select("a", "b").filter(
+            F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == turn) if rounds > 1 else pairs
+        found.append(settle(part.select("a", "b").join(first, "a").join(second, "b")
+                            .mapInArrow(_verified(percent), "a long, b long"), "links"))
+    return reduce(DataFrame.union, found)
 
 
 def link_documents(docs: DataFrame, percent: int = PERCENT, bucket_cells: int = 1_000_000,
@@ -297,12 +305,12 @@ def link_documents(docs: DataFrame, percent: int = PERCENT, bucket_cells: int =
     told = settle(classes.join(needed, F.col("rep") == F.col("_id"), "left_semi").groupBy(
         "rep").agg(*[F.when(F.count(F.lit(1)) == 1, F.min(name)).alias(name)
                      for name in TOLD]), "told")
-    sets = settle(docs.join(needed.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
-                  .mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
-    return members, _joined(met, told, sets, links, percent)
+    texts = settle(docs.join(needed.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi"),
+                   "texts")
+    return members, _joined(met, told, texts, links, percent)
 
 
-def _joined(met: DataFrame, told: DataFrame, sets: DataFrame, links: DataFrame,
+def _joined(met: DataFrame, told: DataFrame, texts: DataFrame, links: DataFrame,
             percent: int) -> DataFrame:
     """(id, component) after verifying what meets in the cells, on top of ``links``.
 
@@ -322,7 +330,7 @@ def _joined(met: DataFrame, told: DataFrame, sets: DataFrame, links: DataFrame,
     best = meets.join(known("a"), "a").join(known("b", "_o"), "b").filter(_near(percent)).groupBy(
         "a").agg(F.max(F.struct("count", F.negate("b").alias("b"))).alias("best"))
     first = settle(best.select("a", F.negate(F.col("best.b")).alias("b")), "pairs")
-    label = components(_pairs_verified(first, sets, percent).union(label))
+    label = components(_pairs_verified(first, texts, percent).union(label))
 
     here = met.join(label, F.col("rep") == F.col("id"), "left").select(
         "cell", "rep", F.coalesce("component", "rep").alias("c"))
@@ -336,7 +344,8 @@ def _joined(met: DataFrame, told: DataFrame, sets: DataFrame, links: DataFrame,
         (F.col("rep") < F.col("b")) & (F.col("c") != F.col("d")) & _near(percent)).select(
         F.col("rep").alias("a"), "b").distinct(), "pairs")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = _pairs_verified(rest.join(tried, ["a", "b"], "left_anti"), sets, percent)
+    untried = settle(rest.join(tried, ["a", "b"], "left_anti"), "untried")
+    found = _pairs_verified(untried, texts, percent)
     return components(found.union(label))
 
 
