@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ from tallyworks.sources.shared import settle
 
 EXACT, LONGS = 2.0 ** 53, 2.0 ** 62
 STEP = 256
+SENT = 16 << 20  # bytes of queries that go to every block of vectors at once
 PACKED = "block long, ids binary, dims int, matrix binary, cutoffs binary"
 
 
@@ -83,13 +85,28 @@ def _packed(vectors: DataFrame, blocks: int, name: str) -> DataFrame:
     return settle(vectors.repartition(blocks, "vec_id").mapInArrow(_pack, PACKED), name)
 
 
-def _cells(vectors: DataFrame, queries: DataFrame, blocks: int) -> DataFrame:
-    """Every block of queries beside every block of vectors, dealt by the latter."""
+def _cells(vectors: DataFrame, queries: DataFrame) -> Iterator[DataFrame]:
+    """Every block of queries beside every block of vectors, dealt by the latter.
+
+    Blocks of queries go out in groups of at most about ``SENT`` bytes, each to be worked off
+    before the next, so that neither the driver nor a shuffle holds them once per block of vectors.
+    """
+    width = sum(F.length(name).cast("long") for name in ("ids", "matrix", "cutoffs"))
+    whole = queries.agg(F.sum(width), F.max("block") + 1).first()
+    groups = min(math.ceil((whole[0] or 0) / SENT), whole[1] or 0) or 1
     asked = queries.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-        F.col("ids").alias("asked"), F.col("dims").alias("asked_dims"),
-        F.col("matrix").alias("asked_matrix"), F.col("cutoffs").alias("asked_cutoffs"))
-    return vectors.drop("cutoffs").join(asked, "block")
+        F.col("block").alias("page"), F.col("ids").alias("asked"),
+        F.col("dims").alias("asked_dims"), F.col("matrix").alias("asked_matrix"),
+        F.col("cutoffs").alias("asked_cutoffs"))
+    for group in range(groups):
+        sent = asked.filter(F.col("page") % groups == group).drop("page")
+        yield vectors.drop("cutoffs").crossJoin(F.broadcast(sent))
+
+
+def _worked(vectors: DataFrame, queries: DataFrame, phase, schema: str, name: str) -> DataFrame:
+    """What ``phase`` makes of all cells, written group by group."""
+    return reduce(DataFrame.union, [settle(cells.mapInArrow(phase, schema), name)
+                                    for cells in _cells(vectors, queries)])
 
 
 def _matrix(data: bytes, ids: np.ndarray, dims: int) -> np.ndarray:
@@ -183,12 +200,12 @@ def search(table: DataFrame, k: int = 5, scale: int = 256, every: int = 50, list
     packed = _packed(vectors.withColumn("cutoff", no_cutoff), blocks, "search-blocks")
     first = _packed(asked.withColumn("cutoff", no_cutoff), pages, "search-queries")
     cutoffs = settle(
-        _cells(packed, first, blocks)
-        .mapInArrow(_cutoffs(k, lists), "query_id long, cutoff double")
+        _worked(packed, first, _cutoffs(k, lists), "query_id long, cutoff double",
+                "search-reached")
         .groupBy("query_id").agg(F.max("cutoff").alias("cutoff")), "search-cutoffs")
     again = asked.join(cutoffs, F.col("vec_id") == F.col("query_id")).drop("query_id")
-    found = _cells(packed, _packed(again, pages, "search-cut-queries"), blocks).mapInArrow(
-        _entries(k, lists), "query_id long, vec_id long, score long")
+    found = _worked(packed, _packed(again, pages, "search-cut-queries"), _entries(k, lists),
+                    "query_id long, vec_id long, score long", "search-entries")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     held = F.coalesce("score", F.raise_error(F.lit("a score is below all longs")).cast("long"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").filter(
